@@ -104,18 +104,11 @@ def metric_bands(
     return chart_bands(long_series(metrics, names, by), a, sample_size, by)
 
 
-def alert_replay(
-    metrics: DataFrame,
-    names: Sequence[str] = METRICS,
-    a: float = 4,
-    sample_size: int = 6,
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """For every bucket and metric, whether it alerted when it was the newest one."""
-    bands = causal_bands(long_series(metrics, names, by), a, sample_size, by)
-    value, previous = F.col("value"), F.col("prev_value")
+def decisions(bands: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Whether each value lies outside its band (never, without a band), and by how much it moved."""
+    value = F.col("value")
     outside = (value < F.col("low")) | (value > F.col("up"))
-    deviation = (1 - F.try_divide(value, previous)) * 100
+    deviation = (1 - F.try_divide(value, F.col("prev_value"))) * 100
     return bands.select(
         "metric",
         *by,
@@ -129,6 +122,17 @@ def alert_replay(
     )
 
 
+def alert_replay(
+    metrics: DataFrame,
+    names: Sequence[str] = METRICS,
+    a: float = 4,
+    sample_size: int = 6,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """For every bucket and metric, whether it alerted when it was the newest one."""
+    return decisions(causal_bands(long_series(metrics, names, by), a, sample_size, by), by)
+
+
 def alert_latest(
     metrics: DataFrame,
     names: Sequence[str] = METRICS,
