@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Logs stored with this partition column are pruned by it (see rows_in).
@@ -76,9 +77,11 @@ def rows_in(log: DataFrame, span: Span, column: str = "time") -> DataFrame:
     the Parquet scan without a cast. A log laid out by day is pruned as well.
     """
     kind = log.schema[column].dataType
-    rows = log.where(F.col(column) < F.lit(span.end.isoformat(" ")).cast(kind))
-    if span.start != datetime.min:
-        rows = rows.where(F.col(column) >= F.lit(span.start.isoformat(" ")).cast(kind))
+    bounded = [(F.col(column) < F.lit(span.end.isoformat(" ")).cast(kind))]
     if DAY_PARTITION in log.columns:
-        rows = rows.where(F.col(DAY_PARTITION).between(F.lit(span.first_day), F.lit(span.last_day)))
-    return rows
+        bounded.append(F.col(DAY_PARTITION) <= F.lit(span.last_day))
+    if span.start != datetime.min:
+        bounded.append(F.col(column) >= F.lit(span.start.isoformat(" ")).cast(kind))
+        if DAY_PARTITION in log.columns:
+            bounded.append(F.col(DAY_PARTITION) >= F.lit(span.first_day))
+    return log.where(reduce(Column.__and__, bounded))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from pulseboard.functions import closed_buckets, half_even, number_text, quarter_hour, ratio, rows_in
@@ -43,17 +43,19 @@ def user_sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("feed_rows", "likes", "views", "messages")]
 
 
-def bucket_counts() -> list[Column]:
-    """Second step, over the first: exact users and totals per bucket."""
-    return [
-        F.count_if(F.col("feed_rows") > 0).alias("feed_users"),
-        F.count_if(F.col("messages") > 0).alias("msg_users"),
-        *[F.sum(c).alias(c) for c in ("likes", "views", "messages")],
-    ]
-
-
-# A bucket counts only if it holds rows of both products.
-BOTH_PRODUCTS = "feed_users > 0 AND msg_users > 0"
+def bucket_counts(per_user: GroupedData) -> DataFrame:
+    """Second step, over the first: exact users and totals, where both products have rows."""
+    known = F.col("user_id").isNotNull()
+    counts = per_user.agg(
+        F.count_if(known & (F.col("feed_rows") > 0)).alias("feed_users"),
+        F.count_if(known & (F.col("messages") > 0)).alias("msg_users"),
+        F.sum("likes").alias("likes"),
+        F.sum("views").alias("views"),
+        F.sum(F.when(known, F.col("messages")).otherwise(0)).alias("messages"),
+        F.sum("feed_rows").alias("_feed_rows"),
+        F.sum("messages").alias("_message_rows"),
+    )
+    return counts.where("_feed_rows > 0 AND _message_rows > 0").drop("_feed_rows", "_message_rows")
 
 
 def quarter_hour_series(
@@ -68,13 +70,13 @@ def quarter_hour_series(
     Users are counted exactly by grouping per bucket and user first; both products
     go through the same two shuffles, the second of them tiny.
     """
-    rows = marks(feed, messages, ["time", "user_id", *by]).where("user_id IS NOT NULL")
+    rows = marks(feed, messages, ["time", "user_id", *by])
     per_user = (
         rows.withColumn(BUCKET, quarter_hour(F.col("time"), minutes))
         .groupBy(BUCKET, *by, "user_id")
         .agg(*user_sums())
     )
-    metrics = per_user.groupBy(BUCKET, *by).agg(*bucket_counts()).where(BOTH_PRODUCTS)
+    metrics = bucket_counts(per_user.groupBy(BUCKET, *by))
     if with_ctr:
         metrics = metrics.withColumn("ctr", ratio(F.col("likes"), F.col("views")))
     return metrics

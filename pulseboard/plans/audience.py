@@ -30,10 +30,12 @@ def audience_daily(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -
         "_day", F.datediff(F.to_date("time"), F.lit(span.first_day))
     )
     words = range((days + _WORD - 1) // _WORD)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_day") % _WORD)
+    word_of_day = F.expr(f"int(_day div {_WORD})")
+    bit_of_day = F.col("_day") % _WORD
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit_of_day)
 
     def masks(product: Column, name: str) -> list[Column]:
-        in_word = [product & (F.floor(F.col("_day") / _WORD) == w) for w in words]
+        in_word = [product & (word_of_day == w) if len(words) > 1 else product for w in words]
         return [
             F.coalesce(F.bit_or(F.when(cond, bit)), F.lit(0).cast("bigint")).alias(f"{name}{w}")
             for w, cond in zip(words, in_word, strict=True)
@@ -46,8 +48,8 @@ def audience_daily(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -
     msg_words = [F.col(f"_msg{w}") for w in words]
 
     def active(masks: list[Column]) -> Column:
-        word = F.get(F.array(*masks), F.floor(F.col("_day") / _WORD).cast("int"))
-        return F.call_function("getbit", word, F.col("_day") % _WORD) == 1
+        word = F.get(F.array(*masks), word_of_day) if len(masks) > 1 else masks[0]
+        return F.call_function("getbit", word, bit_of_day) == 1
 
     user_days = per_user.withColumn("_day", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
     return (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from pulseboard.session import settings
+
 DIMENSION_SCHEMA = T.StructType(
     [
         T.StructField("event_date", T.DateType()),
@@ -37,11 +39,12 @@ def write_dimension_metrics(metrics: DataFrame, table: str, mode: str = "replace
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
-    ordered = metrics.sparkSession.table(table).columns
+    spark = metrics.sparkSession
+    ordered = spark.table(table).columns
     rows = (
         metrics.select(*ordered)
         .hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "dimension", "dimension_value")
     )
-    writer = rows.write.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite" if mode == "replace" else "append").insertInto(table)
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        rows.write.mode("overwrite" if mode == "replace" else "append").insertInto(table)

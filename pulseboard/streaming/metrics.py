@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseboard.functions import ratio
 from pulseboard.operators.bands import BUCKET
-from pulseboard.plans.alerts import BOTH_PRODUCTS, METRICS, bucket_counts, marks, user_sums
+from pulseboard.plans.alerts import METRICS, bucket_counts, marks, user_sums
 
 
 def quarter_hour_stream(
@@ -28,13 +28,11 @@ def quarter_hour_stream(
         feed.withWatermark("time", lateness),
         messages.withWatermark("time", lateness),
         ["time", "user_id"],
-    ).where("user_id IS NOT NULL")
+    )
     width = f"{minutes} minutes"
     per_user = rows.groupBy(F.window("time", width), "user_id").agg(*user_sums())
-    per_bucket = per_user.groupBy(F.window(F.window_time("window"), width)).agg(*bucket_counts())
-    metrics = per_bucket.where(BOTH_PRODUCTS).select(
-        F.col("window.start").alias(BUCKET), *METRICS
-    )
+    per_bucket = bucket_counts(per_user.groupBy(F.window(F.window_time("window"), width)))
+    metrics = per_bucket.select(F.col("window.start").alias(BUCKET), *METRICS)
     if with_ctr:
         metrics = metrics.withColumn("ctr", ratio(F.col("likes"), F.col("views")))
     return metrics

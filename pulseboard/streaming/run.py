@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from pulseboard.session import settings
+
+# State lives in RocksDB and is checkpointed as a log of changes, not as whole snapshots.
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def start(
@@ -19,13 +26,12 @@ def start(
 
     ``every`` is the trigger's interval, such as ``"15 minutes"``; without it the
     stream takes in what is there and ends. ``checkpoint`` must be on storage that
-    all executors reach. State is kept in RocksDB, so it need not fit in memory.
+    all executors reach. State is kept in RocksDB, so it need not fit in memory. The number
+    of shuffle partitions is fixed by the first run of a checkpoint: choose it for the load
+    to come.
     """
-    spark = stream.sparkSession
-    before = spark.conf.get(_STATE_STORE)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    spark.conf.set(_STATE_STORE, _ROCKSDB)
-    try:
+    with settings(stream.sparkSession, _STATE_CONF):
         return (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -34,5 +40,3 @@ def start(
             .trigger(**trigger)
             .start()
         )
-    finally:
-        spark.conf.set(_STATE_STORE, before)

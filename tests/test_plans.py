@@ -1,0 +1,84 @@
+"""Physical plans: what must not appear in them, and how much they read and move."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as driver
+from pulseboard.catalog import AS_OF
+from pulseboard.plans import activity, audience, reports
+from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, write_log
+from pulseboard.sources import events as source
+from pulseboard.sources.logs import read_log
+
+SF_DIR = "/root/testdata/sf0.001"
+WRITING = {"dimension_metrics_sink", "new_users_incremental", "message_user_incremental"}
+STREAMS = {"quarter_hour_stream", "alert_stream"}
+
+
+def plan_of(frame, final=False):
+    if final:
+        frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Both logs as tables of their own, as in production."""
+    root = tmp_path_factory.mktemp("logs")
+    events = source.events(spark, SF_DIR)
+    write_log(source.feed_actions(events), f"{root}/feed")
+    write_log(source.message_actions(events), f"{root}/messages")
+    return (
+        read_log(spark, f"{root}/feed", FEED_SCHEMA),
+        read_log(spark, f"{root}/messages", MESSAGE_SCHEMA),
+    )
+
+
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITING - STREAMS))
+def test_no_python_no_cross_join_no_single_task_window(spark, name):
+    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "NestedLoop", "Expand ["):
+        if unwanted == "Expand [" and "unpivot" not in name:
+            # unpivot is an Expand over a report's few rows; distinct counts must not be one
+            assert "gid" not in plan
+            continue
+        assert unwanted not in plan
+    for window in re.findall(r"windowspecdefinition\((\w+)", plan):
+        assert window in ("metric", "os")
+
+
+def test_filters_and_columns_reach_the_scans(stored):
+    feed, messages = stored
+    plan = plan_of(activity.feed_user_daily(feed, AS_OF))
+    assert "GreaterThanOrEqual(time,2024-01-30T00:00)" in plan
+    assert "LessThan(time,2024-01-31T00:00)" in plan
+    assert re.search(r"PartitionFilters: \[.*day.* >= 2024-01-30", plan)
+    plan = plan_of(audience.audience_daily(feed, messages, AS_OF))
+    assert set(re.findall(r"ReadSchema: (struct<.*?>)", plan)) == {
+        "struct<user_id:bigint,time:timestamp_ntz>"
+    }
+
+
+def scans_and_shuffles(frame):
+    plan = plan_of(frame)
+    return plan.count("FileScan"), plan.count("Exchange hashpartitioning")
+
+
+def test_scans_and_shuffles(stored):
+    feed, messages = stored
+    assert scans_and_shuffles(activity.feed_user_daily(feed, AS_OF)) == (1, 1)
+    assert scans_and_shuffles(reports.feed_report(feed, AS_OF)) == (1, 2)
+    assert scans_and_shuffles(reports.message_report(messages, AS_OF)) == (1, 3)
+    assert scans_and_shuffles(audience.audience_daily(feed, messages, AS_OF)) == (2, 2)
+    assert scans_and_shuffles(audience.new_users_daily(feed, messages, AS_OF)) == (2, 2)
+    # the day's messages, then the attributes in both logs
+    daily = activity.message_user_daily(feed, messages, AS_OF)
+    assert scans_and_shuffles(daily) == (3, 3)
+    # the feed's day joins in; the slices cost two small shuffles
+    assert scans_and_shuffles(activity.dimension_metrics(feed, messages, AS_OF)) == (4, 5)
+
+
+def test_feed_reports_share_one_shuffle_of_the_log(stored):
+    plan = plan_of(reports.report_series(*stored, AS_OF), final=True)
+    assert "ReusedExchange" in plan
