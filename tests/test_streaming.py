@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from pulseboard.plans import alerts
@@ -111,13 +110,11 @@ def test_session_settings_are_left_as_they_were(spark, tmp_path):
     assert spark.conf.get(key) == before
 
 
-@pytest.mark.parametrize("every", ["15 minutes"])
-def test_periodic_trigger(spark, tmp_path, every):
+def test_periodic_trigger(spark, tmp_path):
     root = str(tmp_path)
     add(root, *sentinels(spark))
-    query = start(
-        quarter_hour_stream(*streams(spark, root)), f"{root}/out", f"{root}/checkpoint", every
-    )
+    metrics = quarter_hour_stream(*streams(spark, root))
+    query = start(metrics, f"{root}/out", f"{root}/checkpoint", every="1 second")
     try:
         query.processAllAvailable()
         assert query.isActive and query.lastProgress["batchId"] >= 0
