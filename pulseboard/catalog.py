@@ -137,8 +137,11 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "audience_month": _both(audience.audience_daily, AS_OF, MONTH),
         "feed_report": _feed(reports.feed_report, AS_OF),
         "feed_report_null_ctr": _feed(reports.feed_report, AS_OF, zero="null"),
+        "feed_report_month": _feed(reports.feed_report, AS_OF, MONTH),
+        "message_report_month": _messages(reports.message_report, AS_OF, MONTH),
         "message_report": _messages(reports.message_report, AS_OF),
         "new_users_daily": _both(audience.new_users_daily, NEW_USERS_AS_OF),
+        "new_users_month": _both(audience.new_users_daily, AS_OF, MONTH),
         "new_users_incremental": _new_users_incremental,
         "feed_user_daily": _feed(activity.feed_user_daily, AS_OF),
         "message_user_daily": _both(activity.message_user_daily, AS_OF),

@@ -26,8 +26,15 @@ def ratio(numerator: Column, denominator: Column, zero: str = "ieee") -> Column:
 
 
 def half_even(column: Column, digits: int = 0) -> Column:
-    """Round half to even, as floating point rounding does elsewhere."""
-    return F.bround(column, digits)
+    """Round a float half to even by scaling it, as databases and numpy do.
+
+    ``bround`` goes by the decimal digits instead: 19.275 is 1927.4999999999998 in
+    hundredths, so it rounds to 19.27 here and to 19.28 there.
+    """
+    if digits == 0:
+        return F.rint(column)
+    scale = float(10**digits)
+    return F.rint(column * scale) / scale
 
 
 def age_group(age: Column) -> Column:

@@ -69,7 +69,7 @@ JOIN (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS message_user
       FROM message_actions WHERE {_week(as_of, days)} GROUP BY 1) USING (date)"""
 
 
-def _feed_report(as_of: str, null_rate: bool = False) -> str:
+def _feed_report(as_of: str, days: int = 7, null_rate: bool = False) -> str:
     views = "nullif(views, 0)" if null_rate else "views"
     total = "nullif(sum(views), 0)" if null_rate else "sum(views)"
     return f"""
@@ -79,28 +79,28 @@ SELECT date, round_even(avg(likes), 0) AS avg_likes, CAST(sum(likes) AS BIGINT)
   round_even(CAST(sum(likes) AS DOUBLE) / CAST({total} AS DOUBLE) * 100, 2) AS sum_ctr
 FROM (SELECT CAST(time AS DATE) AS date, user_id,
         count(*) FILTER (action = 'like') AS likes, count(*) FILTER (action = 'view') AS views
-      FROM feed_actions WHERE {_week(as_of)} GROUP BY 1, 2)
+      FROM feed_actions WHERE {_week(as_of, days)} GROUP BY 1, 2)
 GROUP BY date"""
 
 
-def _message_report(as_of: str) -> str:
+def _message_report(as_of: str, days: int = 7) -> str:
     return f"""
 SELECT date, senders, recievers, msg_sent, avg_msg_sent, avg_resivers_per_user
 FROM (SELECT date, round_even(avg(sent), 0) AS avg_msg_sent,
         round_even(avg(peers), 0) AS avg_resivers_per_user
       FROM (SELECT CAST(time AS DATE) AS date, user_id, count(reciever_id) AS sent,
               count(DISTINCT reciever_id) AS peers
-            FROM message_actions WHERE {_week(as_of)} GROUP BY 1, 2)
+            FROM message_actions WHERE {_week(as_of, days)} GROUP BY 1, 2)
       GROUP BY date)
 JOIN (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS senders,
         count(DISTINCT reciever_id) AS recievers, count(user_id) AS msg_sent
-      FROM message_actions WHERE {_week(as_of)} GROUP BY 1) USING (date)"""
+      FROM message_actions WHERE {_week(as_of, days)} GROUP BY 1) USING (date)"""
 
 
-def _new_users(as_of: str) -> str:
+def _new_users(as_of: str, days: int = 7) -> str:
     def first(log: str) -> str:
         return f"""(SELECT user_id, min(CAST(time AS DATE)) AS date FROM {log} GROUP BY user_id
-          HAVING min(CAST(time AS DATE)) >= DATE '{as_of}' - 7
+          HAVING min(CAST(time AS DATE)) >= DATE '{as_of}' - {days}
              AND min(CAST(time AS DATE)) < DATE '{as_of}')"""
 
     return f"""
@@ -310,8 +310,11 @@ def oracles() -> dict[str, str]:
         "audience_month": _sql("", _audience(_DAYS, 30)),
         "feed_report": _sql("", _feed_report(_DAYS)),
         "feed_report_null_ctr": _sql("", _feed_report(_DAYS, null_rate=True)),
+        "feed_report_month": _sql("", _feed_report(_DAYS, 30)),
+        "message_report_month": _sql("", _message_report(_DAYS, 30)),
         "message_report": _sql("", _message_report(_DAYS)),
         "new_users_daily": _sql("", _new_users(_NEW)),
+        "new_users_month": _sql("", _new_users(_DAYS, 30)),
         "new_users_incremental": _sql("", _new_users(_NEW)),
         "feed_user_daily": _sql(_activity(), "SELECT * FROM feed_user"),
         "message_user_daily": _sql(_activity(), "SELECT * FROM message_user"),

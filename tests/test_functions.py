@@ -1,6 +1,7 @@
 import math
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,13 @@ def test_half_even(spark):
     assert [r[0] for r in rows.select(half_even(F.col("x"))).collect()] == [0, 2, 2, -2]
 
 
+def test_half_even_of_scaled_floats(spark):
+    values = [19.275, 19.285, 2.675, 1.005, 0.125, 0.375, -0.125, 1e300, math.inf]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    found = [r[0] for r in rows.select(half_even(F.col("x"), 2)).collect()]
+    assert found == [float(np.round(v, 2)) for v in values]
+
+
 def test_number_text(spark):
     values = [1.0, 83.3, 83.33, 0.0, -2.5, 12345678.25, math.inf, -math.inf, math.nan, None]
     rows = spark.createDataFrame([(v,) for v in values], "x double")

@@ -13,6 +13,18 @@ QUERIES = driver.queries()
 ORACLES = driver.oracle_sql()
 
 
+# Spark's types and their counterparts.
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     return "nan" if isinstance(value, float) and math.isnan(value) else value
 
@@ -28,7 +40,9 @@ def rows(columns, records):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW events AS SELECT * FROM '{SF_DIR}/events.parquet'")
+    events = f"{SF_DIR}/events.parquet"
+    files = f"{events}/*.parquet" if os.path.isdir(events) else events
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{files}'")
     return con
 
 
@@ -40,7 +54,8 @@ def test_every_query_has_an_oracle():
 def test_query_equals_oracle(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR)
     expected = duck.sql(ORACLES[name])
-    assert sorted(result.columns) == sorted(expected.columns)
+    types = {name: SAME_TYPE[kind] for name, kind in result.dtypes}
+    assert types == dict(zip(expected.columns, map(str, expected.types), strict=True))
     got = rows(result.columns, result.collect())
     want = rows(expected.columns, expected.fetchall())
     assert len(got) > 0
