@@ -1,10 +1,11 @@
-from pulseboard.functions.clock import Span, closed_buckets, history, last_days, rows_in, yesterday
+from pulseboard.functions.clock import Span, closed_buckets, day_of, history, last_days, rows_in, yesterday
 from pulseboard.functions.exprs import age_group, half_even, number_text, quarter_hour, ratio
 
 __all__ = [
     "Span",
     "age_group",
     "closed_buckets",
+    "day_of",
     "half_even",
     "history",
     "last_days",

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Logs stored with this partition column are pruned by it (see rows_in).
+# Partition column of logs laid out by day; it is the date of ``time``.
 DAY_PARTITION = "day"
 
 
@@ -32,6 +32,10 @@ class Span:
     def last_day(self) -> date:
         return (self.end - timedelta(microseconds=1)).date()
 
+    @property
+    def whole_days(self) -> bool:
+        return all(t == _midnight(t) for t in (self.start, self.end))
+
 
 def _moment(as_of: str | date | datetime) -> datetime:
     if isinstance(as_of, str):
@@ -70,18 +74,27 @@ def closed_buckets(as_of: str | date | datetime, minutes: int = 15) -> Span:
     return Span(midnight - timedelta(days=1), midnight + done * width)
 
 
-def rows_in(log: DataFrame, span: Span, column: str = "time") -> DataFrame:
-    """Rows of ``log`` inside ``span``.
+def day_of(log: DataFrame) -> Column:
+    """The day of each row. A log laid out by day knows it without reading ``time``."""
+    return F.col(DAY_PARTITION) if DAY_PARTITION in log.columns else F.to_date("time")
+
+
+def rows_in(log: DataFrame, span: Span) -> DataFrame:
+    """Rows of ``log`` with ``time`` inside ``span``.
 
     The bounds are literals of the column's own type, so the comparison reaches
-    the Parquet scan without a cast. A log laid out by day is pruned as well.
+    the Parquet scan without a cast. Of a log laid out by day only the span's
+    partitions are read, and for whole days nothing else is compared.
     """
-    kind = log.schema[column].dataType
-    bounded = [(F.col(column) < F.lit(span.end.isoformat(" ")).cast(kind))]
-    if DAY_PARTITION in log.columns:
-        bounded.append(F.col(DAY_PARTITION) <= F.lit(span.last_day))
-    if span.start != datetime.min:
-        bounded.append(F.col(column) >= F.lit(span.start.isoformat(" ")).cast(kind))
-        if DAY_PARTITION in log.columns:
-            bounded.append(F.col(DAY_PARTITION) >= F.lit(span.first_day))
-    return log.where(reduce(Column.__and__, bounded))
+    bounds = []
+    by_day = DAY_PARTITION in log.columns
+    if by_day:
+        bounds.append(F.col(DAY_PARTITION) <= F.lit(span.last_day))
+        if span.start != datetime.min:
+            bounds.append(F.col(DAY_PARTITION) >= F.lit(span.first_day))
+    if not (by_day and span.whole_days):
+        kind = log.schema["time"].dataType
+        bounds.append(F.col("time") < F.lit(span.end.isoformat(" ")).cast(kind))
+        if span.start != datetime.min:
+            bounds.append(F.col("time") >= F.lit(span.start.isoformat(" ")).cast(kind))
+    return log.where(reduce(Column.__and__, bounds))

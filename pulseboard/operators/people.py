@@ -37,11 +37,10 @@ def latest_attributes(attributes: DataFrame) -> DataFrame:
 
 def first_seen(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """Per user the first day in the feed and in the messenger (NULL if never)."""
-    rows = both_products(feed, messages, ["user_id", "time"])
-    day = F.to_date("time")
+    rows = both_products(feed, messages, ["user_id"], day="date")
     return rows.groupBy("user_id").agg(
-        F.min(F.when(F.col("is_feed"), day)).alias("feed_first"),
-        F.min(F.when(~F.col("is_feed"), day)).alias("msg_first"),
+        F.min(F.when(F.col("is_feed"), F.col("date"))).alias("feed_first"),
+        F.min(F.when(~F.col("is_feed"), F.col("date"))).alias("msg_first"),
     )
 
 

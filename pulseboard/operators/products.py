@@ -7,16 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseboard.functions import day_of
 
-def both_products(feed: DataFrame, messages: DataFrame, columns: Sequence[str]) -> DataFrame:
+
+def both_products(
+    feed: DataFrame, messages: DataFrame, columns: Sequence[str], day: str | None = None
+) -> DataFrame:
     """Rows of both logs on top of each other, told apart by ``is_feed``.
 
+    ``day`` names a further column with the day of each row.
+
     Grouping this once answers what would otherwise take one aggregation per log
     and a join of the results.
     """
-    return feed.select(*columns, F.lit(True).alias("is_feed")).unionByName(
-        messages.select(*columns, F.lit(False).alias("is_feed"))
-    )
+
+    def rows(log: DataFrame, is_feed: bool) -> DataFrame:
+        dated = [day_of(log).alias(day)] if day else []
+        return log.select(*columns, *dated, F.lit(is_feed).alias("is_feed"))
+
+    return rows(feed, True).unionByName(rows(messages, False))
 
 
 def message_sides(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import age_group, last_days, rows_in
+from pulseboard.functions import age_group, day_of, last_days, rows_in
 from pulseboard.operators import latest_attributes, message_sides, slice_sums, user_attributes
 from pulseboard.operators.people import ATTRIBUTES
 
@@ -20,8 +20,9 @@ GRAIN = ("event_date", "user_id", *ATTRIBUTES)
 def _feed_marks(feed: DataFrame, as_of, days: int) -> DataFrame:
     """Feed rows of the window with a 0/1 column per metric."""
     action = F.col("action")
-    return rows_in(feed, last_days(as_of, days)).select(
-        F.to_date("time").alias("event_date"),
+    rows = rows_in(feed, last_days(as_of, days))
+    return rows.select(
+        day_of(rows).alias("event_date"),
         "user_id",
         *ATTRIBUTES,
         F.when(action == "like", 1).otherwise(0).cast("bigint").alias("likes"),
@@ -64,7 +65,7 @@ def message_user_daily(
         # and the join below does not move them again.
         totals = message_sides(sent).withColumn("event_date", F.lit(span.first_day))
     else:
-        totals = message_sides(sent.withColumn("event_date", F.to_date("time")), by=["event_date"])
+        totals = message_sides(sent.withColumn("event_date", day_of(sent)), by=["event_date"])
     if isinstance(attributes, DataFrame):
         known = attributes
     else:

@@ -25,9 +25,9 @@ def audience_daily(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -
     logs are not joined. Only days on which all three counts exist are returned.
     """
     span = last_days(as_of, days)
-    rows = both_products(rows_in(feed, span), rows_in(messages, span), ["user_id", "time"])
+    rows = both_products(rows_in(feed, span), rows_in(messages, span), ["user_id"], day="date")
     rows = rows.where("user_id IS NOT NULL").withColumn(
-        "_day", F.datediff(F.to_date("time"), F.lit(span.first_day))
+        "_day", F.datediff("date", F.lit(span.first_day))
     )
     words = range((days + _WORD - 1) // _WORD)
     word_of_day = F.expr(f"int(_day div {_WORD})")

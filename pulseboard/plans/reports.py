@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import half_even, last_days, number_text, ratio, rows_in
+from pulseboard.functions import day_of, half_even, last_days, number_text, ratio, rows_in
 from pulseboard.operators import message_sides
 from pulseboard.plans.audience import audience_daily, new_users_daily
 
@@ -21,10 +21,9 @@ def _feed_user_days(feed: DataFrame, as_of, days: int) -> DataFrame:
     """Likes and views per day and user. Both feed reports group this further, so a plan that
     holds both shuffles the log once."""
     likes, views = F.count_if(F.col("action") == "like"), F.count_if(F.col("action") == "view")
-    return (
-        rows_in(feed, last_days(as_of, days))
-        .groupBy(F.to_date("time").alias("date"), "user_id")
-        .agg(likes.alias("likes"), views.alias("views"))
+    rows = rows_in(feed, last_days(as_of, days))
+    return rows.groupBy(day_of(rows).alias("date"), "user_id").agg(
+        likes.alias("likes"), views.alias("views")
     )
 
 
@@ -69,8 +68,8 @@ def feed_report(feed: DataFrame, as_of, days: int = 7, zero: str = "ieee") -> Da
 
 def message_report(messages: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Per day: senders, receivers, messages, and means per sender of messages and receivers."""
-    rows = rows_in(messages, last_days(as_of, days)).withColumn("date", F.to_date("time"))
-    people = message_sides(rows, by=["date"])
+    rows = rows_in(messages, last_days(as_of, days))
+    people = message_sides(rows.withColumn("date", day_of(rows)), by=["date"])
     sends = F.col("rows_sent") > 0
     return people.groupBy("date").agg(
         F.count_if(sends).alias("senders"),
@@ -81,11 +80,16 @@ def message_report(messages: DataFrame, as_of, days: int = 7) -> DataFrame:
     )
 
 
-def app_reports(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -> dict[str, DataFrame]:
-    """The four reports on the whole application, by name."""
+def app_reports(
+    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The four reports on the whole application, by name.
+
+    ``seen`` is the table of first-seen days, if kept; see :func:`new_users_daily`.
+    """
     return {
         "audience": audience_daily(feed, messages, as_of, days),
-        "new_users": new_users_daily(feed, messages, as_of, days),
+        "new_users": new_users_daily(feed, messages, as_of, days, seen),
         "feed": feed_report(feed, as_of, days),
         "messages": message_report(messages, as_of, days),
     }
@@ -97,22 +101,26 @@ def _long(report: DataFrame, name: str, metrics: list[str]) -> DataFrame:
     return series.select(F.lit(name).alias("report"), "date", "metric", "value")
 
 
-def report_series(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -> DataFrame:
+def report_series(
+    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+) -> DataFrame:
     """Long (report, date, metric, value): every line drawn in the app and the feed report."""
     undrawn = {"date", "avg_resivers_per_user"}
     lines = _long(feed_daily(feed, as_of, days), "feed", list(FEED_SERIES))
-    for report in app_reports(feed, messages, as_of, days).values():
+    for report in app_reports(feed, messages, as_of, days, seen).values():
         lines = lines.unionByName(
             _long(report, "app", [c for c in report.columns if c not in undrawn])
         )
     return lines
 
 
-def app_report_latest(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -> DataFrame:
+def app_report_latest(
+    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+) -> DataFrame:
     """One row: the newest day of each of the four reports, which need not be the same day."""
     newest = None
     columns = []
-    for name, report in app_reports(feed, messages, as_of, days).items():
+    for name, report in app_reports(feed, messages, as_of, days, seen).items():
         dated = report.withColumnRenamed("date", f"{name}_date")
         columns += dated.columns
         top = dated.orderBy(F.desc(f"{name}_date")).limit(1)
@@ -180,6 +188,8 @@ def feed_report_text(feed: DataFrame, as_of, days: int = 7) -> DataFrame:
     return _filled_text(newest.withColumn("CTR", half_even(F.col("CTR"), 2)), FEED_TEXT)
 
 
-def app_report_text(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -> DataFrame:
+def app_report_text(
+    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+) -> DataFrame:
     """The app report's message, from the newest day of each report."""
-    return _filled_text(app_report_latest(feed, messages, as_of, days), APP_TEXT)
+    return _filled_text(app_report_latest(feed, messages, as_of, days, seen), APP_TEXT)

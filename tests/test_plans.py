@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from pulseboard.catalog import AS_OF
-from pulseboard.plans import activity, audience, reports
+from pulseboard.plans import activity, alerts, audience, reports
 from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, write_log
 from pulseboard.sources import events as source
 from pulseboard.sources.logs import read_log
@@ -22,9 +22,22 @@ def plan_of(frame, final=False):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture(scope="module")
+def plain(spark, tmp_path_factory):
+    """Both logs as tables without a layout."""
+    root = tmp_path_factory.mktemp("plain")
+    events = source.events(spark, SF_DIR)
+    source.feed_actions(events).write.parquet(f"{root}/feed")
+    source.message_actions(events).write.parquet(f"{root}/messages")
+    return (
+        spark.read.schema(FEED_SCHEMA).parquet(f"{root}/feed"),
+        spark.read.schema(MESSAGE_SCHEMA).parquet(f"{root}/messages"),
+    )
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
-    """Both logs as tables of their own, as in production."""
+    """Both logs laid out by day, as in production."""
     root = tmp_path_factory.mktemp("logs")
     events = source.events(spark, SF_DIR)
     write_log(source.feed_actions(events), f"{root}/feed")
@@ -48,16 +61,46 @@ def test_no_python_no_cross_join_no_single_task_window(spark, name):
         assert window in ("metric", "os")
 
 
-def test_filters_and_columns_reach_the_scans(stored):
-    feed, messages = stored
+def read_columns(plan):
+    return sorted(set(re.findall(r"ReadSchema: struct<(.*?)>", plan)))
+
+
+def test_filters_and_columns_reach_the_scans(plain):
+    feed, messages = plain
     plan = plan_of(activity.feed_user_daily(feed, AS_OF))
     assert "GreaterThanOrEqual(time,2024-01-30T00:00)" in plan
     assert "LessThan(time,2024-01-31T00:00)" in plan
-    assert re.search(r"PartitionFilters: \[.*day.* >= 2024-01-30", plan)
     plan = plan_of(audience.audience_daily(feed, messages, AS_OF))
-    assert set(re.findall(r"ReadSchema: (struct<.*?>)", plan)) == {
-        "struct<user_id:bigint,time:timestamp_ntz>"
-    }
+    assert read_columns(plan) == ["user_id:bigint,time:timestamp_ntz"]
+
+
+def test_whole_days_of_a_log_laid_out_by_day_need_no_time(stored):
+    feed, messages = stored
+    plan = plan_of(activity.feed_user_daily(feed, AS_OF))
+    assert re.search(r"PartitionFilters: \[.*day.* <= 2024-01-30.*day.* >= 2024-01-30", plan)
+    assert "time" not in read_columns(plan)[0]
+    for daily in (audience.audience_daily, audience.new_users_daily):
+        assert read_columns(plan_of(daily(feed, messages, AS_OF))) == ["user_id:bigint"]
+    plan = plan_of(alerts.quarter_hour_metrics(feed, messages, "2024-01-30 12:10:00"))
+    assert "LessThan(time,2024-01-30T12:00)" in plan
+    assert re.search(r"PartitionFilters: \[.*day.* <= 2024-01-30.*day.* >= 2024-01-29", plan)
+
+
+def test_shuffles_move_aggregated_rows_only(stored):
+    """Below every shuffle is a partial aggregate, or the final one that a join or sort follows."""
+    feed, messages = stored
+    for frame in (
+        activity.dimension_metrics(feed, messages, AS_OF, days=30),
+        activity.user_activity_daily(feed, messages, AS_OF, attributes="latest"),
+        reports.report_series(feed, messages, AS_OF),
+        reports.app_report_latest(feed, messages, AS_OF),
+        alerts.alert_replay(alerts.quarter_hour_series(feed, messages, by=["os"]), by=["os"]),
+    ):
+        lines = plan_of(frame).splitlines()
+        below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpart" in line]
+        assert below
+        for line in below:
+            assert "Aggregate(" in line or "Expand" in line, line
 
 
 def scans_and_shuffles(frame):
@@ -82,3 +125,29 @@ def test_scans_and_shuffles(stored):
 def test_feed_reports_share_one_shuffle_of_the_log(stored):
     plan = plan_of(reports.report_series(*stored, AS_OF), final=True)
     assert "ReusedExchange" in plan
+
+
+MONTH = {"as_of": AS_OF, "days": 30}
+OF_BOTH = {
+    "audience": audience.audience_daily,
+    "new_users": audience.new_users_daily,
+    "message_user": activity.message_user_daily,
+    "activity": activity.user_activity_daily,
+    "dimensions": activity.dimension_metrics,
+    "series": reports.report_series,
+    "latest": reports.app_report_latest,
+}
+
+
+@pytest.mark.parametrize("name", sorted(OF_BOTH))
+def test_layout_does_not_change_results(plain, stored, name):
+    by_time, by_day = (OF_BOTH[name](*logs, **MONTH) for logs in (plain, stored))
+    assert by_time.count() > 0
+    assert by_time.exceptAll(by_day).count() == by_day.exceptAll(by_time).count() == 0
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-30 12:10:00", "2024-01-31"])
+def test_layout_does_not_change_quarter_hours(plain, stored, as_of):
+    by_time, by_day = (alerts.quarter_hour_metrics(*logs, as_of) for logs in (plain, stored))
+    assert by_time.count() > 0
+    assert by_time.exceptAll(by_day).count() == by_day.exceptAll(by_time).count() == 0
