@@ -45,7 +45,8 @@ def _feed_daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                   WHEN count_if(action = 'like') > 0 THEN double('inf')
                   ELSE double('nan') END AS CTR
            FROM {feed}
-           WHERE to_date(time) BETWEEN date_sub(:as_of, 7) AND date_sub(:as_of, 1)
+           WHERE time >= CAST(date_sub(:as_of, 7) AS TIMESTAMP_NTZ)
+             AND time < CAST(:as_of AS TIMESTAMP_NTZ)
            GROUP BY to_date(time)""",
         args={"as_of": AS_OF},
         feed=feed,

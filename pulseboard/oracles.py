@@ -1,7 +1,8 @@
 """The queries of :mod:`pulseboard.catalog` as SQL for another engine.
 
-Written separately, with the joins, subqueries and distinct counts that the Spark
-plans avoid, so that agreement means something. Dates match the catalog's.
+Written separately, from one table of all actions and with the distinct counts and
+joins that the Spark plans avoid, so that agreement means something. Dates match the
+catalog's.
 """
 
 from __future__ import annotations
@@ -14,24 +15,19 @@ person AS (
   SELECT *, user_id + 1 AS u,
     (user_id + 1) // 2
       + CASE WHEN (user_id + 1) % 10 = 0 AND day(ts) >= 16 THEN 1 ELSE 0 END AS half,
-    CASE WHEN user_id % 7 = 0 THEN 'messenger'
-         WHEN user_id % 5 = 0 THEN 'feed'
-         WHEN event_type IN ('view', 'click') THEN 'feed'
-         ELSE 'messenger' END AS product
+    CASE WHEN user_id % 7 = 0 THEN false
+         WHEN user_id % 5 = 0 THEN true
+         ELSE event_type IN ('view', 'click') END AS in_feed
   FROM events),
 acted AS (
-  SELECT event_id, event_type, props, product, u AS user_id, ts AS time,
+  SELECT u AS user_id, ts AS time, CAST(ts AS DATE) AS date, in_feed,
     CAST(u % 2 AS INTEGER) AS gender, CAST(10 + (u * 37) % 61 AS INTEGER) AS age,
-    CASE WHEN half % 2 = 0 THEN 'iOS' ELSE 'Android' END AS os
-  FROM person),
-feed_actions AS (
-  SELECT user_id, time, gender, age, os,
-    CASE WHEN event_type IN ('click', 'purchase') THEN 'like' ELSE 'view' END AS action
-  FROM acted WHERE product = 'feed'),
-message_actions AS (
-  SELECT user_id, time, gender, age, os,
-    2 * CAST(json_extract_string(props, '$.k') AS BIGINT) + event_id % 2 + 1 AS reciever_id
-  FROM acted WHERE product = 'messenger')"""
+    CASE WHEN half % 2 = 0 THEN 'iOS' ELSE 'Android' END AS os,
+    in_feed AND event_type IN ('click', 'purchase') AS liked,
+    in_feed AND event_type NOT IN ('click', 'purchase') AS viewed,
+    CASE WHEN NOT in_feed THEN 2 * CAST(json_extract_string(props, '$.k') AS BIGINT)
+      + event_id % 2 + 1 END AS reciever_id
+  FROM person)"""
 
 _DAYS = "2024-01-31"
 _NEW = "2024-01-08"
@@ -42,78 +38,70 @@ def _sql(ctes: str, select: str) -> str:
 
 
 def _week(as_of: str, days: int = 7) -> str:
-    return (
-        f"CAST(time AS DATE) BETWEEN DATE '{as_of}' - {days} AND DATE '{as_of}' - 1"
-    )
+    return f"date >= DATE '{as_of}' - {days} AND date < DATE '{as_of}'"
+
+
+_LIKES = "count(*) FILTER (liked)"
+_VIEWS = "count(*) FILTER (viewed)"
+_CTR = f"CAST({_LIKES} AS DOUBLE) / {_VIEWS}"
 
 
 def _feed_daily(as_of: str, days: int = 7) -> str:
     return f"""
-SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS "DAU",
-  count(*) FILTER (action = 'view') AS views, count(*) FILTER (action = 'like') AS likes,
-  CAST(count(*) FILTER (action = 'like') AS DOUBLE) / count(*) FILTER (action = 'view') AS "CTR"
-FROM feed_actions WHERE {_week(as_of, days)} GROUP BY 1"""
+SELECT date, count(DISTINCT user_id) AS "DAU", {_VIEWS} AS views, {_LIKES} AS likes, {_CTR} AS "CTR"
+FROM acted WHERE in_feed AND {_week(as_of, days)} GROUP BY date"""
 
 
 def _audience(as_of: str, days: int = 7) -> str:
     return f"""
-SELECT date, feed_users, message_users, feed_message_users
-FROM (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS feed_message_users
-      FROM feed_actions
-      WHERE {_week(as_of, days)}
-        AND user_id IN (SELECT user_id FROM message_actions WHERE {_week(as_of, days)})
-      GROUP BY 1)
-JOIN (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS feed_users
-      FROM feed_actions WHERE {_week(as_of, days)} GROUP BY 1) USING (date)
-JOIN (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS message_users
-      FROM message_actions WHERE {_week(as_of, days)} GROUP BY 1) USING (date)"""
+SELECT date, count(DISTINCT user_id) FILTER (in_feed) AS feed_users,
+  count(DISTINCT user_id) FILTER (NOT in_feed) AS message_users,
+  count(DISTINCT user_id) FILTER (in_feed AND writes) AS feed_message_users
+FROM (SELECT *, bool_or(NOT in_feed) OVER (PARTITION BY user_id) AS writes
+      FROM acted WHERE {_week(as_of, days)})
+GROUP BY date HAVING message_users > 0 AND feed_message_users > 0"""
 
 
 def _feed_report(as_of: str, days: int = 7, null_rate: bool = False) -> str:
-    views = "nullif(views, 0)" if null_rate else "views"
-    total = "nullif(sum(views), 0)" if null_rate else "sum(views)"
+    def rate(likes: str, views: str) -> str:
+        below = f"nullif({views}, 0)" if null_rate else views
+        return f"CAST({likes} AS DOUBLE) / {below} * 100"
+
     return f"""
-SELECT date, round_even(avg(likes), 0) AS avg_likes, CAST(sum(likes) AS BIGINT) AS sum_likes,
-  round_even(avg(views), 0) AS avg_views, CAST(sum(views) AS BIGINT) AS sum_views,
-  round_even(avg(CAST(likes AS DOUBLE) / {views} * 100), 2) AS avg_ctr,
-  round_even(CAST(sum(likes) AS DOUBLE) / CAST({total} AS DOUBLE) * 100, 2) AS sum_ctr
-FROM (SELECT CAST(time AS DATE) AS date, user_id,
-        count(*) FILTER (action = 'like') AS likes, count(*) FILTER (action = 'view') AS views
-      FROM feed_actions WHERE {_week(as_of, days)} GROUP BY 1, 2)
+SELECT date, round_even(CAST(sum(likes) AS DOUBLE) / count(*), 0) AS avg_likes,
+  CAST(sum(likes) AS BIGINT) AS sum_likes,
+  round_even(CAST(sum(views) AS DOUBLE) / count(*), 0) AS avg_views,
+  CAST(sum(views) AS BIGINT) AS sum_views, round_even(avg(rate), 2) AS avg_ctr,
+  round_even({rate("sum(likes)", "CAST(sum(views) AS DOUBLE)")}, 2) AS sum_ctr
+FROM (SELECT date, user_id, {_LIKES} AS likes, {_VIEWS} AS views, {rate("likes", "views")} AS rate
+      FROM acted WHERE in_feed AND {_week(as_of, days)} GROUP BY date, user_id)
 GROUP BY date"""
 
 
 def _message_report(as_of: str, days: int = 7) -> str:
+    """Means per sender are totals over the number of senders."""
     return f"""
-SELECT date, senders, recievers, msg_sent, avg_msg_sent, avg_resivers_per_user
-FROM (SELECT date, round_even(avg(sent), 0) AS avg_msg_sent,
-        round_even(avg(peers), 0) AS avg_resivers_per_user
-      FROM (SELECT CAST(time AS DATE) AS date, user_id, count(reciever_id) AS sent,
-              count(DISTINCT reciever_id) AS peers
-            FROM message_actions WHERE {_week(as_of, days)} GROUP BY 1, 2)
-      GROUP BY date)
-JOIN (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS senders,
-        count(DISTINCT reciever_id) AS recievers, count(user_id) AS msg_sent
-      FROM message_actions WHERE {_week(as_of, days)} GROUP BY 1) USING (date)"""
+SELECT date, count(DISTINCT user_id) AS senders, count(DISTINCT reciever_id) AS recievers,
+  count(*) AS msg_sent,
+  round_even(CAST(count(reciever_id) AS DOUBLE) / senders, 0) AS avg_msg_sent,
+  round_even(CAST(count(DISTINCT (user_id, reciever_id)) AS DOUBLE) / senders, 0)
+    AS avg_resivers_per_user
+FROM acted WHERE NOT in_feed AND {_week(as_of, days)} GROUP BY date"""
 
 
 def _new_users(as_of: str, days: int = 7) -> str:
-    def first(log: str) -> str:
-        return f"""(SELECT user_id, min(CAST(time AS DATE)) AS date FROM {log} GROUP BY user_id
-          HAVING min(CAST(time AS DATE)) >= DATE '{as_of}' - {days}
-             AND min(CAST(time AS DATE)) < DATE '{as_of}')"""
-
+    """Every day of the window against every user."""
+    start = f"DATE '{as_of}' - {days}"
     return f"""
-SELECT date, coalesce(feed_new_users, 0) AS feed_new_users,
-  coalesce(msg_new_users, 0) AS msg_new_users,
-  coalesce(feed_msg_new_users, 0) AS feed_msg_new_users
-FROM (SELECT date, count(user_id) AS feed_new_users FROM {first('feed_actions')} GROUP BY date)
-FULL JOIN (SELECT date, count(user_id) AS msg_new_users
-           FROM {first('message_actions')} GROUP BY date) USING (date)
-FULL JOIN (SELECT date, count(user_id) AS feed_msg_new_users
-           FROM {first('message_actions')}
-           WHERE user_id IN (SELECT user_id FROM {first('feed_actions')})
-           GROUP BY date) USING (date)"""
+SELECT date, count(*) FILTER (feed_first = date) AS feed_new_users,
+  count(*) FILTER (msg_first = date) AS msg_new_users,
+  count(*) FILTER (msg_first = date AND feed_first >= {start} AND feed_first < DATE '{as_of}')
+    AS feed_msg_new_users
+FROM (SELECT CAST(range AS DATE) AS date FROM range({start}, DATE '{as_of}', INTERVAL 1 DAY)),
+  (SELECT user_id, min(date) FILTER (in_feed) AS feed_first,
+     min(date) FILTER (NOT in_feed) AS msg_first
+   FROM acted GROUP BY user_id)
+GROUP BY date HAVING feed_new_users + msg_new_users > 0"""
 
 
 def _activity(days: int = 1, latest: bool = False) -> str:
@@ -125,29 +113,26 @@ def _activity(days: int = 1, latest: bool = False) -> str:
       ORDER BY time DESC, gender DESC, age DESC, os DESC) AS rank FROM about) WHERE rank = 1"""
     return f"""
 feed_user AS (
-  SELECT CAST(time AS DATE) AS event_date, user_id, gender, age, os,
-    count(*) FILTER (action = 'like') AS likes, count(*) FILTER (action = 'view') AS views
-  FROM feed_actions WHERE {_week(_DAYS, days)} GROUP BY ALL),
-sent AS (
-  SELECT CAST(time AS DATE) AS event_date, user_id, count(reciever_id) AS messages_sent,
-    count(DISTINCT reciever_id) AS users_sent
-  FROM message_actions WHERE {_week(_DAYS, days)} GROUP BY ALL),
-received AS (
-  SELECT CAST(time AS DATE) AS event_date, reciever_id AS user_id, count(*) AS messages_received,
-    count(DISTINCT user_id) AS users_received
-  FROM message_actions WHERE {_week(_DAYS, days)} GROUP BY ALL),
-messaged AS (SELECT * FROM sent FULL JOIN received USING (event_date, user_id)),
+  SELECT date AS event_date, user_id, gender, age, os, {_LIKES} AS likes, {_VIEWS} AS views
+  FROM acted WHERE in_feed AND {_week(_DAYS, days)} GROUP BY ALL),
+ends AS (
+  SELECT date AS event_date, user_id, reciever_id AS peer, true AS sent
+  FROM acted WHERE NOT in_feed AND {_week(_DAYS, days)}
+  UNION ALL
+  SELECT date, reciever_id, user_id, false
+  FROM acted WHERE NOT in_feed AND {_week(_DAYS, days)}),
+messaged AS (
+  SELECT event_date, user_id, count(*) FILTER (NOT sent) AS messages_received,
+    count(peer) FILTER (sent) AS messages_sent,
+    count(DISTINCT peer) FILTER (sent) AS users_sent,
+    count(DISTINCT peer) FILTER (NOT sent) AS users_received
+  FROM ends GROUP BY ALL),
 about AS (
-  SELECT user_id, gender, age, os, max(time) AS time
-  FROM (SELECT user_id, gender, age, os, time FROM message_actions
-        UNION ALL SELECT user_id, gender, age, os, time FROM feed_actions)
-  WHERE user_id IN (SELECT user_id FROM messaged) GROUP BY ALL),
+  SELECT user_id, gender, age, os, max(time) AS time FROM acted GROUP BY ALL),
 known AS ({known}),
 message_user AS (
   SELECT event_date, user_id, coalesce(gender, 0) AS gender, coalesce(age, 0) AS age,
-    coalesce(os, '') AS os, coalesce(messages_received, 0) AS messages_received,
-    coalesce(messages_sent, 0) AS messages_sent, coalesce(users_sent, 0) AS users_sent,
-    coalesce(users_received, 0) AS users_received
+    coalesce(os, '') AS os, messages_received, messages_sent, users_sent, users_received
   FROM messaged LEFT JOIN known USING (user_id)),
 merged AS (
   SELECT event_date, user_id, gender, age AS years, os, coalesce(likes, 0) AS likes,
@@ -184,18 +169,14 @@ _LIVE = "time >= TIMESTAMP '2024-01-30' AND time < TIMESTAMP '2024-01-31'"
 
 def _quarters(where: str, by: str = "") -> str:
     """CTE quarters: the metrics of both products per quarter hour."""
-    keys = f"quart_hour{', ' + by if by else ''}"
-    cut = f"time_bucket(INTERVAL 15 MINUTE, time) AS quart_hour{', ' + by if by else ''}"
     return f"""
 quarters AS (
-  SELECT {keys}, feed_users, msg_users, likes, views, messages, ctr
-  FROM (SELECT {cut}, count(DISTINCT user_id) AS feed_users,
-          count(*) FILTER (action = 'like') AS likes, count(*) FILTER (action = 'view') AS views,
-          CAST(count(*) FILTER (action = 'like') AS DOUBLE)
-            / count(*) FILTER (action = 'view') AS ctr
-        FROM feed_actions WHERE {where} GROUP BY {keys})
-  JOIN (SELECT {cut}, count(DISTINCT user_id) AS msg_users, count(user_id) AS messages
-        FROM message_actions WHERE {where} GROUP BY {keys}) USING ({keys}))"""
+  SELECT time_bucket(INTERVAL 15 MINUTE, time) AS quart_hour{', ' + by if by else ''},
+    count(DISTINCT user_id) FILTER (in_feed) AS feed_users,
+    count(DISTINCT user_id) FILTER (NOT in_feed) AS msg_users,
+    {_LIKES} AS likes, {_VIEWS} AS views, count(*) FILTER (NOT in_feed) AS messages,
+    {_CTR} AS ctr
+  FROM acted WHERE {where} GROUP BY ALL HAVING feed_users > 0 AND msg_users > 0)"""
 
 
 def _bands(where: str, ahead: int, by: str = "") -> str:
@@ -232,7 +213,7 @@ replay AS (
 
 # Buckets that the streams' watermark has closed once both logs are read.
 _CLOSED = """quart_hour + INTERVAL 15 MINUTE <= least(
-  (SELECT max(time) FROM feed_actions), (SELECT max(time) FROM message_actions))
+  (SELECT max(time) FROM acted WHERE in_feed), (SELECT max(time) FROM acted WHERE NOT in_feed))
   - INTERVAL 30 MINUTE"""
 
 
