@@ -1,7 +1,17 @@
-from pulseboard.functions.clock import Span, closed_buckets, day_of, history, last_days, rows_in, yesterday
+from pulseboard.functions.clock import (
+    Moment,
+    Span,
+    closed_buckets,
+    day_of,
+    history,
+    last_days,
+    rows_in,
+    yesterday,
+)
 from pulseboard.functions.exprs import age_group, half_even, number_text, quarter_hour, ratio
 
 __all__ = [
+    "Moment",
     "Span",
     "age_group",
     "closed_buckets",

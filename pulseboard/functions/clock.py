@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 DAY_PARTITION = "day"
 
 
+Moment = str | date | datetime
+
+
 @dataclass(frozen=True)
 class Span:
     """Half-open time range [start, end)."""
@@ -37,7 +40,7 @@ class Span:
         return all(t == _midnight(t) for t in (self.start, self.end))
 
 
-def _moment(as_of: str | date | datetime) -> datetime:
+def _moment(as_of: Moment) -> datetime:
     if isinstance(as_of, str):
         return datetime.fromisoformat(as_of)
     if isinstance(as_of, datetime):
@@ -45,11 +48,11 @@ def _moment(as_of: str | date | datetime) -> datetime:
     return datetime(as_of.year, as_of.month, as_of.day)
 
 
-def _midnight(as_of: str | date | datetime) -> datetime:
+def _midnight(as_of: Moment) -> datetime:
     return _moment(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
 
 
-def last_days(as_of: str | date | datetime, days: int) -> Span:
+def last_days(as_of: Moment, days: int) -> Span:
     """The ``days`` full days before the day of ``as_of``, that day excluded."""
     if days < 1:
         raise ValueError("days must be at least 1")
@@ -57,16 +60,16 @@ def last_days(as_of: str | date | datetime, days: int) -> Span:
     return Span(end - timedelta(days=days), end)
 
 
-def yesterday(as_of: str | date | datetime) -> Span:
+def yesterday(as_of: Moment) -> Span:
     return last_days(as_of, 1)
 
 
-def history(as_of: str | date | datetime) -> Span:
+def history(as_of: Moment) -> Span:
     """Everything before the day of ``as_of``."""
     return Span(datetime.min, _midnight(as_of))
 
 
-def closed_buckets(as_of: str | date | datetime, minutes: int = 15) -> Span:
+def closed_buckets(as_of: Moment, minutes: int = 15) -> Span:
     """From yesterday's midnight up to the start of the bucket that is still open."""
     midnight = _midnight(as_of)
     width = timedelta(minutes=minutes)

@@ -1,8 +1,9 @@
 """Interquartile bands over long metric series (``metric``, ``quart_hour``, ``value``).
 
 A raw band comes from the ``sample_size`` rows before a row; it is NULL until that
-many exist. Bounds are then averaged over neighbouring rows. NULL, never NaN,
-stands for a missing bound, because NaN compares greater than any number.
+many exist and are finite numbers (a rate need not be). Bounds are then averaged
+over neighbouring rows. NULL, never NaN, stands for a missing bound, because NaN
+compares greater than any number.
 
 Each series is one window partition. It holds one row per bucket, so its size
 follows from the calendar (35,040 quarter hours a year), not from the volume of the
@@ -13,12 +14,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BUCKET = "quart_hour"
 
 
+def finite(value: Column) -> Column:
+    """The value, or NULL for nan and the infinities."""
+    number = value.cast("double")
+    return F.when(F.abs(number) < float("inf"), value)
+
+
 def _order(by: Sequence[str]) -> WindowSpec:
     return Window.partitionBy("metric", *by).orderBy(BUCKET)
 
@@ -29,8 +36,9 @@ def _bands(
     order = _order(by)
     previous = order.rowsBetween(-sample_size, -1)
     around = order.rowsBetween(-(sample_size // 2), smooth_ahead)
-    quartiles = F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).over(previous)
-    enough = F.count("value").over(previous) == sample_size
+    number = finite(F.col("value"))
+    quartiles = F.percentile(number, F.array(F.lit(0.25), F.lit(0.75))).over(previous)
+    enough = F.count(number).over(previous) == sample_size
     raw = (
         series.withColumn("_quartiles", F.when(enough, quartiles))
         .withColumn("q25", F.col("_quartiles")[0])

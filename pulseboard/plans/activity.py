@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import age_group, day_of, last_days, rows_in
+from pulseboard.functions import Moment, age_group, day_of, last_days, rows_in
 from pulseboard.operators import latest_attributes, message_sides, slice_sums, user_attributes
 from pulseboard.operators.people import ATTRIBUTES
 
@@ -17,7 +17,7 @@ METRICS = (*FEED_METRICS, *MESSAGE_METRICS)
 GRAIN = ("event_date", "user_id", *ATTRIBUTES)
 
 
-def _feed_marks(feed: DataFrame, as_of, days: int) -> DataFrame:
+def _feed_marks(feed: DataFrame, as_of: Moment, days: int) -> DataFrame:
     """Feed rows of the window with a 0/1 column per metric."""
     action = F.col("action")
     rows = rows_in(feed, last_days(as_of, days))
@@ -39,7 +39,7 @@ def _filled(rows: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return rows.fillna({**dict.fromkeys(metrics, 0), "gender": 0, "age": 0, "os": ""})
 
 
-def feed_user_daily(feed: DataFrame, as_of, days: int = 1) -> DataFrame:
+def feed_user_daily(feed: DataFrame, as_of: Moment, days: int = 1) -> DataFrame:
     """Likes and views per day, user and attributes; by default of yesterday."""
     return _feed_marks(feed, as_of, days).groupBy(*GRAIN).agg(*_sums(FEED_METRICS))
 
@@ -47,7 +47,7 @@ def feed_user_daily(feed: DataFrame, as_of, days: int = 1) -> DataFrame:
 def message_user_daily(
     feed: DataFrame,
     messages: DataFrame,
-    as_of,
+    as_of: Moment,
     days: int = 1,
     attributes: str | DataFrame = "all",
 ) -> DataFrame:
@@ -78,7 +78,7 @@ def message_user_daily(
     return _filled(joined.select(*GRAIN, *MESSAGE_METRICS), MESSAGE_METRICS)
 
 
-def _facts(feed: DataFrame, messages: DataFrame, as_of, days: int, attributes) -> DataFrame:
+def _facts(feed: DataFrame, messages: DataFrame, as_of: Moment, days: int, attributes) -> DataFrame:
     """Additive rows of both products; sums over them equal sums over the outer merge."""
     both = _feed_marks(feed, as_of, days).unionByName(
         message_user_daily(feed, messages, as_of, days, attributes), allowMissingColumns=True
@@ -89,7 +89,7 @@ def _facts(feed: DataFrame, messages: DataFrame, as_of, days: int, attributes) -
 def user_activity_daily(
     feed: DataFrame,
     messages: DataFrame,
-    as_of,
+    as_of: Moment,
     days: int = 1,
     attributes: str | DataFrame = "all",
 ) -> DataFrame:
@@ -101,7 +101,7 @@ def user_activity_daily(
 def dimension_metrics(
     feed: DataFrame,
     messages: DataFrame,
-    as_of,
+    as_of: Moment,
     days: int = 1,
     dimensions: Sequence[str] = ATTRIBUTES,
     attributes: str | DataFrame = "all",

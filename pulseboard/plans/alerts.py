@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from pulseboard.functions import closed_buckets, half_even, number_text, quarter_hour, ratio, rows_in
+from pulseboard.functions import (
+    Moment,
+    closed_buckets,
+    half_even,
+    number_text,
+    quarter_hour,
+    ratio,
+    rows_in,
+)
 from pulseboard.operators import causal_bands, chart_bands
 from pulseboard.operators.bands import BUCKET
 
@@ -82,10 +90,19 @@ def quarter_hour_series(
     return metrics
 
 
-def quarter_hour_metrics(feed: DataFrame, messages: DataFrame, as_of, **options) -> DataFrame:
+def quarter_hour_metrics(
+    feed: DataFrame,
+    messages: DataFrame,
+    as_of: Moment,
+    by: Sequence[str] = (),
+    with_ctr: bool = False,
+    minutes: int = 15,
+) -> DataFrame:
     """The series from yesterday's midnight to the last closed bucket before ``as_of``."""
-    span = closed_buckets(as_of, options.get("minutes", 15))
-    return quarter_hour_series(rows_in(feed, span), rows_in(messages, span), **options)
+    span = closed_buckets(as_of, minutes)
+    return quarter_hour_series(
+        rows_in(feed, span), rows_in(messages, span), by, with_ctr, minutes
+    )
 
 
 def long_series(
@@ -107,9 +124,13 @@ def metric_bands(
 
 
 def decisions(bands: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Whether each value lies outside its band (never, without a band), and by how much it moved."""
+    """Whether each value lies outside its band, and by how much it moved.
+
+    A value that is no number, or that has no band, does not alert.
+    """
     value = F.col("value")
-    outside = (value < F.col("low")) | (value > F.col("up"))
+    number = F.nanvl(value, F.lit(None)) if dict(bands.dtypes)["value"] == "double" else value
+    outside = (number < F.col("low")) | (number > F.col("up"))
     deviation = (1 - F.try_divide(value, F.col("prev_value"))) * 100
     return bands.select(
         "metric",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import history, last_days, rows_in
+from pulseboard.functions import Moment, history, last_days, rows_in
 from pulseboard.operators import both_products, first_seen
 
 _WORD = 63  # days kept in one bigint
@@ -17,7 +17,7 @@ def _some(masks: list[Column]) -> Column:
     return reduce(lambda x, y: x | y, [m != 0 for m in masks])
 
 
-def audience_daily(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -> DataFrame:
+def audience_daily(feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
     """Users per day of the feed, of the messenger, and feed users who sent a message on any day.
 
     Per user the active days of each product become bits of a number. One shuffle of
@@ -64,7 +64,7 @@ def audience_daily(feed: DataFrame, messages: DataFrame, as_of, days: int = 7) -
 
 
 def new_users_daily(
-    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+    feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7, seen: DataFrame | None = None
 ) -> DataFrame:
     """Users by the day they were first seen in the feed, in the messenger, in both.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import day_of, half_even, last_days, number_text, ratio, rows_in
+from pulseboard.functions import Moment, day_of, half_even, last_days, number_text, ratio, rows_in
 from pulseboard.operators import message_sides
 from pulseboard.plans.audience import audience_daily, new_users_daily
 
@@ -17,7 +17,7 @@ def newest_first(report: DataFrame) -> DataFrame:
     return report.orderBy(F.desc("date"))
 
 
-def _feed_user_days(feed: DataFrame, as_of, days: int) -> DataFrame:
+def _feed_user_days(feed: DataFrame, as_of: Moment, days: int) -> DataFrame:
     """Likes and views per day and user. Both feed reports group this further, so a plan that
     holds both shuffles the log once."""
     likes, views = F.count_if(F.col("action") == "like"), F.count_if(F.col("action") == "view")
@@ -27,7 +27,7 @@ def _feed_user_days(feed: DataFrame, as_of, days: int) -> DataFrame:
     )
 
 
-def feed_daily(feed: DataFrame, as_of, days: int = 7) -> DataFrame:
+def feed_daily(feed: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
     """Per day: users, views, likes and likes per view of the feed."""
     return (
         _feed_user_days(feed, as_of, days)
@@ -41,7 +41,7 @@ def feed_daily(feed: DataFrame, as_of, days: int = 7) -> DataFrame:
     )
 
 
-def feed_report(feed: DataFrame, as_of, days: int = 7, zero: str = "ieee") -> DataFrame:
+def feed_report(feed: DataFrame, as_of: Moment, days: int = 7, zero: str = "ieee") -> DataFrame:
     """Per day: totals and per-user means of likes, views and click-through rate (%).
 
     ``avg_ctr`` is the mean of the users' rates, ``sum_ctr`` the rate of the totals.
@@ -66,7 +66,7 @@ def feed_report(feed: DataFrame, as_of, days: int = 7, zero: str = "ieee") -> Da
     )
 
 
-def message_report(messages: DataFrame, as_of, days: int = 7) -> DataFrame:
+def message_report(messages: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
     """Per day: senders, receivers, messages, and means per sender of messages and receivers."""
     rows = rows_in(messages, last_days(as_of, days))
     people = message_sides(rows.withColumn("date", day_of(rows)), by=["date"])
@@ -81,7 +81,7 @@ def message_report(messages: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 
 def app_reports(
-    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+    feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7, seen: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The four reports on the whole application, by name.
 
@@ -102,7 +102,7 @@ def _long(report: DataFrame, name: str, metrics: list[str]) -> DataFrame:
 
 
 def report_series(
-    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+    feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7, seen: DataFrame | None = None
 ) -> DataFrame:
     """Long (report, date, metric, value): every line drawn in the app and the feed report."""
     undrawn = {"date", "avg_resivers_per_user"}
@@ -115,7 +115,7 @@ def report_series(
 
 
 def app_report_latest(
-    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+    feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7, seen: DataFrame | None = None
 ) -> DataFrame:
     """One row: the newest day of each of the four reports, which need not be the same day."""
     newest = None
@@ -182,14 +182,14 @@ def _filled_text(row: DataFrame, template: str) -> DataFrame:
     return row.select(text.alias("text"))
 
 
-def feed_report_text(feed: DataFrame, as_of, days: int = 7) -> DataFrame:
+def feed_report_text(feed: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
     """The feed report's message about its newest day."""
     newest = feed_daily(feed, as_of, days).orderBy(F.desc("date")).limit(1)
     return _filled_text(newest.withColumn("CTR", half_even(F.col("CTR"), 2)), FEED_TEXT)
 
 
 def app_report_text(
-    feed: DataFrame, messages: DataFrame, as_of, days: int = 7, seen: DataFrame | None = None
+    feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7, seen: DataFrame | None = None
 ) -> DataFrame:
     """The app report's message, from the newest day of each report."""
     return _filled_text(app_report_latest(feed, messages, as_of, days, seen), APP_TEXT)

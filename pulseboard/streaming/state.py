@@ -22,9 +22,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def trailing_bands(values: np.ndarray, a: float, sample_size: int) -> pd.DataFrame:
     """Smoothed bounds of each value from the ones before it (NaN: no band yet)."""
-    quartiles = np.full((len(values), 2), np.nan)
-    if len(values) > sample_size:
-        previous = np.lib.stride_tricks.sliding_window_view(values, sample_size)[:-1]
+    numbers = np.where(np.isfinite(values), values, np.nan)
+    quartiles = np.full((len(numbers), 2), np.nan)
+    if len(numbers) > sample_size:
+        previous = np.lib.stride_tricks.sliding_window_view(numbers, sample_size)[:-1]
         quartiles[sample_size:] = np.quantile(previous, [0.25, 0.75], axis=1).T
     margin = a * (quartiles[:, 1] - quartiles[:, 0])
     raw = pd.DataFrame({"low": quartiles[:, 0] - margin, "up": quartiles[:, 1] + margin})

@@ -81,6 +81,19 @@ def test_previous_value_zero_or_absent(spark):
     assert [r.deviation_pct for r in rows] == [None, None]
 
 
+def test_rates_that_are_no_numbers(spark):
+    """An infinite rate is outside any band; around it, rows lack one; nan never alerts."""
+    rates = [0.5, 0.25, 0.75, 0.5, 0.5, 0.25, np.inf, 0.5, 0.25, 0.5, 0.75, 0.5, 0.25, 0.5, np.nan]
+    rows = [(START + timedelta(minutes=15 * i), float(v)) for i, v in enumerate(rates)]
+    wide = spark.createDataFrame(rows, "quart_hour timestamp_ntz, ctr double")
+    replay = alerts.alert_replay(wide, names=["ctr"]).orderBy("quart_hour").collect()
+    assert [i for i, r in enumerate(replay) if r.is_alert] == [6]
+    assert [i for i, r in enumerate(replay) if r.low is None] == [*range(6), *range(10, 13)]
+    found = trailing_bands(np.array(rates), 4, 6)
+    expected = [[np.nan if v is None else v for v in (r.low, r.up)] for r in replay]
+    np.testing.assert_allclose(found[["low", "up"]].to_numpy(), np.array(expected), rtol=1e-12)
+
+
 def test_slices_are_independent(spark):
     metrics = series(spark, VALUES).withColumnRenamed("value", "likes").drop("metric")
     both = metrics.selectExpr("*", "'a' AS os").union(
