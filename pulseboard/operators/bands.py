@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 BUCKET = "quart_hour"
 
 
-def finite(value: Column) -> Column:
-    """The value, or NULL for nan and the infinities."""
-    number = value.cast("double")
-    return F.when(F.abs(number) < float("inf"), value)
+def _number(series: DataFrame) -> Column:
+    """The value, or NULL where a float is nan or infinite."""
+    value = F.col("value")
+    if dict(series.dtypes)["value"] != "double":
+        return value
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def _order(by: Sequence[str]) -> WindowSpec:
@@ -36,7 +38,7 @@ def _bands(
     order = _order(by)
     previous = order.rowsBetween(-sample_size, -1)
     around = order.rowsBetween(-(sample_size // 2), smooth_ahead)
-    number = finite(F.col("value"))
+    number = _number(series)
     quartiles = F.percentile(number, F.array(F.lit(0.25), F.lit(0.75))).over(previous)
     enough = F.count(number).over(previous) == sample_size
     raw = (
