@@ -35,7 +35,6 @@ def _logs(spark: SparkSession, sf_dir: str) -> Logs:
 
 
 def _feed_daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed, _ = _logs(spark, sf_dir)
     return query(
         spark,
         """SELECT to_date(time) AS date, count(DISTINCT user_id) AS DAU,
@@ -49,7 +48,7 @@ def _feed_daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
              AND time < CAST(:as_of AS TIMESTAMP_NTZ)
            GROUP BY to_date(time)""",
         args={"as_of": AS_OF},
-        feed=feed,
+        feed=source.feed_actions(source.events(spark, sf_dir)),
     )
 
 
@@ -104,11 +103,15 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feed(plan: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: plan(_logs(spark, sf_dir)[0], *args, **options)
+    return lambda spark, sf_dir: plan(
+        source.feed_actions(source.events(spark, sf_dir)), *args, **options
+    )
 
 
 def _messages(plan: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: plan(_logs(spark, sf_dir)[1], *args, **options)
+    return lambda spark, sf_dir: plan(
+        source.message_actions(source.events(spark, sf_dir)), *args, **options
+    )
 
 
 def _both(plan: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:

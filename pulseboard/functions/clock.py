@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,12 +91,12 @@ def rows_in(log: DataFrame, span: Span) -> DataFrame:
     bounds = []
     by_day = DAY_PARTITION in log.columns
     if by_day:
-        bounds.append(F.col(DAY_PARTITION) <= F.lit(span.last_day))
+        bounds.append(f"{DAY_PARTITION} <= DATE '{span.last_day}'")
         if span.start != datetime.min:
-            bounds.append(F.col(DAY_PARTITION) >= F.lit(span.first_day))
+            bounds.append(f"{DAY_PARTITION} >= DATE '{span.first_day}'")
     if not (by_day and span.whole_days):
-        kind = log.schema["time"].dataType
-        bounds.append(F.col("time") < F.lit(span.end.isoformat(" ")).cast(kind))
+        kind = log.schema["time"].dataType.simpleString()
+        bounds.append(f"time < {kind} '{span.end}'")
         if span.start != datetime.min:
-            bounds.append(F.col("time") >= F.lit(span.start.isoformat(" ")).cast(kind))
-    return log.where(reduce(Column.__and__, bounds))
+            bounds.append(f"time >= {kind} '{span.start}'")
+    return log.where(" AND ".join(bounds))

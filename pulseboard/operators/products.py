@@ -28,6 +28,24 @@ def both_products(
     return rows(feed, True).unionByName(rows(messages, False))
 
 
+# What n messages of a pair add to their sender and to their receiver.
+_SIDES = """inline(array(
+  named_struct(
+    'user_id', user_id,
+    'rows_sent', n,
+    'messages_received', 0L,
+    'messages_sent', IF(reciever_id IS NULL, 0L, n),
+    'users_sent', IF(reciever_id IS NULL, 0L, 1L),
+    'users_received', 0L),
+  named_struct(
+    'user_id', reciever_id,
+    'rows_sent', 0L,
+    'messages_received', n,
+    'messages_sent', 0L,
+    'users_sent', 0L,
+    'users_received', IF(user_id IS NULL, 0L, 1L))))"""
+
+
 def message_sides(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per person (and ``by``): messages sent and received, distinct peers on either side.
 
@@ -38,25 +56,6 @@ def message_sides(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     without a receiver.
     """
     pairs = messages.groupBy(*by, "user_id", "reciever_id").agg(F.count("*").alias("n"))
-    nothing = F.lit(0).cast("bigint")
-    has_receiver = F.col("reciever_id").isNotNull()
-    has_sender = F.col("user_id").isNotNull()
-    sender = F.struct(
-        F.col("user_id"),
-        F.col("n").alias("rows_sent"),
-        nothing.alias("messages_received"),
-        F.when(has_receiver, F.col("n")).otherwise(nothing).alias("messages_sent"),
-        has_receiver.cast("bigint").alias("users_sent"),
-        nothing.alias("users_received"),
-    )
-    receiver = F.struct(
-        F.col("reciever_id").alias("user_id"),
-        nothing.alias("rows_sent"),
-        F.col("n").alias("messages_received"),
-        nothing.alias("messages_sent"),
-        nothing.alias("users_sent"),
-        has_sender.cast("bigint").alias("users_received"),
-    )
-    sides = pairs.select(*by, F.inline(F.array(sender, receiver))).where("user_id IS NOT NULL")
+    sides = pairs.selectExpr(*by, _SIDES).where("user_id IS NOT NULL")
     totals = ("rows_sent", "messages_received", "messages_sent", "users_sent", "users_received")
     return sides.groupBy(*by, "user_id").agg(*[F.sum(c).alias(c) for c in totals])

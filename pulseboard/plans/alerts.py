@@ -24,24 +24,15 @@ METRICS = ("feed_users", "msg_users", "likes", "views", "messages")
 
 def marks(feed: DataFrame, messages: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of both logs with a 0/1 column per count; ``columns`` are taken along."""
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-
-    def is_action(name: str) -> Column:
-        return F.when(F.col("action") == name, one).otherwise(zero)
-
-    acted = feed.select(
+    acted = feed.selectExpr(
         *columns,
-        one.alias("feed_rows"),
-        is_action("like").alias("likes"),
-        is_action("view").alias("views"),
-        zero.alias("messages"),
+        "1L AS feed_rows",
+        "IF(action = 'like', 1L, 0L) AS likes",
+        "IF(action = 'view', 1L, 0L) AS views",
+        "0L AS messages",
     )
-    sent = messages.select(
-        *columns,
-        zero.alias("feed_rows"),
-        zero.alias("likes"),
-        zero.alias("views"),
-        one.alias("messages"),
+    sent = messages.selectExpr(
+        *columns, "0L AS feed_rows", "0L AS likes", "0L AS views", "1L AS messages"
     )
     return acted.unionByName(sent)
 
@@ -53,13 +44,12 @@ def user_sums() -> list[Column]:
 
 def bucket_counts(per_user: GroupedData) -> DataFrame:
     """Second step, over the first: exact users and totals, where both products have rows."""
-    known = F.col("user_id").isNotNull()
     counts = per_user.agg(
-        F.count_if(known & (F.col("feed_rows") > 0)).alias("feed_users"),
-        F.count_if(known & (F.col("messages") > 0)).alias("msg_users"),
+        F.expr("count_if(user_id IS NOT NULL AND feed_rows > 0) AS feed_users"),
+        F.expr("count_if(user_id IS NOT NULL AND messages > 0) AS msg_users"),
         F.sum("likes").alias("likes"),
         F.sum("views").alias("views"),
-        F.sum(F.when(known, F.col("messages")).otherwise(0)).alias("messages"),
+        F.expr("sum(IF(user_id IS NULL, 0L, messages)) AS messages"),
         F.sum("feed_rows").alias("_feed_rows"),
         F.sum("messages").alias("_message_rows"),
     )

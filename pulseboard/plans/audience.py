@@ -77,27 +77,18 @@ def new_users_daily(
         # Rows after the window cannot make anyone new inside it.
         past = history(as_of)
         seen = first_seen(rows_in(feed, past), rows_in(messages, past))
-    feed_new = F.col("feed_first").between(F.lit(span.first_day), F.lit(span.last_day))
-    msg_new = F.col("msg_first").between(F.lit(span.first_day), F.lit(span.last_day))
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-
-    def arrival(is_new: Column, day: str, feed: Column, msg: Column, both: Column) -> Column:
-        return F.struct(
-            F.when(is_new, F.col(day)).alias("date"),
-            feed.alias("feed_new_users"),
-            msg.alias("msg_new_users"),
-            both.alias("feed_msg_new_users"),
-        )
-
-    both = F.when(feed_new, one).otherwise(zero)
-    arrivals = F.array(
-        arrival(feed_new, "feed_first", one, zero, zero),
-        arrival(msg_new, "msg_first", zero, one, both),
-    )
+    window = f"BETWEEN DATE '{span.first_day}' AND DATE '{span.last_day}'"
+    feed_new, msg_new = f"feed_first {window}", f"msg_first {window}"
+    arrivals = f"""inline(array(
+      named_struct('date', IF({feed_new}, feed_first, NULL),
+        'feed_new_users', 1L, 'msg_new_users', 0L, 'feed_msg_new_users', 0L),
+      named_struct('date', IF({msg_new}, msg_first, NULL),
+        'feed_new_users', 0L, 'msg_new_users', 1L,
+        'feed_msg_new_users', IF({feed_new}, 1L, 0L))))"""
     counts = ("feed_new_users", "msg_new_users", "feed_msg_new_users")
     return (
-        seen.where((feed_new | msg_new) & F.col("user_id").isNotNull())
-        .select(F.inline(arrivals))
+        seen.where(f"user_id IS NOT NULL AND ({feed_new} OR {msg_new})")
+        .selectExpr(arrivals)
         .where("date IS NOT NULL")
         .groupBy("date")
         .agg(*[F.sum(c).alias(c) for c in counts])

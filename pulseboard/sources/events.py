@@ -6,7 +6,7 @@ whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,36 +26,31 @@ _FEED_ONLY = "user_id % 5 = 0"
 IS_FEED = f"NOT ({_MESSENGER_ONLY}) AND ({_FEED_ONLY} OR event_type IN ('view', 'click'))"
 
 
-def _person() -> list[Column]:
-    u = F.col("user_id") + 1
-    moved = (u % 10 == 0) & (F.dayofmonth("ts") >= 16)
-    half = F.expr("(user_id + 1) div 2") + F.when(moved, 1).otherwise(0)
-    return [
-        (u % 2).cast("int").alias("gender"),
-        (10 + (u * 37) % 61).cast("int").alias("age"),
-        F.when(half % 2 == 0, "iOS").otherwise("Android").alias("os"),
-    ]
+_HALF = "(user_id + 1) div 2 + IF((user_id + 1) % 10 = 0 AND dayofmonth(ts) >= 16, 1, 0)"
+_PERSON = (
+    "CAST((user_id + 1) % 2 AS INT) AS gender",
+    "CAST(10 + ((user_id + 1) * 37) % 61 AS INT) AS age",
+    f"IF(({_HALF}) % 2 = 0, 'iOS', 'Android') AS os",
+)
 
 
 def feed_rows(events: DataFrame) -> DataFrame:
     """Events seen as feed actions."""
-    liked = F.col("event_type").isin("click", "purchase")
-    return events.select(
-        (F.col("user_id") + 1).alias("user_id"),
-        F.col("ts").alias("time"),
-        F.when(liked, "like").otherwise("view").alias("action"),
-        *_person(),
+    return events.selectExpr(
+        "user_id + 1 AS user_id",
+        "ts AS time",
+        "IF(event_type IN ('click', 'purchase'), 'like', 'view') AS action",
+        *_PERSON,
     )
 
 
 def message_rows(events: DataFrame) -> DataFrame:
     """Events seen as messages; the receiver comes from the payload."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
-        (F.col("user_id") + 1).alias("user_id"),
-        (2 * k + F.col("event_id") % 2 + 1).cast("bigint").alias("reciever_id"),
-        F.col("ts").alias("time"),
-        *_person(),
+    return events.selectExpr(
+        "user_id + 1 AS user_id",
+        "2 * CAST(get_json_object(props, '$.k') AS BIGINT) + event_id % 2 + 1 AS reciever_id",
+        "ts AS time",
+        *_PERSON,
     )
 
 
