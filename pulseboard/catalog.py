@@ -18,7 +18,11 @@ from pulseboard.plans import activity, alerts, audience, reports
 from pulseboard.sources import events as source
 from pulseboard.sources.logs import query
 from pulseboard.sources.scratch import new_folder
-from pulseboard.sources.tables import create_dimension_table, write_dimension_metrics
+from pulseboard.sources.tables import (
+    DIMENSION_SCHEMA,
+    create_dimension_table,
+    write_dimension_metrics,
+)
 from pulseboard.streaming import alert_stream, quarter_hour_stream, start
 
 AS_OF = "2024-01-31"
@@ -85,9 +89,11 @@ def _message_user_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _dimension_metrics_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "dimension_metrics")
     table = path.rsplit("/", 1)[1].replace("-", "_")
+    metrics = activity.dimension_metrics(*_logs(spark, sf_dir), AS_OF)
     create_dimension_table(spark, table, path)
-    write_dimension_metrics(activity.dimension_metrics(*_logs(spark, sf_dir), AS_OF), table)
-    return spark.table(table)
+    write_dimension_metrics(metrics, table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, as their place was given
+    return spark.read.schema(DIMENSION_SCHEMA).parquet(path).select(metrics.columns)
 
 
 def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:

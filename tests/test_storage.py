@@ -1,5 +1,7 @@
+import os
+from types import SimpleNamespace
+
 import pytest
-from pyspark.sql import functions as F
 
 from pulseboard.functions import last_days, rows_in
 from pulseboard.plans import activity
@@ -87,4 +89,15 @@ def test_query_over_named_frames(spark):
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert new_folder(spark, "x") != new_folder(spark, "x")
-    assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def session_without_the_setting(master, checkpoint=None):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+
+
+def test_only_local_sessions_may_use_a_folder_of_the_machine():
+    assert os.path.isdir(shared_folder(session_without_the_setting("local[2]")))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session_without_the_setting("yarn"))
+    assert shared_folder(session_without_the_setting("yarn", "hdfs:///c/")) == "hdfs:///c"
