@@ -165,7 +165,10 @@ def alert_latest(
 
 
 # The wording of an alert.
-ALERT_TEXT = "Метрика {metric}:\nтекущее значение: {value}\nотклонение от предыдущего значения: {deviation}%\n"
+ALERT_TEXT = '''Метрика {metric}:
+текущее значение: {value}
+отклонение от предыдущего значения: {deviation}%
+'''
 DASHBOARD_TEXT = "дашборд: {url}\n"
 
 

@@ -27,7 +27,8 @@ def create_dimension_table(spark: SparkSession, table: str, location: str | None
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DIMENSION_SCHEMA)
     place = "LOCATION '{}'".format(location.replace("'", "\\'")) if location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY (event_date) {place}"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"PARTITIONED BY (event_date) {place}"
     )
 
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from pulseboard.plans import alerts
-from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log, write_log
+from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log
 from pulseboard.sources import events as source
 from pulseboard.streaming import alert_stream, quarter_hour_stream, start
 from tests.logs import feed_log, message_log
@@ -55,6 +55,19 @@ def test_batch_parity_over_several_runs(spark, tmp_path):
     assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
 
 
+def test_alerts_from_stored_metrics(spark, tmp_path):
+    """A second, small stream may take the metrics from the files of the first."""
+    root = str(tmp_path)
+    events = source.stream_events(spark, SF_DIR)
+    metrics = quarter_hour_stream(source.feed_actions(events), source.message_actions(events))
+    closed = run(metrics, root, "metrics")
+    stored = spark.readStream.schema(metrics.schema).parquet(f"{root}/metrics")
+    found = run(alert_stream(stored), root, "alerts")
+    expected = alerts.alert_replay(closed)
+    assert expected.count() > 1000
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
 def rows_by_bucket(frame):
     return {r.quart_hour.strftime("%d %H:%M"): tuple(r)[1:] for r in frame.collect()}
 
