@@ -95,9 +95,10 @@ def app_reports(
 
 
 def _long(report: DataFrame, name: str, metrics: list[str]) -> DataFrame:
-    values = report.select("date", *[F.col(m).cast("double").alias(m) for m in metrics])
-    series = values.unpivot("date", metrics, "metric", "value")
-    return series.select(F.lit(name).alias("report"), "date", "metric", "value")
+    pairs = ", ".join(f"'{m}', double({m})" for m in metrics)
+    return report.selectExpr(
+        f"'{name}' AS report", "date", f"stack({len(metrics)}, {pairs}) AS (metric, value)"
+    )
 
 
 def report_series(
