@@ -68,6 +68,28 @@ def test_alerts_from_stored_metrics(spark, tmp_path):
     assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
 
 
+def test_alerts_on_rates(spark, tmp_path):
+    """With the rate among the metrics all values are floats, some of them infinite."""
+    names = (*alerts.METRICS, "ctr")
+    logs = [source.feed_actions, source.message_actions]
+    events = source.stream_events(spark, SF_DIR)
+    stream = quarter_hour_stream(*[log(events) for log in logs], with_ctr=True)
+    found = run(alert_stream(stream, names), str(tmp_path), "alerts")
+    events = source.events(spark, SF_DIR)
+    series = alerts.quarter_hour_series(*[log(events) for log in logs], with_ctr=True)
+    expected = alerts.alert_replay(series, names)
+
+    def compared(frame):
+        near = [F.round(c, 9).alias(c) for c in ("value", "low", "up", "deviation_pct")]
+        closed = frame.where("quart_hour < timestamp_ntz '2024-01-30 23:00:00'")
+        return closed.select("metric", "quart_hour", "is_alert", *near)
+
+    found, expected = compared(found), compared(expected)
+    assert expected.where("metric = 'ctr' AND value = double('inf')").count() > 0
+    assert expected.where("metric = 'ctr' AND is_alert").count() > 0
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
 def rows_by_bucket(frame):
     return {r.quart_hour.strftime("%d %H:%M"): tuple(r)[1:] for r in frame.collect()}
 
