@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, as named by the session in ``spark.checkpoint.dir``.
+    """The folder all executors reach.
 
-    Only a session in local mode may do without the setting.
+    ``spark.checkpoint.dir`` names it; without that it lies in the session's warehouse,
+    which executors reach as well. It is never a temp folder of one machine.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors reach")
-    return tempfile.mkdtemp(prefix="pulseboard-")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame, name: str) -> DataFrame:
+    """The table after a round trip through the shared folder, which ends its lineage."""
+    spark = table.sparkSession
+    path = new_folder(spark, name)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)

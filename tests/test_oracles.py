@@ -6,11 +6,12 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from pulseboard.catalog import catalog
+from pulseboard.oracles import oracles
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = catalog()
+ORACLES = oracles()
 
 
 # Spark's types and their counterparts.

@@ -4,8 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
-from pulseboard.catalog import AS_OF
+from pulseboard.catalog import AS_OF, catalog
 from pulseboard.plans import activity, alerts, audience, reports
 from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, write_log
 from pulseboard.sources import events as source
@@ -48,9 +47,9 @@ def stored(spark, tmp_path_factory):
     )
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITING - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(catalog()) - WRITING - STREAMS))
 def test_no_python_no_cross_join_no_single_task_window(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    plan = plan_of(catalog()[name](spark, SF_DIR))
     for unwanted in ("Python", "Pandas", "CartesianProduct", "NestedLoop", "Expand ["):
         if unwanted == "Expand [" and "unpivot" not in name:
             # unpivot is an Expand over a report's few rows; distinct counts must not be one
