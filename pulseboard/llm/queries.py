@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import pieces
+from pulseboard.llm import contamination, lines, pieces, quality
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -17,6 +17,63 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(modulus: int, remainder: int):
+    """By the checksum of the id's digits; a row without an id is not held out."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(checksum % modulus == remainder, F.lit(False))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _held_out(5, 0)
+    labels = _table(spark, sf_dir, "labels").where(~held_out)
+    model = quality.fit(docs, labels)
+    scored = quality.score(docs, model, keep_text=False)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "bad_lines",
+    )
+
+
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"))
+    return checked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP9_SQL = f"""
+    WITH {contamination.check_oracle()}
+    SELECT d.doc_id, coalesce(len(w.w), 0) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+           sha256(coalesce(i.items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+    FROM documents d LEFT JOIN doc_words w ON w.doc_id = d.doc_id LEFT JOIN hit_words h ON h.doc_id = d.doc_id
+         LEFT JOIN hit_items i ON i.doc_id = d.doc_id"""
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+OP10_SQL = f"""
+    WITH {lines.dedup_oracle()}
+    SELECT doc_id, n_lines, n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM deduped"""
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path(PIECE_MODEL)
@@ -31,9 +88,12 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op7_pieces": op7_pieces,
+        "op9_contamination": op9_contamination,
+        "op10_lines": op10_lines,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_contamination": OP9_SQL, "op10_lines": OP10_SQL}
