@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import contamination, lines, pieces, quality
+from pulseboard.llm import contamination, lines, pieces, quality, spans
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -38,6 +38,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.dedup(docs).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"))
@@ -89,6 +99,7 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_spans": op2_spans,
         "op7_pieces": op7_pieces,
         "op9_contamination": op9_contamination,
         "op10_lines": op10_lines,
