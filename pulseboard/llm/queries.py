@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import contamination, lines, pieces, quality, spans
+from pulseboard.llm import contamination, lines, pieces, quality, setjoin, spans
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -48,6 +48,13 @@ def op2_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return setjoin.groups(docs, shingle=3, percent=90).select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id", "n_links"
+    )
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"))
@@ -100,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_spans": op2_spans,
+        "op4_setjoin": op4_setjoin,
         "op7_pieces": op7_pieces,
         "op9_contamination": op9_contamination,
         "op10_lines": op10_lines,
