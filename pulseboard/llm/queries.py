@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import contamination, lines, pieces, quality, setjoin, spans
+from pulseboard.llm import contamination, language, lines, pieces, quality, setjoin, spans
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -55,6 +55,15 @@ def op4_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _held_out(4, 2)
+    model = language.fit(docs.where(~held_out).select("text", "lang"))
+    return language.predict(docs.select("doc_id", "text"), model, keep_text=False).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"))
@@ -108,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_spans": op2_spans,
         "op4_setjoin": op4_setjoin,
+        "op5_language": op5_language,
         "op7_pieces": op7_pieces,
         "op9_contamination": op9_contamination,
         "op10_lines": op10_lines,
