@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import contamination, language, lines, pieces, quality, setjoin, spans
+from pulseboard.llm import contamination, language, lines, neighbours, pieces, quality, setjoin, spans
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -64,6 +64,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"))
@@ -119,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_setjoin": op4_setjoin,
         "op5_language": op5_language,
         "op7_pieces": op7_pieces,
+        "op8_neighbours": op8_neighbours,
         "op9_contamination": op9_contamination,
         "op10_lines": op10_lines,
     }
