@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseboard.llm.tables import checked
 from pulseboard.llm.texts import LOWER, U64, Piece, long_array, mix, pieces, rows_of, span_hashes, words
 from pulseboard.sources.scratch import written
 
@@ -46,8 +47,6 @@ RATIO = 1.5
 SKETCH = 512
 BLOCK = 1024
 MOST_SMALL = 40
-# Tables of rows to look up are broadcast up to so many rows (of three numbers), else shuffled.
-BROADCAST_ROWS = 500_000
 # A row of a list costs so many rows of a subset: it may be looked up, sketched and scanned.
 LIST_COST = 3
 
@@ -365,17 +364,11 @@ def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return ordered.mapInArrow(_scan(rule), "a long, b long").distinct()
 
 
-def _checked(rows: DataFrame, name: str) -> DataFrame:
-    """The rows, written; to be broadcast if they are few."""
-    rows = written(rows, name)
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: int) -> DataFrame:
     """The pairs that link, compared element by element in the texts of the classes' first rows."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     first = classes.join(asked, "h1").select("h1", F.col("doc").alias("_doc"), F.col("row").alias("_at"))
-    first = _checked(first, "asked")
+    first = checked(first, "asked")
     texts = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.xxhash64(doc_id, text).alias("_at"), text)
     source = texts.join(first, ["_doc", "_at"]).dropDuplicates(["h1"]).select("h1", text)
 
@@ -489,7 +482,7 @@ def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
         .select("_id", "_row")
         .distinct()
     )
-    stay = written(stay, "stay")
+    stay = checked(stay, "stay")
     keyed = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_row": F.xxhash64(doc_id, text)})
     kept = keyed.where("_id IS NOT NULL").join(stay, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"])
     return kept.unionByName(keyed.where("_id IS NULL")).select(*docs.columns)
