@@ -2,11 +2,11 @@
 
 Every window of 50 consecutive words is an edge of a de Bruijn graph (its two ends are the
 sequences of 49 words). Windows that follow each other and share their minimizer, the least hash
-of eight consecutive words inside, make a path; equal windows have equal minimizers, wherever they
+of twenty consecutive words inside, make a path; equal windows have equal minimizers, wherever they
 stand, so all occurrences of an edge meet under one minimizer, and a path is one row instead of some
-twenty. Spark joins then compact the graph minimizer by minimizer:
+sixteen. Spark joins then compact the graph minimizer by minimizer:
 
-* a minimizer that only one document has cannot lie on a repeated edge and is left out;
+* a minimizer that only one document has cannot lie on a repeated edge; its paths are left out;
 * where all paths of a minimizer are the same, none branches, and the whole path has one first
   document;
 * where paths differ (some documents go on differently, or begin or end there), the distinct paths
@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulseboard.llm.tables import BROADCAST_ROWS, checked
 from pulseboard.llm.texts import SECOND_BASE, SPACES, U64, Words, long_array, pieces, span_hashes, words
 from pulseboard.sources.scratch import written
 
 WINDOW = 50
-MINIMIZER = 8
+# Lines that many documents share are mostly shorter; their words alone make no bucket.
+MINIMIZER = 20
 # A path of more edges (in a text that repeats itself) goes on as another one.
 PATH = 64
 NEW = ("n_words", "n_removed")
@@ -106,9 +108,31 @@ def paths(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window
     return source.mapInArrow(run, "doc long, at int, n int, m long, h1 long, h2 long")
 
 
+def minimizers(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, minimizer: int = MINIMIZER) -> DataFrame:
+    """The minimizers of all documents with an id: (doc, m), once per document."""
+    source = docs.where(F.col(doc_id).isNotNull() & (F.length(text) >= 2 * window - 1)).select(F.col(doc_id).cast("long"), text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for piece in pieces(batch.column(1)):
+                row, _, _, least, _, _ = _paths(words(piece), window, minimizer)
+                order = np.lexsort((row, least))
+                row, least = row[order], least[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (least[1:] != least[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[piece.first + row[new]]), long_array(least[new])], names=["doc", "m"]
+                )
+
+    return source.mapInArrow(run, "doc long, m long")
+
+
 def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window: int) -> DataFrame:
     """The edges (m, h1, h2, k, e1, e2, doc) of distinct paths, read from the documents that have them."""
     asked = branching.groupBy("doc").agg(F.collect_list(F.struct("at", "n", "m", "h1", "h2", "first")).alias("asked"))
+    if branching.count() <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
     source = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), text)
     rows = source.join(asked, "doc").select(text, "asked")
 
@@ -153,42 +177,37 @@ def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window
 
 def removals(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Runs of words to remove: (doc, begin, end), of each document with any."""
-    found = written(paths(docs, doc_id=doc_id, text=text, window=window), "paths")
     repeated = (
-        found.groupBy("m")
-        .agg(
-            F.min("doc").alias("first"),
-            F.max("doc").alias("last"),
-            ((F.min("h1") == F.max("h1")) & (F.min("h2") == F.max("h2"))).alias("alone"),
-        )
+        minimizers(docs, doc_id=doc_id, text=text, window=window)
+        .groupBy("m")
+        .agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
         .where("first < last")
-        .select("m", "first", "alone")
+        .select("m")
     )
-    met = written(found.join(repeated, "m"), "met")
-    # Paths without a branch: all edges have the same first document.
-    plain = met.where("alone and doc > first").select("doc", "at", (F.col("at") + F.col("n") + window - 1).alias("end"))
-    # Where paths branch, each distinct path is taken apart once, in one document that has it.
-    branching = (
-        met.where("not alone")
-        .groupBy("m", "h1", "h2", "n")
-        .agg(F.min("doc").alias("first"))
-    )
-    branching = written(branching, "branching")
-    place = met.where("not alone").join(
-        branching.select("m", "h1", "h2", F.col("first").alias("doc")), ["m", "h1", "h2", "doc"]
-    )
-    one_place = place.groupBy("m", "h1", "h2", "n", "doc").agg(F.min("at").alias("at"))
-    edges = written(
-        _edges(one_place.select("doc", "at", "n", "m", "h1", "h2", F.col("doc").alias("first")), docs, doc_id, text, window),
-        "edges",
+    met = written(paths(docs, doc_id=doc_id, text=text, window=window).join(checked(repeated, "repeated"), "m"), "met")
+    # The distinct paths, each with its first document and a place there.
+    distinct = written(
+        met.groupBy("m", "h1", "h2", "n")
+        .agg(F.min(F.struct("doc", "at")).alias("place"))
+        .select("m", "h1", "h2", "n", F.col("place.doc").alias("first"), F.col("place.at").alias("at")),
+        "distinct",
     )
+    alone = distinct.groupBy("m").agg((F.count("*") == 1).alias("alone"))
+    told_apart = written(distinct.join(alone, "m"), "told-apart")
+    # Without a branch, all edges have the same first document. Where paths branch, each distinct
+    # one is taken apart once, in its first document.
+    branching = told_apart.where("not alone").select(F.col("first").alias("doc"), "at", "n", "m", "h1", "h2", "first")
+    edges = written(_edges(branching, docs, doc_id, text, window), "edges")
     owners = edges.groupBy("e1", "e2").agg(F.min("first").alias("owner"))
     owned = (
         edges.join(owners, ["e1", "e2"])
         .groupBy("m", "h1", "h2")
         .agg(F.collect_list(F.struct("k", "owner")).alias("edges"), F.min("owner").alias("least"), F.max("owner").alias("most"))
     )
-    told = met.where("not alone").join(owned, ["m", "h1", "h2"]).where("least < doc")
+    single = told_apart.where("alone").select(
+        "m", "h1", "h2", F.lit(None).cast("array<struct<k:int,owner:bigint>>").alias("edges"), F.col("first").alias("least"), F.col("first").alias("most")
+    )
+    told = met.join(owned.union(single), ["m", "h1", "h2"]).where("least < doc")
     wholly = told.where("most < doc").select("doc", "at", (F.col("at") + F.col("n") + window - 1).alias("end"))
     partly = (
         told.where("most >= doc")
@@ -200,8 +219,7 @@ def removals(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", win
     order = Window.partitionBy("doc").orderBy("at", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        plain.union(wholly)
-        .union(partly)
+        wholly.union(partly)
         .groupBy("doc", "at")
         .agg(F.max("end").alias("end"))
         .withColumn("new", (F.col("at") > F.coalesce(reach, F.lit(-1))).cast("int"))
@@ -218,7 +236,10 @@ def dedup(
     """The table with the kept words as texts, and ``n_words`` (before) and ``n_removed``."""
     columns = [c for c in docs.columns if c.lower() not in NEW]
     cut = written(removals(docs, doc_id=doc_id, text=text, window=window), "removals")
+    few = cut.count() <= BROADCAST_ROWS
     runs = cut.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("_runs"))
+    if few:
+        runs = F.broadcast(runs)
     source = docs.select(*columns).join(runs, F.col(doc_id).cast("long") == F.col("doc"), "left").drop("doc")
     none = F.array().cast("array<struct<begin:int,end:int>>")
     source = source.withColumn("_runs", F.coalesce("_runs", none))
