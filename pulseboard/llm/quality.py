@@ -217,7 +217,8 @@ def fit(
                 own = batch.column(1).slice(piece.first, len(piece))
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), own], names=["bins", "label"])
 
-    rows = texts.mapInArrow(run, "bins binary, label double").orderBy("bins", "label").collect()
+    rows = texts.mapInArrow(run, "bins binary, label double").collect()
+    rows = sorted(rows, key=lambda r: (bytes(r.bins), r.label))
     if len({r.label for r in rows}) < 2:
         raise ValueError("the labelled documents are not of two kinds")
     runs = [
