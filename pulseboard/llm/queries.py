@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import contamination, language, lines, neighbours, pieces, quality, setjoin, spans
+from pulseboard.llm import chat, contamination, language, lines, neighbours, pieces, quality, setjoin, spans
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -64,6 +64,47 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A conversation whose texts hold what looks like control strings.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"),
+    )
+    pieces = chat.segments(given.unionByName(tricky))
+    read = chat.formatted(pieces).withColumn("turns", chat.parsed(F.col("formatted")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _escaped_sql(column: str) -> str:
+    return f"replace(replace(replace({column}, chr(92), chr(92) || chr(92)), '<', chr(92) || 'l'), '>', chr(92) || 'g')"
+
+
+OP6_SQL = f"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length('<turn:></turn>') + length({_escaped_sql("role")}) + length({_escaped_sql("text")})) AS BIGINT) AS formatted_chars
+    FROM rows GROUP BY conv_id"""
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
@@ -123,6 +164,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_spans": op2_spans,
         "op4_setjoin": op4_setjoin,
         "op5_language": op5_language,
+        "op6_chat": op6_chat,
         "op7_pieces": op7_pieces,
         "op8_neighbours": op8_neighbours,
         "op9_contamination": op9_contamination,
@@ -131,4 +173,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_contamination": OP9_SQL, "op10_lines": OP10_SQL}
+    return {"op6_chat": OP6_SQL, "op9_contamination": OP9_SQL, "op10_lines": OP10_SQL}
