@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import chat, contamination, language, lines, neighbours, pieces, quality, setjoin, spans
+from pulseboard.llm import chat, contamination, language, lines, neighbours, pieces, quality, setjoin, spans, tokencounts
+from pulseboard.sources.scratch import new_folder
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -48,6 +50,16 @@ def op2_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as flat files of ids, and the token counts found in these."""
+    path = new_folder(spark, "flat")
+    width, end = tokencounts.write_flat(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(PIECE_MODEL))
+    found = tokencounts.counts(spark, path, width=width, separator=end)
+    part = F.regexp_extract("file", r"part-(\d+)-.*-c(\d+)", 1).cast("int")
+    chunk = F.regexp_extract("file", r"part-(\d+)-.*-c(\d+)", 2).cast("int")
+    return found.select(part.alias("part"), chunk.alias("chunk"), "doc", "n_tokens", "terminated")
+
+
 def op4_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return setjoin.groups(docs, shingle=3, percent=90).select(
@@ -162,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_spans": op2_spans,
+        "op3_tokencounts": op3_tokencounts,
         "op4_setjoin": op4_setjoin,
         "op5_language": op5_language,
         "op6_chat": op6_chat,
@@ -169,6 +182,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": op8_neighbours,
         "op9_contamination": op9_contamination,
         "op10_lines": op10_lines,
+        "pipeline": corpus_pipeline.run,
     }
 
 
