@@ -3,21 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.functions import history, rows_in
+from pulseboard.functions import history, last_days, rows_in, yesterday
 from pulseboard.operators import (
+    attribute_days,
     first_seen,
+    merge_attribute_days,
     merge_attributes,
     merge_first_seen,
     user_attributes,
 )
 from pulseboard.plans import activity, alerts, audience, reports
 from pulseboard.sources import events as source
-from pulseboard.sources.logs import query
-from pulseboard.sources.scratch import new_folder
+from pulseboard.sources.logs import (
+    FEED_SCHEMA,
+    MESSAGE_SCHEMA,
+    query,
+    read_log,
+    stream_log,
+    write_log,
+)
+from pulseboard.sources.scratch import new_folder, written
 from pulseboard.sources.tables import (
     DIMENSION_SCHEMA,
     create_dimension_table,
@@ -29,6 +39,11 @@ AS_OF = "2024-01-31"
 # Everybody in the events table is first seen in its first week.
 NEW_USERS_AS_OF = "2024-01-08"
 MONTH = 30
+# A day before attributes change; a moment inside a bucket; one with an alert on the newest bucket.
+BACKFILL_AS_OF = "2024-01-16"
+MIDDAY = "2024-01-30 12:07:00"
+ALERT_AS_OF = "2024-01-30 12:34:00"
+STREAM_STEPS = 5
 
 Logs = tuple[DataFrame, DataFrame]
 
@@ -56,14 +71,6 @@ def _feed_daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _written(table: DataFrame, name: str) -> DataFrame:
-    """The table after a round trip through shared storage, as between two daily runs."""
-    spark = table.sparkSession
-    path = new_folder(spark, name)
-    table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
-
-
 def _split(spark: SparkSession, sf_dir: str, day: str) -> tuple[Logs, Logs]:
     """Both logs before and from a day on."""
     logs = _logs(spark, sf_dir)
@@ -72,28 +79,75 @@ def _split(spark: SparkSession, sf_dir: str, day: str) -> tuple[Logs, Logs]:
     return before, since
 
 
+def _seen(spark: SparkSession, sf_dir: str, day: str) -> tuple[Logs, DataFrame]:
+    """The newer rows, and the table of first-seen days kept until ``day`` and brought up to date."""
+    before, since = _split(spark, sf_dir, day)
+    stored = written(first_seen(*before), "first_seen")
+    return since, merge_first_seen(stored, first_seen(*since))
+
+
 def _new_users_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, since = _split(spark, sf_dir, "2024-01-03")
-    stored = _written(first_seen(*before), "first_seen")
-    seen = merge_first_seen(stored, first_seen(*since))
+    since, seen = _seen(spark, sf_dir, "2024-01-03")
     return audience.new_users_daily(*since, NEW_USERS_AS_OF, seen=seen)
 
 
-def _message_user_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, since = _split(spark, sf_dir, "2024-01-30")
-    stored = _written(user_attributes(*before), "attributes")
-    known = merge_attributes(stored, user_attributes(*since))
-    return activity.message_user_daily(*since, AS_OF, attributes=known)
+def _report_incremental(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A report from the logs of its week and the kept table of first-seen days."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, seen = _seen(spark, sf_dir, "2024-01-07")
+        return plan(*_logs(spark, sf_dir), NEW_USERS_AS_OF, seen=seen)
+
+    return run
+
+
+def _incremental(plan: Callable, table: Callable, merge: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A daily job from the newest day's rows and a kept table of what is known about people."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before, since = _split(spark, sf_dir, "2024-01-30")
+        known = merge(written(table(*before), "attributes"), table(*since))
+        return plan(*since, AS_OF, attributes=known)
+
+    return run
 
 
 def _dimension_metrics_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice, as by a repeated run; the rows are those of one run."""
     path = new_folder(spark, "dimension_metrics")
     table = path.rsplit("/", 1)[1].replace("-", "_")
     metrics = activity.dimension_metrics(*_logs(spark, sf_dir), AS_OF)
+    columns = metrics.columns
     create_dimension_table(spark, table, path)
-    write_dimension_metrics(metrics, table)
-    spark.sql(f"DROP TABLE {table}")  # the files stay, as their place was given
-    return spark.read.schema(DIMENSION_SCHEMA).parquet(path).select(metrics.columns)
+    try:
+        for _ in range(2):
+            write_dimension_metrics(metrics, table, days=[yesterday(AS_OF).first_day])
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # the files stay, as their place was given
+    return spark.read.schema(DIMENSION_SCHEMA).parquet(path).select(columns)
+
+
+def _day_files(spark: SparkSession, sf_dir: str, steps: int) -> tuple[str, str]:
+    """Both logs laid out by day and written in ``steps`` parts, in the order of their days."""
+    folder = new_folder(spark, "logs")
+    logs = dict(zip(("feed", "messages"), _logs(spark, sf_dir), strict=True))
+    size = -(-MONTH // steps)
+    for step in range(steps):
+        first = date.fromisoformat(AS_OF) - timedelta(days=MONTH - step * size)
+        span = last_days(first + timedelta(days=size), size)
+        for name, log in logs.items():
+            write_log(rows_in(log, span), f"{folder}/{name}")
+    return f"{folder}/feed", f"{folder}/messages"
+
+
+def _stored(plan: Callable, *args) -> Callable[[SparkSession, str], DataFrame]:
+    """A query over logs that were written and read again, laid out by day."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feed, messages = _day_files(spark, sf_dir, 1)
+        return plan(read_log(spark, feed, FEED_SCHEMA), read_log(spark, messages, MESSAGE_SCHEMA), *args)
+
+    return run
 
 
 def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -104,8 +158,12 @@ def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = source.stream_events(spark, sf_dir)
-    return quarter_hour_stream(source.feed_actions(events), source.message_actions(events))
+    """The metrics from day files, some days at a time, so that state is carried from step to step."""
+    feed, messages = _day_files(spark, sf_dir, STREAM_STEPS)
+    days = MONTH // STREAM_STEPS
+    return quarter_hour_stream(
+        stream_log(spark, feed, FEED_SCHEMA, days), stream_log(spark, messages, MESSAGE_SCHEMA, days)
+    )
 
 
 def _feed(plan: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:
@@ -124,9 +182,9 @@ def _both(plan: Callable, *args, **options) -> Callable[[SparkSession, str], Dat
     return lambda spark, sf_dir: plan(*_logs(spark, sf_dir), *args, **options)
 
 
-def _live(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
+def _live(plan: Callable, as_of: str = AS_OF) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: plan(
-        alerts.quarter_hour_metrics(*_logs(spark, sf_dir), AS_OF)
+        alerts.quarter_hour_metrics(*_logs(spark, sf_dir), as_of)
     )
 
 
@@ -156,7 +214,38 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_user_daily": _feed(activity.feed_user_daily, AS_OF),
         "message_user_daily": _both(activity.message_user_daily, AS_OF),
         "message_user_latest": _both(activity.message_user_daily, AS_OF, attributes="latest"),
-        "message_user_incremental": _message_user_incremental,
+        "message_user_incremental": _incremental(
+            activity.message_user_daily, user_attributes, merge_attributes
+        ),
+        "message_user_latest_incremental": _incremental(
+            activity.message_user_daily, attribute_days, merge_attribute_days
+        ),
+        "message_user_latest_month": _both(
+            activity.message_user_daily, AS_OF, MONTH, attributes="latest"
+        ),
+        "message_user_backfill": _both(activity.message_user_daily, BACKFILL_AS_OF),
+        "message_user_backfill_latest": _both(
+            activity.message_user_daily, BACKFILL_AS_OF, attributes="latest"
+        ),
+        "user_activity_incremental": _incremental(
+            activity.user_activity_daily, user_attributes, merge_attributes
+        ),
+        "dimension_metrics_incremental": _incremental(
+            activity.dimension_metrics, user_attributes, merge_attributes
+        ),
+        "dimension_metrics_backfill": _both(activity.dimension_metrics, BACKFILL_AS_OF),
+        "dimension_metrics_unknown": _both(activity.dimension_metrics, AS_OF, unknown="label"),
+        "report_series_incremental": _report_incremental(reports.report_series),
+        "app_report_text_incremental": _report_incremental(reports.app_report_text),
+        "feed_daily_newest": lambda spark, sf_dir: reports.newest_first(
+            _feed(reports.feed_daily, AS_OF)(spark, sf_dir)
+        ),
+        "audience_stored": _stored(audience.audience_daily, AS_OF),
+        "quarter_hour_metrics_midday": _live(lambda metrics: metrics, MIDDAY),
+        "alert_latest_midday": _live(alerts.alert_latest, MIDDAY),
+        "alert_messages_latest": _live(
+            lambda metrics: alerts.alert_messages(alerts.alert_latest(metrics)), ALERT_AS_OF
+        ),
         "user_activity_daily": _both(activity.user_activity_daily, AS_OF),
         "slice_gender": _both(activity.dimension_metrics, AS_OF, dimensions=["gender"]),
         "slice_age": _both(activity.dimension_metrics, AS_OF, dimensions=["age"]),

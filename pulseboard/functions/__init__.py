@@ -1,6 +1,7 @@
 from pulseboard.functions.clock import (
     Moment,
     Span,
+    bucket_minutes,
     closed_buckets,
     day_of,
     history,
@@ -14,6 +15,7 @@ __all__ = [
     "Moment",
     "Span",
     "age_group",
+    "bucket_minutes",
     "closed_buckets",
     "day_of",
     "half_even",

@@ -11,9 +11,12 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Partition column of logs laid out by day; it is the date of ``time``.
-DAY_PARTITION = "day"
+# Partition column of logs laid out by day; it is the date of ``time``. The name is reserved:
+# a column of another name, such as "day", is a column like any other.
+DAY_PARTITION = "log_day"
+DAY_MINUTES = 24 * 60
 
 
 Moment = str | date | datetime
@@ -68,17 +71,31 @@ def history(as_of: Moment) -> Span:
     return Span(datetime.min, _midnight(as_of))
 
 
+def bucket_minutes(minutes: int) -> int:
+    """The width of a bucket, which must divide a day: buckets are counted from the epoch, days
+    begin at midnight, and only then no bucket lies in two days."""
+    if minutes < 1 or DAY_MINUTES % minutes:
+        raise ValueError(f"buckets must divide a day; {minutes} minutes do not")
+    return minutes
+
+
 def closed_buckets(as_of: Moment, minutes: int = 15) -> Span:
     """From yesterday's midnight up to the start of the bucket that is still open."""
+    minutes = bucket_minutes(minutes)
     midnight = _midnight(as_of)
     width = timedelta(minutes=minutes)
     done = (_moment(as_of) - midnight) // width
     return Span(midnight - timedelta(days=1), midnight + done * width)
 
 
+def by_day(log: DataFrame) -> bool:
+    """Whether a log is laid out by day."""
+    return DAY_PARTITION in log.columns and isinstance(log.schema[DAY_PARTITION].dataType, T.DateType)
+
+
 def day_of(log: DataFrame) -> Column:
     """The day of each row. A log laid out by day knows it without reading ``time``."""
-    return F.col(DAY_PARTITION) if DAY_PARTITION in log.columns else F.to_date("time")
+    return F.col(DAY_PARTITION) if by_day(log) else F.to_date("time")
 
 
 def rows_in(log: DataFrame, span: Span) -> DataFrame:
@@ -89,12 +106,12 @@ def rows_in(log: DataFrame, span: Span) -> DataFrame:
     partitions are read, and for whole days nothing else is compared.
     """
     bounds = []
-    by_day = DAY_PARTITION in log.columns
-    if by_day:
+    dated = by_day(log)
+    if dated:
         bounds.append(f"{DAY_PARTITION} <= DATE '{span.last_day}'")
         if span.start != datetime.min:
             bounds.append(f"{DAY_PARTITION} >= DATE '{span.first_day}'")
-    if not (by_day and span.whole_days):
+    if not (dated and span.whole_days):
         kind = log.schema["time"].dataType.simpleString()
         bounds.append(f"time < {kind} '{span.end}'")
         if span.start != datetime.min:

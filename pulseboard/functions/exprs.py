@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pulseboard.functions.clock import bucket_minutes
+
 # Upper bound (inclusive) and label of each age group.
 AGE_GROUPS = ((20, "0-20"), (30, "21-30"), (40, "31-40"), (50, "41-50"), (60, "51-60"))
 OLDEST_GROUP = "> 60"
@@ -47,7 +49,7 @@ def age_group(age: Column) -> Column:
 
 def quarter_hour(time: Column, minutes: int = 15) -> Column:
     """Start of the bucket ``time`` falls into."""
-    return F.window(time, f"{minutes} minutes").getField("start")
+    return F.window(time, f"{bucket_minutes(minutes)} minutes").getField("start")
 
 
 def number_text(column: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseboard.operators.products import both_products
@@ -11,9 +11,11 @@ ATTRIBUTES = ("gender", "age", "os")
 
 
 def user_attributes(feed: DataFrame, messages: DataFrame) -> DataFrame:
-    """Every attribute tuple each user ever acted with, and when last (``last_time``)."""
+    """Every attribute tuple each user ever acted with, when first and when last."""
     rows = both_products(feed, messages, ["user_id", *ATTRIBUTES, "time"])
-    return rows.groupBy("user_id", *ATTRIBUTES).agg(F.max("time").alias("last_time"))
+    return rows.groupBy("user_id", *ATTRIBUTES).agg(
+        F.min("time").alias("first_time"), F.max("time").alias("last_time")
+    )
 
 
 def merge_attributes(stored: DataFrame, recent: DataFrame) -> DataFrame:
@@ -21,17 +23,39 @@ def merge_attributes(stored: DataFrame, recent: DataFrame) -> DataFrame:
     return (
         stored.unionByName(recent)
         .groupBy("user_id", *ATTRIBUTES)
-        .agg(F.max("last_time").alias("last_time"))
+        .agg(F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
     )
 
 
-def latest_attributes(attributes: DataFrame) -> DataFrame:
-    """One tuple per user: the one last acted with (ties go to the greatest tuple)."""
+def attribute_days(feed: DataFrame, messages: DataFrame) -> DataFrame:
+    """Per user and day the tuple last acted with (ties go to the greatest tuple)."""
+    rows = both_products(feed, messages, ["user_id", *ATTRIBUTES, "time"], day="date")
+    return _newest(rows.withColumnRenamed("time", "last_time"))
+
+
+def merge_attribute_days(stored: DataFrame, recent: DataFrame) -> DataFrame:
+    """The table of days plus newer ones; of a day in both, the later tuple stays."""
+    return _newest(stored.unionByName(recent))
+
+
+def _newest(rows: DataFrame) -> DataFrame:
     newest = F.max(F.struct("last_time", *ATTRIBUTES)).alias("newest")
     return (
-        attributes.groupBy("user_id")
+        rows.groupBy("user_id", "date")
         .agg(newest)
-        .select("user_id", *[F.col(f"newest.{c}").alias(c) for c in (*ATTRIBUTES, "last_time")])
+        .select("user_id", "date", *[F.col(f"newest.{c}").alias(c) for c in (*ATTRIBUTES, "last_time")])
+    )
+
+
+def latest_attributes(days: DataFrame) -> DataFrame:
+    """From :func:`attribute_days`: the tuple of each user from ``since`` until before ``until`` (NULL:
+    still). Days on which nothing changed are merged, so a user has a row per change."""
+    in_order = Window.partitionBy("user_id").orderBy("date")
+    person = F.struct(*ATTRIBUTES)
+    changed = ~F.lag(person).over(in_order).eqNullSafe(person)
+    changes = days.withColumn("_changed", changed).where("_changed").drop("_changed")
+    return changes.select(
+        "user_id", *ATTRIBUTES, F.col("date").alias("since"), F.lead("date").over(in_order).alias("until")
     )
 
 

@@ -18,6 +18,10 @@ def slice_sums(
     """
     sums = [F.sum(m).cast("bigint").alias(m) for m in metrics]
     combined = facts.groupBy(*keys, *dimensions).agg(*sums)
+    if len(dimensions) == 1:
+        only = dimensions[0]
+        value = F.col(only).cast("string").alias("dimension_value")
+        return combined.select(*keys, F.lit(only).alias("dimension"), value, *metrics)
     sliced = [
         F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("dimension_value"))
         for d in dimensions

@@ -7,9 +7,6 @@ catalog's.
 
 from __future__ import annotations
 
-from pulseboard.plans.alerts import ALERT_TEXT
-from pulseboard.plans.reports import APP_TEXT, FEED_TEXT
-
 _LOGS = """
 person AS (
   SELECT *, user_id + 1 AS u,
@@ -31,6 +28,7 @@ acted AS (
 
 _DAYS = "2024-01-31"
 _NEW = "2024-01-08"
+_BACKFILL = "2024-01-16"
 
 
 def _sql(ctes: str, select: str) -> str:
@@ -104,36 +102,42 @@ FROM (SELECT CAST(range AS DATE) AS date FROM range({start}, DATE '{as_of}', INT
 GROUP BY date HAVING feed_new_users + msg_new_users > 0"""
 
 
-def _activity(days: int = 1, latest: bool = False) -> str:
-    """CTEs feed_users, message_users and user_activity for the days before the 31st."""
-    known = "SELECT user_id, gender, age, os FROM about"
+def _activity(days: int = 1, latest: bool = False, as_of: str = _DAYS, unknown: bool = False) -> str:
+    """CTEs feed_users, message_users and user_activity for the days before ``as_of``.
+
+    Attributes are those of actions up to the day in question, looked up day by day.
+    """
+    age = "age" if unknown else "coalesce(age, 0)"
+    gender = "gender" if unknown else "coalesce(gender, 0)"
+    rank = "1"
     if latest:
-        known = """SELECT user_id, gender, age, os FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id
-      ORDER BY time DESC, gender DESC, age DESC, os DESC) AS rank FROM about) WHERE rank = 1"""
+        rank = """row_number() OVER (PARTITION BY event_date, user_id
+      ORDER BY time DESC, gender DESC, age DESC, os DESC)"""
     return f"""
 feed_user AS (
   SELECT date AS event_date, user_id, gender, age, os, {_LIKES} AS likes, {_VIEWS} AS views
-  FROM acted WHERE in_feed AND {_week(_DAYS, days)} GROUP BY ALL),
+  FROM acted WHERE in_feed AND {_week(as_of, days)} GROUP BY ALL),
 ends AS (
   SELECT date AS event_date, user_id, reciever_id AS peer, true AS sent
-  FROM acted WHERE NOT in_feed AND {_week(_DAYS, days)}
+  FROM acted WHERE NOT in_feed AND {_week(as_of, days)}
   UNION ALL
   SELECT date, reciever_id, user_id, false
-  FROM acted WHERE NOT in_feed AND {_week(_DAYS, days)}),
+  FROM acted WHERE NOT in_feed AND {_week(as_of, days)}),
 messaged AS (
   SELECT event_date, user_id, count(*) FILTER (NOT sent) AS messages_received,
     count(peer) FILTER (sent) AS messages_sent,
     count(DISTINCT peer) FILTER (sent) AS users_sent,
     count(DISTINCT peer) FILTER (NOT sent) AS users_received
   FROM ends GROUP BY ALL),
-about AS (
-  SELECT user_id, gender, age, os, max(time) AS time FROM acted GROUP BY ALL),
-known AS ({known}),
+known AS (
+  SELECT event_date, user_id, gender, age, os, max(acted.time) AS time
+  FROM (SELECT DISTINCT event_date, user_id FROM messaged) m JOIN acted USING (user_id)
+  WHERE acted.date <= event_date GROUP BY ALL),
+ranked AS (SELECT *, {rank} AS rank FROM known),
 message_user AS (
-  SELECT event_date, user_id, coalesce(gender, 0) AS gender, coalesce(age, 0) AS age,
+  SELECT event_date, user_id, {gender} AS gender, {age} AS age,
     coalesce(os, '') AS os, messages_received, messages_sent, users_sent, users_received
-  FROM messaged LEFT JOIN known USING (user_id)),
+  FROM messaged LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) USING (event_date, user_id)),
 merged AS (
   SELECT event_date, user_id, gender, age AS years, os, coalesce(likes, 0) AS likes,
     coalesce(views, 0) AS views, coalesce(messages_received, 0) AS messages_received,
@@ -143,7 +147,8 @@ merged AS (
 user_activity AS (
   SELECT event_date, user_id, gender,
     CASE WHEN years <= 20 THEN '0-20' WHEN years <= 30 THEN '21-30' WHEN years <= 40 THEN '31-40'
-      WHEN years <= 50 THEN '41-50' WHEN years <= 60 THEN '51-60' ELSE '> 60' END AS age,
+      WHEN years <= 50 THEN '41-50' WHEN years <= 60 THEN '51-60' WHEN years > 60 THEN '> 60'
+      ELSE 'unknown' END AS age,
     os, likes, views, messages_received, messages_sent, users_sent, users_received
   FROM merged)"""
 
@@ -160,11 +165,14 @@ SELECT event_date, '{dimension}' AS dimension, CAST({dimension} AS VARCHAR) AS d
 FROM user_activity GROUP BY event_date, {dimension}"""
 
 
-def _dimensions(days: int = 1) -> str:
-    return _sql(_activity(days), " UNION ALL ".join(_slice(d) for d in ("gender", "age", "os")))
+def _dimensions(days: int = 1, **options) -> str:
+    return _sql(_activity(days, **options), " UNION ALL ".join(_slice(d) for d in ("gender", "age", "os")))
 
 
 _LIVE = "time >= TIMESTAMP '2024-01-30' AND time < TIMESTAMP '2024-01-31'"
+# As of 12:07 the bucket of 12:00 is still open.
+_MIDDAY = "time >= TIMESTAMP '2024-01-29' AND time < TIMESTAMP '2024-01-30 12:00:00'"
+_ALERT = "time >= TIMESTAMP '2024-01-29' AND time < TIMESTAMP '2024-01-30 12:30:00'"
 
 
 def _quarters(where: str, by: str = "") -> str:
@@ -272,6 +280,54 @@ def _report_columns(template: str) -> dict[str, str]:
     }
 
 
+# The wording of the messages, written out here once more.
+FEED_TEXT = '''отчет "ЛЕНТА НОВОСТЕЙ"
+за {date}:
+
+DAU: {DAU}
+Просмотры: {views}
+Лайки: {likes}
+CTR: {CTR}
+'''
+APP_TEXT = '''ОТЧЕТ ЗА {audience_date}
+
+Число пользователей:
+    ленты: {feed_users}
+    мессенджера: {message_users}
+    обоих продуктов: {feed_message_users}
+
+Новые пользователи:
+    ленты: {feed_new_users}
+    мессенджера: {msg_new_users}
+    обоих продуктов: {feed_msg_new_users}
+
+_________________
+Лента новостей:
+    лайки: {sum_likes}
+    просмотры: {sum_views}
+    CTR: {sum_ctr}
+
+Средние показатели на пользователя:
+    лайки: {avg_likes}
+    просмотры: {avg_views}
+    CTR: {avg_ctr}
+_________________
+Мессенджер:
+    отправлено писем:{msg_sent}
+    отправители: {senders}
+    получатели: {recievers}
+
+Средние показатели на пользователя:
+    отправлено писем: {avg_msg_sent}
+    получатели: {avg_resivers_per_user}
+__________________
+'''
+ALERT_TEXT = '''Метрика {metric}:
+текущее значение: {value}
+отклонение от предыдущего значения: {deviation}%
+'''
+
+
 def oracles() -> dict[str, str]:
     everything = "true"
     replayed = "metric, quart_hour, value, prev_value, low, up, deviation_pct, is_alert"
@@ -283,6 +339,24 @@ def oracles() -> dict[str, str]:
             "deviation": f"coalesce({_number('deviation_pct')}, 'None')",
         },
     )
+    series = _sql(
+        _app_reports(_NEW),
+        " UNION ALL ".join(
+            [
+                _lines("feed", "feed_days", "DAU views likes CTR"),
+                _lines("app", "audience", "feed_users message_users feed_message_users"),
+                _lines("app", "new_users", "feed_new_users msg_new_users feed_msg_new_users"),
+                _lines(
+                    "app", "feed", "sum_likes avg_likes sum_views avg_views sum_ctr avg_ctr"
+                ),
+                _lines("app", "messages", "senders recievers msg_sent avg_msg_sent"),
+            ]
+        ),
+    )
+    app_text = _sql(
+        _app_reports(_NEW) + "," + _LATEST,
+        f"SELECT {_text(APP_TEXT, _report_columns(APP_TEXT))} AS text FROM latest",
+    )
     return {
         "feed_daily": _sql("", _feed_daily(_DAYS)),
         "feed_daily_sql": _sql("", _feed_daily(_DAYS)),
@@ -301,6 +375,34 @@ def oracles() -> dict[str, str]:
         "message_user_daily": _sql(_activity(), "SELECT * FROM message_user"),
         "message_user_latest": _sql(_activity(latest=True), "SELECT * FROM message_user"),
         "message_user_incremental": _sql(_activity(), "SELECT * FROM message_user"),
+        "message_user_latest_incremental": _sql(
+            _activity(latest=True), "SELECT * FROM message_user"
+        ),
+        "message_user_latest_month": _sql(
+            _activity(30, latest=True), "SELECT * FROM message_user"
+        ),
+        "message_user_backfill": _sql(_activity(as_of=_BACKFILL), "SELECT * FROM message_user"),
+        "message_user_backfill_latest": _sql(
+            _activity(latest=True, as_of=_BACKFILL), "SELECT * FROM message_user"
+        ),
+        "user_activity_incremental": _sql(_activity(), "SELECT * FROM user_activity"),
+        "dimension_metrics_incremental": _dimensions(),
+        "dimension_metrics_backfill": _dimensions(as_of=_BACKFILL),
+        "dimension_metrics_unknown": _dimensions(unknown=True),
+        "feed_daily_newest": _sql("", _feed_daily(_DAYS) + " ORDER BY date DESC"),
+        "audience_stored": _sql("", _audience(_DAYS)),
+        "quarter_hour_metrics_midday": _sql(
+            _quarters(_MIDDAY), "SELECT * EXCLUDE (ctr) FROM quarters"
+        ),
+        "alert_latest_midday": _sql(
+            _bands(_MIDDAY, ahead=0),
+            f"SELECT {replayed} FROM replay WHERE quart_hour = (SELECT max(quart_hour) FROM quarters)",
+        ),
+        "alert_messages_latest": _sql(
+            _bands(_ALERT, ahead=0),
+            f"SELECT metric, quart_hour, {alert_text} AS message FROM replay "
+            "WHERE is_alert AND quart_hour = (SELECT max(quart_hour) FROM quarters)",
+        ),
         "user_activity_daily": _sql(_activity(), "SELECT * FROM user_activity"),
         "slice_gender": _sql(_activity(), _slice("gender")),
         "slice_age": _sql(_activity(), _slice("age")),
@@ -328,30 +430,16 @@ def oracles() -> dict[str, str]:
             _bands(everything, ahead=0),
             f"SELECT metric, quart_hour, {alert_text} AS message FROM replay WHERE is_alert",
         ),
-        "report_series": _sql(
-            _app_reports(_NEW),
-            " UNION ALL ".join(
-                [
-                    _lines("feed", "feed_days", "DAU views likes CTR"),
-                    _lines("app", "audience", "feed_users message_users feed_message_users"),
-                    _lines("app", "new_users", "feed_new_users msg_new_users feed_msg_new_users"),
-                    _lines(
-                        "app", "feed", "sum_likes avg_likes sum_views avg_views sum_ctr avg_ctr"
-                    ),
-                    _lines("app", "messages", "senders recievers msg_sent avg_msg_sent"),
-                ]
-            ),
-        ),
+        "report_series": series,
+        "report_series_incremental": series,
         "app_report_latest": _sql(_app_reports(_NEW) + "," + _LATEST, "SELECT * FROM latest"),
         "feed_report_text": _sql(
             "",
             f"SELECT {_text(FEED_TEXT, _report_columns(FEED_TEXT))} AS text "
             f"FROM ({_feed_daily(_DAYS)} ORDER BY date DESC LIMIT 1)",
         ),
-        "app_report_text": _sql(
-            _app_reports(_NEW) + "," + _LATEST,
-            f"SELECT {_text(APP_TEXT, _report_columns(APP_TEXT))} AS text FROM latest",
-        ),
+        "app_report_text": app_text,
+        "app_report_text_incremental": app_text,
         "quarter_hour_stream": _sql(
             _quarters(everything), f"SELECT * EXCLUDE (ctr) FROM quarters WHERE {_CLOSED}"
         ),

@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import Moment, age_group, day_of, last_days, rows_in
-from pulseboard.operators import latest_attributes, message_sides, slice_sums, user_attributes
+from pulseboard.functions import Moment, age_group, day_of, history, last_days, rows_in
+from pulseboard.operators import (
+    attribute_days,
+    latest_attributes,
+    message_sides,
+    slice_sums,
+    user_attributes,
+)
 from pulseboard.operators.people import ATTRIBUTES
 
 FEED_METRICS = ("likes", "views")
@@ -31,9 +37,13 @@ def _sums(metrics: Sequence[str]) -> list:
     return [F.sum(m).alias(m) for m in metrics]
 
 
-def _filled(rows: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Absent counts and unknown people: zeros, and an empty ``os``."""
-    return rows.fillna({**dict.fromkeys(metrics, 0), "gender": 0, "age": 0, "os": ""})
+def _filled(rows: DataFrame, metrics: Sequence[str], unknown: str = "zero") -> DataFrame:
+    """Absent counts are zeros, and an absent ``os`` is empty. An absent gender or age is 0, or
+    stays absent with ``unknown="label"``, so that the age group reads "unknown"."""
+    if unknown not in ("zero", "label"):
+        raise ValueError(f"unknown must be 'zero' or 'label', not {unknown!r}")
+    numbers = {"gender": 0, "age": 0} if unknown == "zero" else {}
+    return rows.fillna({**dict.fromkeys(metrics, 0), **numbers, "os": ""})
 
 
 def feed_user_daily(feed: DataFrame, as_of: Moment, days: int = 1) -> DataFrame:
@@ -41,19 +51,38 @@ def feed_user_daily(feed: DataFrame, as_of: Moment, days: int = 1) -> DataFrame:
     return _feed_marks(feed, as_of, days).groupBy(*GRAIN).agg(*_sums(FEED_METRICS))
 
 
+def _known(feed: DataFrame, messages: DataFrame, as_of: Moment, attributes: str | DataFrame) -> DataFrame:
+    """Attribute tuples of users, with the days ``since`` and ``until`` (NULL: open) for which
+    they count: from the day on which a user first acted with one, for "latest" until another."""
+    if isinstance(attributes, DataFrame):
+        table = attributes
+    else:
+        if attributes not in ("all", "latest"):
+            raise ValueError(f"attributes must be 'all', 'latest' or a frame, not {attributes!r}")
+        # A backfill knows what was known then: no rows from ``as_of`` on.
+        logs = [rows_in(log, history(as_of)) for log in (feed, messages)]
+        table = user_attributes(*logs) if attributes == "all" else attribute_days(*logs)
+    if "first_time" in table.columns:
+        return table.select(
+            "user_id", *ATTRIBUTES, F.to_date("first_time").alias("since"), F.lit(None).cast("date").alias("until")
+        )
+    return latest_attributes(table)
+
+
 def message_user_daily(
     feed: DataFrame,
     messages: DataFrame,
     as_of: Moment,
     days: int = 1,
     attributes: str | DataFrame = "all",
+    unknown: str = "zero",
 ) -> DataFrame:
-    """Messages and peers per day and user, with the user's attributes.
+    """Messages and peers per day and user, with the user's attributes as known on that day.
 
-    Attributes come from all history of both logs. A user who acted with several
-    attribute tuples gets a row for each (``attributes="all"``) or only for the last
-    (``"latest"``). A frame kept up to date with ``merge_attributes`` can be given
-    instead, which spares the scan of all history.
+    Attributes come from all history of both logs up to each day. A user who had acted with several
+    attribute tuples gets a row for each (``attributes="all"``) or only for the last one of then
+    (``"latest"``). A kept table can be given instead, which spares the scan of all history:
+    one of :func:`user_attributes` stands for "all", one of :func:`attribute_days` for "latest".
     """
     span = last_days(as_of, days)
     sent = rows_in(messages, span)
@@ -63,24 +92,22 @@ def message_user_daily(
         totals = message_sides(sent).withColumn("event_date", F.lit(span.first_day))
     else:
         totals = message_sides(sent.withColumn("event_date", day_of(sent)), by=["event_date"])
-    if isinstance(attributes, DataFrame):
-        known = attributes
-    else:
-        if attributes not in ("all", "latest"):
-            raise ValueError(f"attributes must be 'all', 'latest' or a frame, not {attributes!r}")
-        known = user_attributes(feed, messages)
-        if attributes == "latest":
-            known = latest_attributes(known)
-    joined = totals.join(known.select("user_id", *ATTRIBUTES), "user_id", "left")
-    return _filled(joined.select(*GRAIN, *MESSAGE_METRICS), MESSAGE_METRICS)
+    known = _known(feed, messages, as_of, attributes).withColumnRenamed("user_id", "_user")
+    in_time = (F.col("since") <= F.col("event_date")) & (
+        F.col("until").isNull() | (F.col("event_date") < F.col("until"))
+    )
+    joined = totals.join(known, (F.col("user_id") == F.col("_user")) & in_time, "left")
+    return _filled(joined.select(*GRAIN, *MESSAGE_METRICS), MESSAGE_METRICS, unknown)
 
 
-def _facts(feed: DataFrame, messages: DataFrame, as_of: Moment, days: int, attributes) -> DataFrame:
+def _facts(
+    feed: DataFrame, messages: DataFrame, as_of: Moment, days: int, attributes, unknown: str
+) -> DataFrame:
     """Additive rows of both products; sums over them equal sums over the outer merge."""
     both = _feed_marks(feed, as_of, days).unionByName(
-        message_user_daily(feed, messages, as_of, days, attributes), allowMissingColumns=True
+        message_user_daily(feed, messages, as_of, days, attributes, unknown), allowMissingColumns=True
     )
-    return _filled(both, METRICS)
+    return _filled(both, METRICS, unknown)
 
 
 def user_activity_daily(
@@ -89,9 +116,10 @@ def user_activity_daily(
     as_of: Moment,
     days: int = 1,
     attributes: str | DataFrame = "all",
+    unknown: str = "zero",
 ) -> DataFrame:
     """Both products' metrics per day, user and attributes, ``age`` as its group."""
-    merged = _facts(feed, messages, as_of, days, attributes).groupBy(*GRAIN).agg(*_sums(METRICS))
+    merged = _facts(feed, messages, as_of, days, attributes, unknown).groupBy(*GRAIN).agg(*_sums(METRICS))
     return merged.withColumn("age", age_group(F.col("age")))
 
 
@@ -102,9 +130,10 @@ def dimension_metrics(
     days: int = 1,
     dimensions: Sequence[str] = ATTRIBUTES,
     attributes: str | DataFrame = "all",
+    unknown: str = "zero",
 ) -> DataFrame:
     """Daily sums of all metrics by value of each dimension, in the table's column order."""
-    facts = _facts(feed, messages, as_of, days, attributes)
+    facts = _facts(feed, messages, as_of, days, attributes, unknown)
     facts = facts.withColumn("age", age_group(F.col("age")))
     stored = ("views", "likes", *MESSAGE_METRICS)
     return slice_sums(facts, ["event_date"], dimensions, stored).select(

@@ -162,7 +162,7 @@ _________________
     CTR: {avg_ctr}
 _________________
 Мессенджер:
-    отправлено писем: {msg_sent}
+    отправлено писем:{msg_sent}
     отправители: {senders}
     получатели: {recievers}
 

@@ -45,7 +45,14 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def stream_log(
     spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same log as a stream; ``time`` becomes the zoned type watermarks need."""
+    """The same log as a stream; ``time`` becomes the zoned type watermarks need.
+
+    Files come in the order in which they were written. With ``max_files_per_trigger`` a backlog is
+    taken in by steps, so state holds the buckets of a few files, not of the whole log: write
+    days in their order and let a step be a few days. A day that :func:`write_log` writes
+    again consists of new files; a running stream gets its rows a second time, so days that a stream
+    has read should not be rewritten.
+    """
     reader = spark.readStream.schema(_stored(schema))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pulseboard.session import settings
+from pulseboard.sources.scratch import written
 
 DIMENSION_SCHEMA = T.StructType(
     [
@@ -32,20 +35,31 @@ def create_dimension_table(spark: SparkSession, table: str, location: str | None
     )
 
 
-def write_dimension_metrics(metrics: DataFrame, table: str, mode: str = "replace") -> None:
+def write_dimension_metrics(
+    metrics: DataFrame, table: str, mode: str = "replace", days: Sequence[date] | None = None
+) -> None:
     """Store metrics by column name.
 
-    ``replace`` swaps the days present in ``metrics`` and leaves the others, so a
-    retried or repeated run ends with the same rows. ``append`` only adds.
+    ``replace`` swaps the given days, or without these the days present in ``metrics``, and leaves
+    the others, so a retried or repeated run ends with the same rows. A given day without rows is
+    cleared. Each day is one statement of its own, with no setting of the session involved, so
+    writers of different days do not disturb each other. ``append`` only adds.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     spark = metrics.sparkSession
-    ordered = spark.table(table).columns
-    rows = (
-        metrics.select(*ordered)
-        .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "dimension", "dimension_value")
-    )
-    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        rows.write.mode("overwrite" if mode == "replace" else "append").insertInto(table)
+    if mode == "append":
+        metrics.select(*spark.table(table).columns).write.insertInto(table)
+        return
+    if days is None or len(days) != 1:
+        metrics = written(metrics, "dimension_metrics")  # computed once for all days
+    if days is None:
+        days = [row[0] for row in metrics.select("event_date").distinct().collect()]
+    columns = [c for c in spark.table(table).columns if c != "event_date"]
+    for day in sorted(days):
+        spark.sql(
+            f"INSERT OVERWRITE {table} PARTITION (event_date = DATE '{day}') "
+            f"SELECT {', '.join(columns)} FROM {{rows}} WHERE event_date = DATE '{day}' "
+            "ORDER BY dimension, dimension_value",
+            rows=metrics,
+        )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import ratio
+from pulseboard.functions import bucket_minutes, ratio
 from pulseboard.operators.bands import BUCKET
 from pulseboard.plans.alerts import METRICS, bucket_counts, marks, user_sums
 
@@ -22,14 +22,15 @@ def quarter_hour_stream(
     Streams have no exact distinct count, so users are counted by two chained
     windowed aggregations: per bucket and user, then per bucket. Both logs go
     through them together; a bucket without rows of both products is dropped, which
-    is the join of the two series. The watermark follows the slower log.
+    is the join of the two series. Whether the slower or the faster log closes a bucket is
+    chosen where the stream is started, see :func:`pulseboard.streaming.run.start`.
     """
     rows = marks(
         feed.withWatermark("time", lateness),
         messages.withWatermark("time", lateness),
         ["time", "user_id"],
     )
-    width = f"{minutes} minutes"
+    width = f"{bucket_minutes(minutes)} minutes"
     per_user = rows.groupBy(F.window("time", width), "user_id").agg(*user_sums())
     per_bucket = bucket_counts(per_user.groupBy(F.window(F.window_time("window"), width)))
     metrics = per_bucket.select(F.col("window.start").alias(BUCKET), *METRICS)

@@ -21,17 +21,30 @@ def start(
     path: str,
     checkpoint: str,
     every: str | None = None,
+    close_by: str = "slower",
 ) -> StreamingQuery:
     """Append a stream to Parquet files, exactly once.
 
+    ``close_by`` says which log's watermark closes buckets. By the "slower" no row within the
+    lateness is ever lost, but while one log is silent nothing is emitted, and the state of all
+    open buckets grows. By the "faster" the stream goes on without the silent log and its state stays
+    bounded by the lateness; rows with which the slower log then comes later than that are dropped.
+    Alerting wants "faster", bookkeeping "slower". A log read from files is
+    best taken in order and in steps (see :func:`pulseboard.sources.stream_log`), so that each
+    step closes buckets and a long backfill needs no more state than a day.
+
     ``every`` is the trigger's interval, such as ``"15 minutes"``; without it the
     stream takes in what is there and ends. ``checkpoint`` must be on storage that
     all executors reach. State is kept in RocksDB, so it need not fit in memory. The number
     of shuffle partitions is fixed by the first run of a checkpoint: choose it for the load
     to come.
     """
+    policies = {"slower": "min", "faster": "max"}
+    if close_by not in policies:
+        raise ValueError(f"close_by must be 'slower' or 'faster', not {close_by!r}")
+    conf = {**_STATE_CONF, "spark.sql.streaming.multipleWatermarkPolicy": policies[close_by]}
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    with settings(stream.sparkSession, _STATE_CONF):
+    with settings(stream.sparkSession, conf):
         return (
             stream.writeStream.format("parquet")
             .outputMode("append")

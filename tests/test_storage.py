@@ -72,7 +72,7 @@ def test_a_log_laid_out_by_day_is_pruned(spark, tmp_path):
     write_log(feed, path)
     write_log(feed, path)
     log = read_log(spark, path, FEED_SCHEMA)
-    assert records(log.drop("day")) == records(feed)
+    assert records(log.drop("log_day")) == records(feed)
     rows = rows_in(log, last_days("2024-01-31", 1))
     assert rows.count() == 5
     assert len(rows.inputFiles()) <= 2  # of either day

@@ -25,8 +25,8 @@ def run(stream, root, name):
 def add(root, feed, messages):
     """New files of both logs, next to the present ones."""
     for log, name in ((feed, "feed"), (messages, "messages")):
-        dated = log.withColumn("day", F.to_date("time"))
-        dated.coalesce(1).write.mode("append").partitionBy("day").parquet(f"{root}/{name}")
+        dated = log.withColumn("log_day", F.to_date("time"))
+        dated.coalesce(1).write.mode("append").partitionBy("log_day").parquet(f"{root}/{name}")
 
 
 def sentinels(spark):
