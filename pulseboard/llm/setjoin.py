@@ -17,11 +17,13 @@ of very different size cannot link; a level says how many parts there are.
 
 Lists with the same members are scanned once. A scan compares 512-bit parity sketches, whose
 distance is never more than the number of differing elements, so that no link is lost; lists of more
-than BLOCK members are scanned in pairs of blocks, by as many tasks. What is left is compared
-element by element. A frequent passage puts no documents on one list unless they agree in a whole part.
+than BLOCK members are scanned in pairs of blocks, by as many tasks. A pair that shares several lists
+is taken on the first of them: each row knows the first FIRST_LISTS lists of its set. What is left is
+compared element by element. A frequent passage puts no documents on one list unless they agree in a whole part.
 
-Groups are connected components over classes, by least labels with jumps, each round written to
-the shared folder.
+Groups are connected components over classes. In each round every class joins the neighbour (or
+itself) that a hash of the round puts first, and links between joined classes are one; rounds shrink
+the links geometrically, and each is written to the shared folder.
 
 Defined results: sets are told apart by 128 bits of hash, shingles by 64. A text without words,
 null included, has an empty set, links with nothing and is its own group. Rows without an id have
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -46,6 +49,8 @@ from pulseboard.sources.scratch import written
 RATIO = 1.5
 SKETCH = 512
 BLOCK = 1024
+FIRST_LISTS = 32
+NO_LIST = np.iinfo(np.int64).max
 MOST_SMALL = 40
 # A row of a list costs so many rows of a subset: it may be looked up, sketched and scanned.
 LIST_COST = 3
@@ -259,24 +264,32 @@ def _memberships(docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: i
 def _scan(rule: Rule) -> callable:
     """Pairs of one list whose sketches allow a link. Groups come one after the other."""
 
-    def pairs(h1: np.ndarray, n: np.ndarray, sketch: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def fitting(cols: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The pairs of rows that can link and for which the list is the first that they share."""
+        list_, h1, n, sketch, first = cols[0], cols[3], cols[4], cols[5], cols[7]
+        found = []
+        for i in range(0, len(a), 1 << 15):
+            x, y = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
+            keep = 100 * np.minimum(n[x], n[y]) >= rule.percent * np.maximum(n[x], n[y])
+            x, y = x[keep], y[keep]
+            apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+            keep = apart * (100 + rule.percent) <= (100 - rule.percent) * (n[x] + n[y])
+            x, y = x[keep], y[keep]
+            for j in range(0, len(x), 1 << 12):
+                u, v = x[j : j + (1 << 12)], y[j : j + (1 << 12)]
+                earlier = np.where(first[u] < list_[u][:, None], first[u], NO_LIST)
+                shared = (earlier[:, :, None] == first[v][:, None, :]) & (earlier != NO_LIST)[:, :, None]
+                u, v = (z[~shared.any((1, 2))] for z in (u, v))
+                found.append(np.stack([np.minimum(h1[u], h1[v]), np.maximum(h1[u], h1[v])], 1))
+        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+    def group(cols: list[np.ndarray], start: int, end: int) -> np.ndarray:
+        side = cols[6][start:end]
         if (side == 2).any():
-            left = right = np.arange(len(h1))
-            i, j = np.triu_indices(len(h1), 1)
+            i, j = np.triu_indices(end - start, 1)
         else:
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
-        out = []
-        for at in range(0, len(i), 1 << 17):
-            a, b = i[at : at + (1 << 17)], j[at : at + (1 << 17)]
-            least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-            fits = 100 * least >= rule.percent * most
-            a, b = a[fits], b[fits]
-            apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
-            keep = apart * (100 + rule.percent) <= (100 - rule.percent) * (n[a] + n[b])
-            out.append((h1[a[keep]], h1[b[keep]]))
-        one, two = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*out) if out else ((), ())))
-        return np.minimum(one, two), np.maximum(one, two)
+            i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1), indexing="ij"))
+        return fitting(cols, start + i, start + j)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -286,36 +299,27 @@ def _scan(rule: Rule) -> callable:
             starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0)))
             ends = np.append(starts[1:], key.shape[1])
             done = len(starts) if last else len(starts) - 1
-            found: list[tuple[np.ndarray, np.ndarray]] = []
             size = (ends - starts)[:done]
             # Most lists have two members; these are compared all at once.
-            at = starts[:done][(size == 2)]
-            alone = cols[6][at] == 2 if len(at) else np.zeros(0, bool)
-            cross = cols[6][at] != cols[6][at + 1] if len(at) else np.zeros(0, bool)
-            at = at[alone | cross]
-            if len(at):
-                a, b = at, at + 1
-                least, most = np.minimum(cols[4][a], cols[4][b]), np.maximum(cols[4][a], cols[4][b])
-                apart = np.bitwise_count(cols[5][a] ^ cols[5][b]).sum(1, dtype=np.int64)
-                keep = (100 * least >= rule.percent * most) & (
-                    apart * (100 + rule.percent) <= (100 - rule.percent) * (least + most)
-                )
-                x, y = cols[3][a[keep]], cols[3][b[keep]]
-                found.append((np.minimum(x, y), np.maximum(x, y)))
-            for i in np.flatnonzero(size > 2).tolist():
-                found.append(pairs(*[c[starts[i] : ends[i]] for c in cols[3:7]]))
+            at = starts[:done][size == 2]
+            at = at[(cols[6][at] == 2) | (cols[6][at] != cols[6][at + 1])] if len(at) else at
+            found = [fitting(cols, at, at + 1)]
+            found += [group(cols, starts[i], ends[i]) for i in np.flatnonzero(size > 2).tolist()]
             left = None if last else [c[starts[-1] :] for c in cols]
-            if not found:
-                return [], left
-            one, two = (np.concatenate(x) for x in zip(*found))
-            # In different lists of this batch the same pair is one row.
-            both = np.unique(np.stack([one, two], 1), axis=0)
+            both = np.unique(np.concatenate(found), axis=0)
             return [pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])], left
 
         for batch in batches:
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 4)]
             raw = b"".join(batch.column(5).to_pylist())
             cols += [np.frombuffer(raw, U64).reshape(-1, SKETCH // 64), batch.column(6).to_numpy(zero_copy_only=False)]
+            lists = batch.column(7)
+            sizes = np.diff(lists.offsets.to_numpy())
+            first = np.full((len(sizes), FIRST_LISTS), NO_LIST)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            first[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+            cols.append(first)
             if rest is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(rest, cols)]
             if not len(cols[0]):
@@ -343,8 +347,11 @@ def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         .select(F.xxhash64("all", "first", "count").alias("list"), "h1", "count")
         .distinct()
     )
+    lists = written(lists, "lists")
+    first = lists.groupBy("h1").agg(F.slice(F.sort_array(F.collect_list("list")), 1, FIRST_LISTS).alias("lists"))
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    told = lists.join(classes.select("h1", "n", "sketch"), "h1").withColumn("blocks", blocks)
+    known = classes.select("h1", "n", "sketch").join(first, "h1")
+    told = lists.join(known, "h1").withColumn("blocks", blocks)
     own = F.pmod(F.xxhash64("h1", "list"), F.col("blocks")).cast("int")
     placed = told.withColumn("own", own).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -359,6 +366,7 @@ def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         "n",
         "sketch",
         side.cast("long").alias("side"),
+        "lists",
     )
     ordered = keyed.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
     return ordered.mapInArrow(_scan(rule), "a long, b long").distinct()
@@ -403,21 +411,38 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule,
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(v, component) of every end of a link; the component is its least end."""
-    ends = written(
-        links.select(F.col(a).alias("v"), F.col(b).alias("u")).union(links.select(F.col(b), F.col(a))).distinct(), "ends"
-    )
-    labels = written(ends.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("l")), "labels")
-    while True:
-        near = ends.join(labels.select(F.col("v").alias("u"), "l"), "u").groupBy("v").agg(F.min("l").alias("near"))
-        lower = labels.join(near, "v").select("v", F.col("l").alias("old"), F.least("l", "near").alias("l"))
-        jump = labels.select(F.col("v").alias("l"), F.col("l").alias("far"))
-        after = written(
-            lower.join(jump, "l").select("v", "old", F.least("l", "far").alias("l")), "labels"
+    """(v, component) of every end of a link; the component is one of its ends."""
+    edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
+    edges = written(edges, "links")
+    labels, turn = None, 0
+    while not edges.isEmpty():
+        turn += 1
+        ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a"))
+        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("to"))
+        joined = written(
+            ends.groupBy("v")
+            .agg(F.min(rank("u")).alias("near"))
+            .select("v", F.least(F.col("near"), rank("v")).getField("to").alias("to")),
+            "joined",
+        )
+        if labels is None:
+            labels = joined.withColumnRenamed("to", "component")
+        else:
+            step = joined.select(F.col("v").alias("component"), "to")
+            labels = written(
+                labels.join(step, "component", "left").select("v", F.coalesce("to", "component").alias("component")), "labels"
+            )
+        edges = written(
+            edges.join(joined.select(F.col("v").alias("a"), F.col("to").alias("x")), "a")
+            .join(joined.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
+            .where("x <> y")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            .distinct(),
+            "links",
         )
-        labels = after.select("v", "l")
-        if after.where("l < old").isEmpty():
-            return labels.select("v", F.col("l").alias("component"))
+    if labels is None:
+        return edges.select(F.col("a").alias("v"), F.col("b").alias("component"))
+    return labels
 
 
 def groups(
@@ -448,8 +473,13 @@ def groups(
         .agg(F.min("doc").alias("smallest"))
     )
     copies = classes.groupBy("h1").agg(F.sum("copies").alias("copies"))
-    ends = links.union(links.select("b", "a")).toDF("h1", "other")
-    others = ends.join(copies.withColumnRenamed("h1", "other"), "other").groupBy("h1").agg(F.sum("copies").alias("others"))
+    others = reduce(
+        DataFrame.union,
+        [
+            links.join(copies.withColumnRenamed("h1", other), other).groupBy(F.col(own).alias("h1")).agg(F.sum("copies").alias("others"))
+            for own, other in (("a", "b"), ("b", "a"))
+        ],
+    ).groupBy("h1").agg(F.sum("others").alias("others"))
     known = (
         classes.join(group.withColumnRenamed("v", "h1"), "h1", "left")
         .join(smallest, "component", "left")
