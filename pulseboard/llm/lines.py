@@ -12,7 +12,8 @@ window is very frequent), and the starts of removed windows are merged to runs p
 Defined results: a null text stays null, and an empty text is one empty line; texts of fewer lines
 than a window stay as they are. Rows without an id come after all others. Rows of equal id and
 text are one document and get the same text; of rows with one id and different texts, the order is
-by a hash of the text. Other columns stay; a column that has the name of a new one is replaced.
+by a hash of the text. Other columns stay; a column that has the name of a new one, or of the operator's own
+``_id`` and ``_row``, is replaced or left out.
 """
 
 from __future__ import annotations

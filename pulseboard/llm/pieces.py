@@ -13,7 +13,7 @@ have equal ids, which each Python worker remembers in a bounded table.
 Defined results: a null text counts as empty and has only the begin and end ids; characters
 outside the vocabulary become their bytes; decoding ids that are no valid UTF-8 gives U+FFFD
 for each such byte. Rows are independent, so repeated rows, ties and any further columns stay
-as they are; an output name that the table has already is an error.
+as they are; a column that has the name of a new one is replaced.
 """
 
 from __future__ import annotations
@@ -261,9 +261,10 @@ def encode(
     tables are); each task encodes its own rows, without a shuffle.
     """
     spark = docs.sparkSession
-    new = [ids, *([decoded] if decoded else [])]
-    if {n.lower() for n in new} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the table has a column of the name {' or '.join(new)} already")
+    new = {n.lower() for n in (ids, decoded) if n}
+    if text.lower() in new:
+        raise ValueError("the results need names other than the text's")
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in new])
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(model_path))
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType(), False)])
     if decoded:
@@ -288,8 +289,9 @@ def encode(
 
 def decode(table: DataFrame, model_path: str, *, ids: str = "ids", text: str = "text") -> DataFrame:
     """All columns of the table, and the text that its binary ids decode to (null: empty)."""
-    if text.lower() in {c.lower() for c in table.columns}:
-        raise ValueError(f"the table has a column of the name {text} already")
+    if text.lower() == ids.lower():
+        raise ValueError("the text needs a name other than the ids'")
+    table = table.select(*[c for c in table.columns if c.lower() != text.lower()])
     vocabulary = table.sparkSession.sparkContext.broadcast(read_vocabulary(model_path))
     schema = T.StructType([*table.schema.fields, T.StructField(text, T.StringType(), False)])
     at = table.columns.index(ids)
