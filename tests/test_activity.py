@@ -1,8 +1,15 @@
+import pytest
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from pulseboard.operators import merge_attributes, message_sides, user_attributes
+from pulseboard.operators import (
+    attribute_days,
+    merge_attribute_days,
+    merge_attributes,
+    message_sides,
+    user_attributes,
+)
 from pulseboard.plans import activity
 from tests.logs import feed_log, message_log, records
 
@@ -134,3 +141,78 @@ def test_a_month_at_once_equals_its_days(spark):
 def test_no_rows(spark):
     feed, messages = feed_log(spark, []), message_log(spark, [])
     assert activity.dimension_metrics(feed, messages, AS_OF).count() == 0
+
+
+def changing(spark):
+    """Somebody whose system changes on the 20th, again in February, and who writes daily."""
+    feed = feed_log(
+        spark,
+        [
+            (1, "2024-01-10 10:00", "view", 1, 30, "iOS"),
+            (1, "2024-01-20 10:00", "view", 1, 30, "Android"),
+            (1, "2024-02-20 10:00", "view", 1, 30, "iOS"),
+            (1, "2024-02-21 10:00", "view", 1, 30, "Other"),
+        ],
+    )
+    days = [f"2024-01-{d:02} 12:00" for d in (14, 15, 19, 20, 21)]
+    return feed, message_log(spark, [(7, 1, t, 0, 40, "iOS") for t in days])
+
+
+def systems(frame):
+    rows = frame.where("user_id = 1").select("event_date", "os").collect()
+    return sorted((r.event_date.day, r.os) for r in rows)
+
+
+def test_a_backfill_does_not_read_the_future(spark):
+    logs = changing(spark)
+    for kind in ("all", "latest"):
+        assert systems(activity.message_user_daily(*logs, "2024-01-16", attributes=kind)) == [(15, "iOS")]
+    before = [log.where("time < timestamp_ntz '2024-01-22 00:00:00'") for log in logs]
+    for kind in ("all", "latest"):
+        for plan in (activity.message_user_daily, activity.dimension_metrics):
+            assert records(plan(*logs, "2024-01-22", 30, attributes=kind)) == records(
+                plan(*before, "2024-01-22", 30, attributes=kind)
+            )
+
+
+def test_each_day_of_a_month_has_the_attributes_of_then(spark):
+    logs = changing(spark)
+    month = {
+        kind: activity.message_user_daily(*logs, "2024-01-31", 30, attributes=kind) for kind in ("all", "latest")
+    }
+    assert systems(month["latest"]) == [(14, "iOS"), (15, "iOS"), (19, "iOS"), (20, "Android"), (21, "Android")]
+    assert systems(month["all"]) == [
+        (14, "iOS"),
+        (15, "iOS"),
+        (19, "iOS"),
+        (20, "Android"),
+        (20, "iOS"),
+        (21, "Android"),
+        (21, "iOS"),
+    ]
+    for kind, frame in month.items():
+        for day in (14, 15, 19, 20, 21):
+            one = activity.message_user_daily(*logs, f"2024-01-{day + 1}", attributes=kind)
+            assert records(one) == records(frame.where(f"event_date = DATE '2024-01-{day}'"))
+
+
+def test_kept_tables_know_past_days(spark):
+    feed, messages = changing(spark)
+    early = "time < timestamp_ntz '2024-01-18 00:00:00'"
+    for table, merge, kind in (
+        (user_attributes, merge_attributes, "all"),
+        (attribute_days, merge_attribute_days, "latest"),
+    ):
+        parts = [table(feed.where(w), messages.where(w)) for w in (early, f"NOT ({early})")]
+        kept = merge(*parts)
+        found = activity.message_user_daily(feed, messages, "2024-01-31", 30, attributes=kept)
+        assert records(found) == records(activity.message_user_daily(feed, messages, "2024-01-31", 30, attributes=kind))
+
+
+def test_unknown_people_may_be_labelled(spark):
+    feed, messages = logs(spark)
+    found = activity.dimension_metrics(feed, messages, AS_OF, unknown="label")
+    ages = {r.dimension_value for r in found.where("dimension = 'age'").collect()}
+    assert "unknown" in ages
+    with pytest.raises(ValueError):
+        activity.dimension_metrics(feed, messages, AS_OF, unknown="guess")

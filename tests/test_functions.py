@@ -103,3 +103,11 @@ def test_rows_in_day_edges(spark, zoned):
         log = log.withColumn("time", F.col("time").cast("timestamp"))
     kept = rows_in(log, last_days("2024-01-31", 7)).select("user_id").collect()
     assert sorted(r[0] for r in kept) == [1, 2]
+
+
+@pytest.mark.parametrize("minutes", [25, 7, 0, 24 * 60 + 1])
+def test_buckets_must_divide_a_day(minutes):
+    with pytest.raises(ValueError, match="divide a day"):
+        closed_buckets("2024-01-30 12:00", minutes)
+    with pytest.raises(ValueError, match="divide a day"):
+        quarter_hour(None, minutes)

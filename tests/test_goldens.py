@@ -91,9 +91,8 @@ def test_alert_replay(logs, scale):
     assert [found[m] for m in alerts.METRICS] == pick(scale, [1, 1, 3, 1, 1], [75, 85, 93, 98, 82])
 
 
+@pytest.mark.parametrize("scale", ["0.01"], indirect=True, scope="module")
 def test_new_users(logs, scale):
-    if scale == "0.001":
-        pytest.skip("golden values are for sf0.01")
     report = audience.new_users_daily(*logs, "2024-01-08").orderBy("date")
     assert [tuple(r)[1:] for r in report.collect()] == [
         (75, 69, 57),
@@ -106,9 +105,8 @@ def test_new_users(logs, scale):
     ]
 
 
+@pytest.mark.parametrize("scale", ["0.01"], indirect=True, scope="module")
 def test_dimension_metrics(logs, scale):
-    if scale == "0.001":
-        pytest.skip("golden values are for sf0.01")
     columns = "dimension dimension_value likes views messages_received messages_sent".split()
     columns += ["users_sent", "users_received"]
     found = activity.dimension_metrics(*logs, AS_OF).select(columns).collect()

@@ -1,4 +1,4 @@
-import os
+from datetime import date
 from types import SimpleNamespace
 
 import pytest
@@ -77,7 +77,7 @@ def test_a_log_laid_out_by_day_is_pruned(spark, tmp_path):
     assert rows.count() == 5
     assert len(rows.inputFiles()) <= 2  # of either day
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "PartitionFilters: [isnotnull(log_day" in plan
 
 
 def test_query_over_named_frames(spark):
@@ -91,13 +91,36 @@ def test_shared_folder_is_the_sessions(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
-def session_without_the_setting(master, checkpoint=None):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+def session_without_the_setting(checkpoint=None):
+    settings = {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}
+    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint)
+    get = lambda key, *default: settings[key] if key in settings else default[0]
+    return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=context)
 
 
-def test_only_local_sessions_may_use_a_folder_of_the_machine():
-    assert os.path.isdir(shared_folder(session_without_the_setting("local[2]")))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_without_the_setting("yarn"))
-    assert shared_folder(session_without_the_setting("yarn", "hdfs:///c/")) == "hdfs:///c"
+def test_no_folder_of_one_machine():
+    assert shared_folder(session_without_the_setting("hdfs:///c/")) == "hdfs:///c"
+    assert shared_folder(session_without_the_setting()) == "hdfs:///warehouse/_scratch"
+
+
+def test_an_empty_rewrite_clears_its_days_and_only_these(spark, table):
+    days = [date(2024, 1, 29), date(2024, 1, 30)]
+    write_dimension_metrics(
+        activity.dimension_metrics(*metrics_of(spark, range(5)), "2024-01-31", days=2), table, days=days
+    )
+    before = spark.table(table).where("event_date = DATE '2024-01-29'").count()
+    nobody = activity.dimension_metrics(*metrics_of(spark, []), "2024-01-31")
+    write_dimension_metrics(nobody, table, days=days[1:])
+    assert [r[0] for r in spark.table(table).select("event_date").distinct().collect()] == days[:1]
+    assert spark.table(table).count() == before > 0
+    write_dimension_metrics(nobody, table)  # without days, those present in the rows: none
+    assert spark.table(table).count() == before
+
+
+@pytest.mark.parametrize("day", ["29", "DATE '2020-02-02'"])
+def test_a_column_that_happens_to_be_called_day(spark, day):
+    feed, messages = metrics_of(spark, range(5))
+    other = feed.selectExpr("*", f"{day} AS day")
+    assert records(activity.feed_user_daily(other, "2024-01-31")) == records(
+        activity.feed_user_daily(feed, "2024-01-31")
+    )

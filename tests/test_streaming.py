@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
+from pulseboard.functions import last_days, rows_in
 from pulseboard.plans import alerts
-from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log
+from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log, write_log
 from pulseboard.sources import events as source
 from pulseboard.streaming import alert_stream, quarter_hour_stream, start
 from tests.logs import feed_log, message_log
@@ -155,3 +156,46 @@ def test_periodic_trigger(spark, tmp_path):
         assert query.isActive and query.lastProgress["batchId"] >= 0
     finally:
         query.stop()
+
+
+def silent_messenger(spark, root, days):
+    """A message on the first day, feed rows every quarter hour of all days, a file per day and log."""
+    write_log(message_log(spark, [(1, 2, "2024-01-01 00:05")]), f"{root}/messages")
+    for day in range(1, days + 1):
+        times = [f"2024-01-{day:02} {h:02}:{m:02}" for h in range(24) for m in (0, 15, 30, 45)]
+        write_log(feed_log(spark, [(u, t, "view") for t in times for u in (1, 2)]), f"{root}/feed")
+
+
+def progress(spark, root, close_by):
+    feed = stream_log(spark, f"{root}/feed", FEED_SCHEMA, 1)
+    messages = stream_log(spark, f"{root}/messages", MESSAGE_SCHEMA, 1)
+    query = start(
+        quarter_hour_stream(feed, messages), f"{root}/{close_by}", f"{root}/{close_by}-state", close_by=close_by
+    )
+    query.awaitTermination()
+    state = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress]
+    return state, spark.read.parquet(f"{root}/{close_by}").count()
+
+
+def test_a_silent_log(spark, tmp_path):
+    """By the faster log the stream goes on with bounded state; by the slower one it waits."""
+    root = str(tmp_path)
+    silent_messenger(spark, root, 4)
+    state, emitted = progress(spark, root, "faster")
+    assert emitted == 1  # the one bucket with rows of both
+    assert max(state) < 2.5 * 192
+    state, emitted = progress(spark, root, "slower")
+    assert emitted == 0
+    assert state[-1] > 3.5 * 192
+
+
+def test_state_of_a_backfill_is_that_of_a_few_days(spark, tmp_path):
+    root = str(tmp_path)
+    events = source.events(spark, SF_DIR)
+    for day in range(1, 31):
+        span = last_days(f"2024-01-{day + 1:02}" if day < 31 else "2024-02-01", 1)
+        write_log(rows_in(source.feed_actions(events), span), f"{root}/feed")
+        write_log(rows_in(source.message_actions(events), span), f"{root}/messages")
+    state, emitted = progress(spark, root, "slower")
+    assert emitted > 1000
+    assert max(state) < 0.15 * events.count()
