@@ -129,12 +129,12 @@ def minimizers(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
 
 
 def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window: int) -> DataFrame:
-    """The edges (m, h1, h2, k, e1, e2, doc) of distinct paths, read from the documents that have them."""
-    asked = branching.groupBy("doc").agg(F.collect_list(F.struct("at", "n", "m", "h1", "h2", "first")).alias("asked"))
+    """The edges (h1, h2, k, e1, e2, first) of distinct paths, read from the documents that have them."""
+    asked = branching.groupBy("doc").agg(F.collect_list(F.struct("at", "n", "h1", "h2")).alias("asked"))
     if branching.count() <= BROADCAST_ROWS:
         asked = F.broadcast(asked)
     source = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), text)
-    rows = source.join(asked, "doc").select(text, "asked")
+    rows = source.join(asked, "doc").select(text, "asked", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +146,8 @@ def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window
                 if not len(flat):
                     continue
                 row = np.repeat(np.arange(len(piece)), np.diff(own.offsets.to_numpy()))
-                at, n, m, h1, h2, first = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(6))
+                at, n, h1, h2 = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                first = batch.column(2).to_numpy(zero_copy_only=False)[piece.first + row]
                 begin = w.offsets[row] + at
                 stop = begin + n + window - 1
                 fits = stop <= w.offsets[row + 1]
@@ -161,7 +162,6 @@ def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window
                 take = keep[which]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(m[take]),
                         pa.array(h1[take]),
                         pa.array(h2[take]),
                         pa.array(k.astype(np.int32)),
@@ -169,10 +169,10 @@ def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window
                         long_array(span_hashes(w.hashes, edge, edge + window, SECOND_BASE)),
                         pa.array(first[take]),
                     ],
-                    names=["m", "h1", "h2", "k", "e1", "e2", "first"],
+                    names=["h1", "h2", "k", "e1", "e2", "first"],
                 )
 
-    return rows.mapInArrow(run, "m long, h1 long, h2 long, k int, e1 long, e2 long, first long").distinct()
+    return rows.mapInArrow(run, "h1 long, h2 long, k int, e1 long, e2 long, first long")
 
 
 def removals(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -193,27 +193,31 @@ def removals(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", win
         "distinct",
     )
     alone = distinct.groupBy("m").agg((F.count("*") == 1).alias("alone"))
-    told_apart = written(distinct.join(alone, "m"), "told-apart")
     # Without a branch, all edges have the same first document. Where paths branch, each distinct
     # one is taken apart once, in its first document.
-    branching = told_apart.where("not alone").select(F.col("first").alias("doc"), "at", "n", "m", "h1", "h2", "first")
+    branching = distinct.join(alone.where("not alone"), "m").select(F.col("first").alias("doc"), "at", "n", "h1", "h2")
+    branching = written(branching, "branching")
     edges = written(_edges(branching, docs, doc_id, text, window), "edges")
-    owners = edges.groupBy("e1", "e2").agg(F.min("first").alias("owner"))
-    owned = (
-        edges.join(owners, ["e1", "e2"])
-        .groupBy("m", "h1", "h2")
-        .agg(F.collect_list(F.struct("k", "owner")).alias("edges"), F.min("owner").alias("least"), F.max("owner").alias("most"))
+    # Most edges lie on one distinct path only; the others' first document is the least of these.
+    owners = (
+        edges.groupBy("e1", "e2")
+        .agg(F.min("first").alias("owner"), F.max("first").alias("last"))
+        .where("owner < last")
+        .select("e1", "e2", "owner")
     )
-    single = told_apart.where("alone").select(
-        "m", "h1", "h2", F.lit(None).cast("array<struct<k:int,owner:bigint>>").alias("edges"), F.col("first").alias("least"), F.col("first").alias("most")
+    earlier = edges.join(checked(owners, "owners"), ["e1", "e2"]).where("owner < first").select("h1", "h2", "first", "k")
+    # A document after a path's first one loses the whole path. The first one itself loses the
+    # edges that another path has in an earlier document.
+    wholly = (
+        met.join(distinct.select("m", "h1", "h2", "first"), ["m", "h1", "h2"])
+        .where("doc > first")
+        .select("doc", "at", (F.col("at") + F.col("n") + window - 1).alias("end"))
     )
-    told = met.join(owned.union(single), ["m", "h1", "h2"]).where("least < doc")
-    wholly = told.where("most < doc").select("doc", "at", (F.col("at") + F.col("n") + window - 1).alias("end"))
     partly = (
-        told.where("most >= doc")
-        .select("doc", "at", F.explode("edges").alias("edge"))
-        .where("edge.owner < doc")
-        .select("doc", (F.col("at") + F.col("edge.k")).alias("at"), (F.col("at") + F.col("edge.k") + window).alias("end"))
+        met.withColumnRenamed("doc", "first")
+        .join(checked(earlier, "earlier"), ["h1", "h2", "first"])
+        .select(F.col("first").alias("doc"), (F.col("at") + F.col("k")).alias("at"))
+        .select("doc", "at", (F.col("at") + window).alias("end"))
     )
     # Runs that touch or overlap are one.
     order = Window.partitionBy("doc").orderBy("at", "end")
