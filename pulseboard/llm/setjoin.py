@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -373,41 +372,44 @@ def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """The pairs that link, compared element by element in the texts of the classes' first rows."""
+    """The pairs that link, compared element by element in the texts of the classes' first rows:
+    (a, b, a_copies, b_copies)."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    first = classes.join(asked, "h1").select("h1", F.col("doc").alias("_doc"), F.col("row").alias("_at"))
+    first = classes.join(asked, "h1").select("h1", "copies", F.col("doc").alias("_doc"), F.col("row").alias("_at"))
     first = checked(first, "asked")
     texts = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.xxhash64(doc_id, text).alias("_at"), text)
-    source = texts.join(first, ["_doc", "_at"]).dropDuplicates(["h1"]).select("h1", text)
+    source = texts.join(first, ["_doc", "_at"]).dropDuplicates(["h1"]).select("h1", "copies", text)
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(2)):
                 hashes, offsets = shingle_sets(piece, shingle)
                 rows = [hashes[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(piece.first, len(piece)), pa.array(rows, pa.binary())], names=["h1", "elements"]
-                )
+                own = batch.slice(piece.first, len(piece)).columns[:2]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(rows, pa.binary())], names=["h1", "copies", "elements"])
 
-    each = written(source.mapInArrow(elements, "h1 long, elements binary"), "elements")
+    each = written(source.mapInArrow(elements, "h1 long, copies long, elements binary"), "elements")
+    side = lambda end: each.select(
+        F.col("h1").alias(end), F.col("copies").alias(f"{end}_copies"), F.col("elements").alias(f"{end}_elements")
+    )
     both = (
-        pairs.join(each.select(F.col("h1").alias("b"), F.col("elements").alias("right")), "b")
-        .join(each.select(F.col("h1").alias("a"), F.col("elements").alias("left")), "a")
-        .select("a", "b", "left", "right")
+        pairs.join(side("b"), "b")
+        .join(side("a"), "a")
+        .select("a", "b", "a_copies", "b_copies", "a_elements", "b_elements")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
                 x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
                 both = np.sort(np.concatenate([x, y]))
                 common = int((both[1:] == both[:-1]).sum())
                 if 100 * common >= rule.percent * (len(x) + len(y) - common):
                     keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            yield batch.select([0, 1, 2, 3]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(compare, "a long, b long")
+    return both.mapInArrow(compare, "a long, b long, a_copies long, b_copies long")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -472,14 +474,13 @@ def groups(
         .groupBy("component")
         .agg(F.min("doc").alias("smallest"))
     )
-    copies = classes.groupBy("h1").agg(F.sum("copies").alias("copies"))
-    others = reduce(
-        DataFrame.union,
-        [
-            links.join(copies.withColumnRenamed("h1", other), other).groupBy(F.col(own).alias("h1")).agg(F.sum("copies").alias("others"))
-            for own, other in (("a", "b"), ("b", "a"))
-        ],
-    ).groupBy("h1").agg(F.sum("others").alias("others"))
+    others = (
+        links.groupBy(F.col("a").alias("h1"))
+        .agg(F.sum("b_copies").alias("others"))
+        .union(links.groupBy("b").agg(F.sum("a_copies")))
+        .groupBy("h1")
+        .agg(F.sum("others").alias("others"))
+    )
     known = (
         classes.join(group.withColumnRenamed("v", "h1"), "h1", "left")
         .join(smallest, "component", "left")
