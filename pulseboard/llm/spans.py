@@ -131,8 +131,6 @@ def minimizers(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
 def _edges(branching: DataFrame, docs: DataFrame, doc_id: str, text: str, window: int) -> DataFrame:
     """The edges (h1, h2, k, e1, e2, first) of distinct paths, read from the documents that have them."""
     asked = branching.groupBy("doc").agg(F.collect_list(F.struct("at", "n", "h1", "h2")).alias("asked"))
-    if branching.count() <= BROADCAST_ROWS:
-        asked = F.broadcast(asked)
     source = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), text)
     rows = source.join(asked, "doc").select(text, "asked", "doc")
 
@@ -184,7 +182,7 @@ def removals(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", win
         .where("first < last")
         .select("m")
     )
-    met = written(paths(docs, doc_id=doc_id, text=text, window=window).join(checked(repeated, "repeated"), "m"), "met")
+    met = written(paths(docs, doc_id=doc_id, text=text, window=window).join(repeated, "m"), "met")
     # The distinct paths, each with its first document and a place there.
     distinct = written(
         met.groupBy("m", "h1", "h2", "n")
