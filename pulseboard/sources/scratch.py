@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -32,3 +34,11 @@ def written(table: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     table.write.parquet(path)
     return spark.read.schema(table.schema).parquet(path)
+
+
+def opened(path: str) -> pa.NativeFile:
+    """A file that Spark listed, opened by a task to read any part of it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_file(name)
