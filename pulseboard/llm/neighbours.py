@@ -8,12 +8,13 @@ each other to neighbours of neighbours, and the tasks of the shards keep the nea
 of different length, nearness in the graph is that of vectors made equally long by one more
 coordinate, whose order for any query is that of the inner product.
 
-A query visits all shards. In each it starts from some nodes spread over the shard, goes on
-from the best nodes found that it has not gone on from, and stops when the BEAM best have all been
-used. What the shards found is merged, and copies are put back in.
+A query visits all shards. In each it starts from STARTS nodes spread over the shard, and from one more in
+each part of the graph that no arcs lead to from these; so clusters whose nearest are all their own are
+found, too. It goes on from the best nodes found that it has not gone on from, and stops when the BEAM
+best have all been used. What the shards found is merged, and copies are put back in.
 
-Recall against brute force is measured in the tests; on unstructured vectors of 64 numbers, the
-hardest case, it is over 0.95.
+Recall against brute force is measured in the tests, at these parameters on the table of embeddings and
+on clustered vectors of 64 numbers: at least 0.9.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, neither do rows without an id, or of another length than most vectors have (of equally
@@ -36,7 +37,7 @@ ROUNDS = 5
 JOINED = 24
 BEAM = 160
 EXPANDED = 8
-STARTS = 48
+STARTS = 512
 QUERIES = 1024
 SALTS = 64
 
@@ -193,10 +194,29 @@ def graph(every: DataFrame, *, degree: int = DEGREE, rounds: int = ROUNDS, joine
     return near
 
 
-def _greedy(x: np.ndarray, arcs: np.ndarray, queries: np.ndarray, top: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+def _starts(arcs: np.ndarray) -> np.ndarray:
+    """Nodes spread over the shard, and more until all nodes can be reached."""
+    n = len(arcs)
+    starts = np.unique(np.linspace(0, n - 1, min(STARTS, n)).astype(np.int64))
+    reached = np.zeros(n, bool)
+    more, new = [], starts
+    while True:
+        while len(new):
+            reached[new] = True
+            new = np.unique(arcs[new])
+            new = new[new >= 0]
+            new = new[~reached[new]]
+        if reached.all():
+            return np.concatenate([starts, np.array(more, np.int64)])
+        new = np.flatnonzero(~reached)[:1]
+        more.append(int(new[0]))
+
+
+def _greedy(
+    x: np.ndarray, arcs: np.ndarray, starts: np.ndarray, queries: np.ndarray, top: int, beam: int
+) -> tuple[np.ndarray, np.ndarray]:
     """For each query the best nodes found and their scores, best first; -1 where there are fewer."""
     n, q = len(x), len(queries)
-    starts = np.unique(np.linspace(0, n - 1, min(STARTS, n)).astype(np.int64))
     rows = np.arange(q)[:, None]
     seen = np.zeros((q, n), bool)
     seen[:, starts] = True
@@ -263,13 +283,14 @@ def search(every: DataFrame, near: DataFrame, queries: DataFrame, *, top: int, b
         some = rank < out.shape[1]
         back[other[some], rank[some]] = node[some]
         arcs = np.concatenate([out, back], 1)
+        starts = _starts(arcs)
         flat = right.column("q").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         q = flat.reshape(right.num_rows, -1).astype(np.float64)
         ids = right.column("query_id").to_numpy()
         h1, h2 = (left.column(c).to_numpy()[order] for c in ("h1", "h2"))
         tables = []
         for i in range(0, len(q), 64):
-            best, scores = _greedy(exact.astype(np.float32), arcs, q[i : i + 64].astype(np.float32), top, beam)
+            best, scores = _greedy(exact.astype(np.float32), arcs, starts, q[i : i + 64].astype(np.float32), top, beam)
             row, col = np.nonzero(np.isfinite(scores))
             found = best[row, col]
             tables.append(

@@ -46,6 +46,31 @@ def test_recall(spark, scaled):
         assert [s for _, s in rows] == pytest.approx([x[i] @ x[q] for i, _ in rows], abs=1e-12)
 
 
+def recall(spark, vectors, every):
+    """At production parameters."""
+    frame = table(spark, vectors)
+    got = found(neighbours.nearest(frame, frame.where(f"vec_id % {every} = 0")))
+    hits = [len({i for i, _ in rows} & set(brute(vectors, range(len(vectors)), q, 20))) for q, rows in got.items()]
+    assert len(got) == -(-len(vectors) // every)
+    return np.mean(hits) / 20
+
+
+@pytest.mark.parametrize("clusters", [50, 200])
+def test_recall_of_clusters(spark, clusters):
+    """Far clusters, whose nearest are all their own."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(clusters, 64))
+    vectors = centres[rng.integers(0, clusters, 8192)] + 0.05 * rng.normal(size=(8192, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    assert recall(spark, vectors, 40) >= 0.9
+
+
+def test_recall_of_embeddings(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    vectors = np.array([r.embedding for r in rows])
+    assert recall(spark, vectors, 20) >= 0.9
+
+
 def test_copies_ties_and_own_row(spark):
     vectors = [[1, 0], [1, 0], [1, 0], [0, 1], [0.5, 0.5]]
     got = found(neighbours.nearest(table(spark, vectors, [5, 3, 9, 1, 2]), top=3))
