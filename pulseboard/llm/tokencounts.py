@@ -3,7 +3,7 @@
 A flat file is nothing but token ids, two or four little-endian bytes each, with an end-of-document
 id after every document; no index says where documents begin. ``write_flat`` makes such files
 from texts. ``counts`` finds the documents again: files are cut into blocks without regard to
-documents, each block is searched for the separator as one vector, and a prefix scan over the
+documents, each task reads only its own blocks' bytes, each block is searched for the separator as one vector, and a prefix scan over the
 blocks' summaries stitches the documents that cross borders, however many blocks they span.
 
 Each block gives one row: its tokens, its separators, the tokens before the first and after the last
@@ -13,8 +13,7 @@ blocks left open.
 
 Defined results: a separator directly after another (or at the start) ends an empty document of
 length 0; tokens after the last separator are one more document, not terminated; an empty file has
-no documents; a file whose size is not a whole number of tokens, or that is larger than
-``most_bytes``, is an error (``write_flat`` begins a new file after ROWS_A_FILE documents). Null
+no documents; a file whose size is not a whole number of tokens is an error; files can have any size. Null
 texts are empty documents; repeated rows are repeated documents; further columns are left out.
 """
 
@@ -28,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulseboard.llm import pieces
-from pulseboard.sources.scratch import written
+from pulseboard.sources.scratch import opened, written
 
 BLOCK_TOKENS = 1 << 18
 ROWS_A_FILE = 4096
-MOST_BYTES = 512 << 20
+# Bytes that a task reads, about.
+TASK_BYTES = 32 << 20
 
 
 def write_flat(docs: DataFrame, path: str, model_path: str, *, text: str = "text") -> tuple[int, int]:
@@ -60,29 +60,29 @@ def write_flat(docs: DataFrame, path: str, model_path: str, *, text: str = "text
     return width, end
 
 
-def blocks(spark: SparkSession, path: str, width: int, block: int, most_bytes: int = MOST_BYTES) -> DataFrame:
-    """(file, block, content): all files in a folder, cut into blocks of so many tokens."""
-    files = spark.read.format("binaryFile").load(path)
-    size = F.col("length")
-    bad = (size % width != 0) | (size > most_bytes)
-    checked = F.when(
-        bad, F.raise_error(F.concat(F.lit("no flat token file of a size that can be read: "), "path"))
-    ).otherwise(F.ceil(size / (width * block)).cast("int"))
-    numbered = files.where("length > 0").withColumn("n", checked)
+def blocks(spark: SparkSession, path: str, width: int, block: int) -> DataFrame:
+    """(file, block): all files in a folder, cut into blocks of so many tokens; nothing is read yet."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    bad = F.raise_error(F.concat(F.lit("no flat token file of a size that can be read: "), "path"))
+    checked = F.when(F.col("length") % width != 0, bad).otherwise(F.ceil(F.col("length") / (width * block)).cast("int"))
+    numbered = files.where("length > 0").select(F.col("path").alias("file"), checked.alias("n"))
+    total = numbered.agg(F.sum("n")).first()[0] or 0
+    some = max(1, TASK_BYTES // (width * block))
+    tasks = max(1, min(total, max(spark.sparkContext.defaultParallelism, -(-total // some))))
     at = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block")
-    return numbered.select(F.col("path").alias("file"), at, "content").select(
-        "file", "block", F.substring("content", F.col("block") * (width * block) + 1, F.lit(width * block)).alias("content")
-    )
+    return numbered.select("file", at).repartition(tasks, "file", F.floor(F.col("block") / some), F.col("block") % 8)
 
 
-def summaries(rows: DataFrame, width: int, separator: int) -> DataFrame:
+def summaries(rows: DataFrame, width: int, separator: int, block: int) -> DataFrame:
     """(file, block, n, ends, head, tail, inside) of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for content in batch.column(2):
-                tokens = np.frombuffer(content.as_buffer(), f"<u{width}")
+            for path, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with opened(path) as file:
+                    file.seek(at * width * block)
+                    tokens = np.frombuffer(file.read(width * block), f"<u{width}")
                 ends = np.flatnonzero(tokens == separator)
                 any_ = len(ends) > 0
                 out[0].append(len(tokens))
@@ -100,15 +100,14 @@ def summaries(rows: DataFrame, width: int, separator: int) -> DataFrame:
     )
 
 
-def counts(
-    spark: SparkSession, path: str, *, width: int, separator: int, block: int = BLOCK_TOKENS, most_bytes: int = MOST_BYTES
-) -> DataFrame:
+def counts(spark: SparkSession, path: str, *, width: int, separator: int, block: int = BLOCK_TOKENS) -> DataFrame:
     """(file, doc, n_tokens, terminated): documents in order, numbered from 0 in each file."""
-    told = written(summaries(blocks(spark, path, width, block, most_bytes), width, separator), "blocks")
+    told = written(summaries(blocks(spark, path, width, block), width, separator, block), "blocks")
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     # Tokens that blocks leave open: what follows the last separator, or a whole block without one.
-    scanned = told.withColumns(
+    # One task scans a file's blocks, without the lengths inside, which are joined again.
+    scanned = told.drop("inside").withColumns(
         {
             "doc": F.coalesce(F.sum("ends").over(before), F.lit(0)),
             "left": F.coalesce(F.sum("tail").over(before), F.lit(0)),
@@ -116,7 +115,7 @@ def counts(
         }
     ).withColumn(
         "since", F.coalesce(F.last(F.when(F.col("ends") > 0, F.col("left")), True).over(before), F.lit(0))
-    )
+    ).join(told.select("file", "block", "inside"), ["file", "block"])
     open_ = F.col("left") - F.col("since")
     first = F.when(F.col("ends") > 0, F.array(open_ + F.col("head"))).otherwise(F.array().cast("array<bigint>"))
     # What the file's last block leaves open is a document, too.

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from pulseboard.llm import queries, tokencounts
 from tests.llm.tables import SF_DIR, docs, documents, odd_texts
@@ -43,6 +44,24 @@ def test_blocks_of_any_size(spark, tmp_path, block, width):
         assert [f[0] for f in sorted(found.get(name, []))] == list(range(len(found.get(name, []))))
 
 
+def test_large_file(spark, tmp_path):
+    """A file with holes of over 512 MB (the disk holds little of it); blocks are read by many tasks."""
+    with open(tmp_path / "a file", "wb") as file:
+        file.write(np.array([7, 2, 2, 9], "<u2").tobytes())
+        file.seek((600 << 20) - 4)
+        file.write(np.array([2, 9], "<u2").tobytes())
+    found = tokencounts.counts(spark, str(tmp_path), width=2, separator=2).collect()
+    tokens = 300 << 20
+    assert sorted((r.doc, r.n_tokens, r.terminated) for r in found) == [
+        (0, 1, True),
+        (1, 0, True),
+        (2, tokens - 5, True),
+        (3, 1, False),
+    ]
+    told = tokencounts.blocks(spark, str(tmp_path), 2, tokencounts.BLOCK_TOKENS)
+    assert told.count() == 1200 and told.groupBy(F.spark_partition_id()).count().count() > 4
+
+
 def test_texts_as_flat_files(spark, tmp_path):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     texts = odd_texts()
