@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseboard.sources.scratch import written
@@ -15,3 +15,9 @@ def checked(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder; to be broadcast if they are few, else shuffled."""
     rows = written(rows, name)
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing will read again."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
