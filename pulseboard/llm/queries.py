@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseboard.llm import chat, contamination, language, lines, neighbours, pieces, quality, setjoin, spans, tokencounts
+from pulseboard.llm import (
+    chat,
+    codes,
+    contamination,
+    divergence,
+    language,
+    lines,
+    neighbours,
+    pieces,
+    quality,
+    scoring,
+    setjoin,
+    spans,
+    tokencounts,
+)
 from pulseboard.sources.scratch import new_folder
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -170,6 +184,40 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(_table(spark, sf_dir, "embeddings"))
+    return codes.label_errors(coded.rows).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(coded.digest).alias("codebooks_sha256"),
+    )
+
+
+OP12_SQL = f"""
+    WITH {codes.compress_oracle()},
+    told AS (
+        SELECT place, id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(distance) AS BIGINT) AS error
+        FROM coded GROUP BY ALL)
+    SELECT id AS vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, d)) FROM b{codes.ROUNDS}) AS codebooks_sha256
+    FROM told"""
+
+
+def op13_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _held_out(7, 2)
+    scored = scoring.score(docs.withColumn("held_out", held_out), ~F.col("held_out"))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -182,9 +230,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": op8_neighbours,
         "op9_contamination": op9_contamination,
         "op10_lines": op10_lines,
+        "op11_divergence": op11_divergence,
+        "op12_codes": op12_codes,
+        "op13_scoring": op13_scoring,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": OP6_SQL, "op9_contamination": OP9_SQL, "op10_lines": OP10_SQL}
+    return {
+        "op6_chat": OP6_SQL,
+        "op9_contamination": OP9_SQL,
+        "op10_lines": OP10_SQL,
+        "op11_divergence": divergence.audit_oracle(),
+        "op12_codes": OP12_SQL,
+    }
