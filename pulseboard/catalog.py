@@ -127,24 +127,28 @@ def _dimension_metrics_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(DIMENSION_SCHEMA).parquet(path).select(columns)
 
 
-def _day_files(spark: SparkSession, sf_dir: str, steps: int) -> tuple[str, str]:
-    """Both logs laid out by day and written in ``steps`` parts, in the order of their days."""
+def _day_files(spark: SparkSession, sf_dir: str, steps: int) -> tuple[str, str, int]:
+    """Both logs laid out by day and written in ``steps`` parts, in the order of their days, from
+    the first day of either to the last; and the days of a part."""
     folder = new_folder(spark, "logs")
     logs = dict(zip(("feed", "messages"), _logs(spark, sf_dir), strict=True))
-    size = -(-MONTH // steps)
+    ends = [F.min("time").alias("first"), F.max("time").alias("last")]
+    feed, messages = (log.agg(*ends) for log in logs.values())
+    first, last = feed.union(messages).agg(F.to_date(F.min("first")), F.to_date(F.max("last"))).first()
+    size = -(-((last - first).days + 1) // steps) if first else 1
     for step in range(steps):
-        first = date.fromisoformat(AS_OF) - timedelta(days=MONTH - step * size)
-        span = last_days(first + timedelta(days=size), size)
+        begin = (first or date.fromisoformat(AS_OF)) + timedelta(days=step * size)
+        span = last_days(begin + timedelta(days=size), size)
         for name, log in logs.items():
             write_log(rows_in(log, span), f"{folder}/{name}")
-    return f"{folder}/feed", f"{folder}/messages"
+    return f"{folder}/feed", f"{folder}/messages", size
 
 
 def _stored(plan: Callable, *args) -> Callable[[SparkSession, str], DataFrame]:
     """A query over logs that were written and read again, laid out by day."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feed, messages = _day_files(spark, sf_dir, 1)
+        feed, messages, _ = _day_files(spark, sf_dir, 1)
         return plan(read_log(spark, feed, FEED_SCHEMA), read_log(spark, messages, MESSAGE_SCHEMA), *args)
 
     return run
@@ -159,8 +163,7 @@ def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics from day files, some days at a time, so that state is carried from step to step."""
-    feed, messages = _day_files(spark, sf_dir, STREAM_STEPS)
-    days = MONTH // STREAM_STEPS
+    feed, messages, days = _day_files(spark, sf_dir, STREAM_STEPS)
     return quarter_hour_stream(
         stream_log(spark, feed, FEED_SCHEMA, days), stream_log(spark, messages, MESSAGE_SCHEMA, days)
     )
@@ -213,6 +216,9 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "new_users_incremental": _new_users_incremental,
         "feed_user_daily": _feed(activity.feed_user_daily, AS_OF),
         "message_user_daily": _both(activity.message_user_daily, AS_OF),
+        "message_user_ever": _both(
+            activity.message_user_daily, BACKFILL_AS_OF, attributes="ever"
+        ),
         "message_user_latest": _both(activity.message_user_daily, AS_OF, attributes="latest"),
         "message_user_incremental": _incremental(
             activity.message_user_daily, user_attributes, merge_attributes

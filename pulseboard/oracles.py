@@ -102,11 +102,15 @@ FROM (SELECT CAST(range AS DATE) AS date FROM range({start}, DATE '{as_of}', INT
 GROUP BY date HAVING feed_new_users + msg_new_users > 0"""
 
 
-def _activity(days: int = 1, latest: bool = False, as_of: str = _DAYS, unknown: bool = False) -> str:
+def _activity(
+    days: int = 1, latest: bool = False, as_of: str = _DAYS, unknown: bool = False, ever: bool = False
+) -> str:
     """CTEs feed_users, message_users and user_activity for the days before ``as_of``.
 
-    Attributes are those of actions up to the day in question, looked up day by day.
+    Attributes are those of actions up to the day in question, looked up day by day, or with ``ever``
+    those of all actions.
     """
+    known = "true" if ever else "acted.date <= event_date"
     age = "age" if unknown else "coalesce(age, 0)"
     gender = "gender" if unknown else "coalesce(gender, 0)"
     rank = "1"
@@ -132,7 +136,7 @@ messaged AS (
 known AS (
   SELECT event_date, user_id, gender, age, os, max(acted.time) AS time
   FROM (SELECT DISTINCT event_date, user_id FROM messaged) m JOIN acted USING (user_id)
-  WHERE acted.date <= event_date GROUP BY ALL),
+  WHERE {known} GROUP BY ALL),
 ranked AS (SELECT *, {rank} AS rank FROM known),
 message_user AS (
   SELECT event_date, user_id, {gender} AS gender, {age} AS age,
@@ -373,6 +377,9 @@ def oracles() -> dict[str, str]:
         "new_users_incremental": _sql("", _new_users(_NEW)),
         "feed_user_daily": _sql(_activity(), "SELECT * FROM feed_user"),
         "message_user_daily": _sql(_activity(), "SELECT * FROM message_user"),
+        "message_user_ever": _sql(
+            _activity(as_of=_BACKFILL, ever=True), "SELECT * FROM message_user"
+        ),
         "message_user_latest": _sql(_activity(latest=True), "SELECT * FROM message_user"),
         "message_user_incremental": _sql(_activity(), "SELECT * FROM message_user"),
         "message_user_latest_incremental": _sql(

@@ -53,15 +53,19 @@ def feed_user_daily(feed: DataFrame, as_of: Moment, days: int = 1) -> DataFrame:
 
 def _known(feed: DataFrame, messages: DataFrame, as_of: Moment, attributes: str | DataFrame) -> DataFrame:
     """Attribute tuples of users, with the days ``since`` and ``until`` (NULL: open) for which
-    they count: from the day on which a user first acted with one, for "latest" until another."""
+    they count: from the day on which a user first acted with one, for "latest" until another, for
+    "ever" always."""
     if isinstance(attributes, DataFrame):
         table = attributes
     else:
-        if attributes not in ("all", "latest"):
-            raise ValueError(f"attributes must be 'all', 'latest' or a frame, not {attributes!r}")
-        # A backfill knows what was known then: no rows from ``as_of`` on.
-        logs = [rows_in(log, history(as_of)) for log in (feed, messages)]
-        table = user_attributes(*logs) if attributes == "all" else attribute_days(*logs)
+        if attributes not in ("all", "latest", "ever"):
+            raise ValueError(f"attributes must be 'all', 'latest', 'ever' or a frame, not {attributes!r}")
+        # A backfill knows what was known then: no rows from ``as_of`` on, but for "ever".
+        logs = [log if attributes == "ever" else rows_in(log, history(as_of)) for log in (feed, messages)]
+        table = attribute_days(*logs) if attributes == "latest" else user_attributes(*logs)
+        if attributes == "ever":
+            open_end = F.lit(None).cast("date")
+            return table.select("user_id", *ATTRIBUTES, open_end.alias("since"), open_end.alias("until"))
     if "first_time" in table.columns:
         return table.select(
             "user_id", *ATTRIBUTES, F.to_date("first_time").alias("since"), F.lit(None).cast("date").alias("until")
@@ -81,7 +85,7 @@ def message_user_daily(
 
     Attributes come from all history of both logs up to each day. A user who had acted with several
     attribute tuples gets a row for each (``attributes="all"``) or only for the last one of then
-    (``"latest"``). A kept table can be given instead, which spares the scan of all history:
+    (``"latest"``); ``"ever"`` takes the tuples of all given rows, later ones too. A kept table can be given instead, which spares the scan of all history:
     one of :func:`user_attributes` stands for "all", one of :func:`attribute_days` for "latest".
     """
     span = last_days(as_of, days)
@@ -93,7 +97,7 @@ def message_user_daily(
     else:
         totals = message_sides(sent.withColumn("event_date", day_of(sent)), by=["event_date"])
     known = _known(feed, messages, as_of, attributes).withColumnRenamed("user_id", "_user")
-    in_time = (F.col("since") <= F.col("event_date")) & (
+    in_time = (F.col("since").isNull() | (F.col("since") <= F.col("event_date"))) & (
         F.col("until").isNull() | (F.col("event_date") < F.col("until"))
     )
     joined = totals.join(known, (F.col("user_id") == F.col("_user")) & in_time, "left")

@@ -199,3 +199,20 @@ def test_state_of_a_backfill_is_that_of_a_few_days(spark, tmp_path):
     state, emitted = progress(spark, root, "slower")
     assert emitted > 1000
     assert max(state) < 0.15 * events.count()
+
+
+def test_stream_queries_read_days_beyond_january(spark, tmp_path):
+    """The whole log is taken in, whatever its days."""
+    from pulseboard import catalog
+
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").where("day(ts) >= 20")
+    moved = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 25 DAYS"))
+    moved.write.parquet(f"{tmp_path}/events.parquet")
+    found = catalog.catalog()["quarter_hour_stream"](spark, str(tmp_path))
+    whole = catalog.catalog()["quarter_hour_history"](spark, str(tmp_path)).drop("ctr")
+    newest = whole.agg(F.max("quart_hour")).first()[0]
+    assert str(newest) > "2024-02-20"
+    closed = whole.where(F.col("quart_hour") < F.lit(newest) - F.expr("INTERVAL 2 HOURS"))
+    assert closed.count() > 100
+    assert closed.exceptAll(found).count() == 0
+    assert found.exceptAll(whole).count() == 0
