@@ -7,6 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulseboard.functions import history, last_days, rows_in, yesterday
 from pulseboard.operators import (
@@ -17,6 +18,8 @@ from pulseboard.operators import (
     merge_first_seen,
     user_attributes,
 )
+from pulseboard.operators.bitmaps import audience_bitmaps, read_bitmaps, write_bitmaps
+from pulseboard.operators.sketches import audience_sketches
 from pulseboard.plans import activity, alerts, audience, reports
 from pulseboard.sources import events as source
 from pulseboard.sources.logs import (
@@ -27,13 +30,21 @@ from pulseboard.sources.logs import (
     stream_log,
     write_log,
 )
+from pulseboard.sources.published import publish_dimension_metrics, read_dimension_metrics
 from pulseboard.sources.scratch import new_folder, written
 from pulseboard.sources.tables import (
     DIMENSION_SCHEMA,
     create_dimension_table,
     write_dimension_metrics,
 )
-from pulseboard.streaming import alert_stream, quarter_hour_stream, start
+from pulseboard.streaming import (
+    BucketStore,
+    alert_stream,
+    quarter_hour_join_stream,
+    quarter_hour_stream,
+    start,
+    start_corrected,
+)
 
 AS_OF = "2024-01-31"
 # Everybody in the events table is first seen in its first week.
@@ -127,6 +138,44 @@ def _dimension_metrics_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(DIMENSION_SCHEMA).parquet(path).select(columns)
 
 
+def _dimension_metrics_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month published at once, over a first half that had other rows and a repeated run."""
+    root = new_folder(spark, "published")
+    logs = _logs(spark, sf_dir)
+    days = [date.fromisoformat(AS_OF) - timedelta(days=n) for n in range(1, MONTH + 1)]
+    older = activity.dimension_metrics(*logs, BACKFILL_AS_OF, MONTH // 2, dimensions=["os"])
+    publish_dimension_metrics(older, root)
+    metrics = activity.dimension_metrics(*logs, AS_OF, MONTH)
+    for _ in range(2):
+        publish_dimension_metrics(metrics, root, days)
+    return read_dimension_metrics(spark, root).select(metrics.columns)
+
+
+def _from_bitmaps(plan: Callable, *args, by: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
+    """A query over kept bitmaps of active users, written and read again."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = new_folder(spark, "bitmaps")
+        write_bitmaps(audience_bitmaps(*_logs(spark, sf_dir), by=by), path)
+        return plan(read_bitmaps(spark, path, [T.StructField(c, T.StringType()) for c in by]), *args)
+
+    return run
+
+
+def _audience_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact counts, and whether the estimates are within their bounds of them."""
+    logs = _logs(spark, sf_dir)
+    told = audience.audience_estimates(written(audience_sketches(*logs), "sketches"), AS_OF, MONTH)
+    exact = audience.audience_exact(*logs, AS_OF, MONTH)
+    joined = told.alias("t").join(exact.alias("e"), "date")
+    kinds = ("feed", "message", "both")
+    within = [
+        (F.abs(F.col(f"t.{k}_users") - F.col(f"e.{k}_users")) <= F.col(f"{k}_error")).alias(f"{k}_within")
+        for k in kinds
+    ]
+    return joined.select("date", *[f"e.{k}_users" for k in kinds], *within)
+
+
 def _day_files(spark: SparkSession, sf_dir: str, steps: int) -> tuple[str, str, int]:
     """Both logs laid out by day and written in ``steps`` parts, in the order of their days, from
     the first day of either to the last; and the days of a part."""
@@ -169,6 +218,41 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, one per log, joined by bucket."""
+    feed, messages, days = _day_files(spark, sf_dir, STREAM_STEPS)
+    joined = quarter_hour_join_stream(
+        stream_log(spark, feed, FEED_SCHEMA, days), stream_log(spark, messages, MESSAGE_SCHEMA, days)
+    )
+    return _run_stream(spark, joined, "joined")
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, steps: int) -> tuple[str, str]:
+    """Both logs in the order in which rows arrive, up to two days after their time."""
+    folder = new_folder(spark, "arrivals")
+    for name, log in zip(("feed", "messages"), _logs(spark, sf_dir), strict=True):
+        delay = F.expr("CAST(pmod(xxhash64(user_id, time), 3) AS INT)")
+        log = written(log.withColumn("arrival", F.date_add(F.to_date("time"), delay)), "arrivals")
+        first, last = log.agg(F.min("arrival"), F.max("arrival")).first()
+        size = -(-((last - first).days + 1) // steps) if first else 1
+        for step in range(steps):
+            begin = F.date_add(F.lit(first).cast("date"), step * size)
+            part = log.where((F.col("arrival") >= begin) & (F.col("arrival") < F.date_add(begin, size)))
+            part.drop("arrival").coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+    return f"{folder}/feed", f"{folder}/messages"
+
+
+def _corrected_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows count, although they come up to two days after their time."""
+    feed, messages = _arrivals(spark, sf_dir, STREAM_STEPS)
+    folder = new_folder(spark, "corrected")
+    store = BucketStore(f"{folder}/store", lateness="3 days")
+    logs = stream_log(spark, feed, FEED_SCHEMA, 1), stream_log(spark, messages, MESSAGE_SCHEMA, 1)
+    start_corrected(*logs, store, f"{folder}/checkpoint").awaitTermination()
+    rows = store.metrics(spark, with_ctr=True)
+    return rows.withColumn("quart_hour", F.col("quart_hour").cast("timestamp_ntz"))
+
+
 def _feed(plan: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: plan(
         source.feed_actions(source.events(spark, sf_dir)), *args, **options
@@ -205,6 +289,12 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_daily_sql": _feed_daily_sql,
         "feed_daily_month": _feed(reports.feed_daily, AS_OF, MONTH),
         "audience_daily": _both(audience.audience_daily, AS_OF),
+        "audience_from_bitmaps": _from_bitmaps(audience.active_users, AS_OF),
+        "audience_from_bitmaps_by_os": _from_bitmaps(
+            audience.active_users, AS_OF, (1, 7, 30), ("os",), by=("os",)
+        ),
+        "audience_daily_from_bitmaps": _from_bitmaps(audience.audience_daily_kept, AS_OF, MONTH),
+        "audience_estimates": _audience_estimates,
         "audience_month": _both(audience.audience_daily, AS_OF, MONTH),
         "feed_report": _feed(reports.feed_report, AS_OF),
         "feed_report_null_ctr": _feed(reports.feed_report, AS_OF, zero="null"),
@@ -259,6 +349,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dimension_metrics": _both(activity.dimension_metrics, AS_OF),
         "dimension_metrics_month": _both(activity.dimension_metrics, AS_OF, MONTH),
         "dimension_metrics_sink": _dimension_metrics_sink,
+        "dimension_metrics_published": _dimension_metrics_published,
         "quarter_hour_metrics": _live(lambda metrics: metrics),
         "quarter_hour_history": _both(alerts.quarter_hour_series, with_ctr=True),
         "metric_bands": _live(alerts.metric_bands),
@@ -273,6 +364,8 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarter_hour_stream": lambda spark, sf_dir: _run_stream(
             spark, _stream(spark, sf_dir), "quarter_hours"
         ),
+        "quarter_hour_join_stream": _join_stream,
+        "quarter_hour_corrected_stream": _corrected_stream,
         "alert_stream": lambda spark, sf_dir: _run_stream(
             spark, alert_stream(_stream(spark, sf_dir)), "alerts"
         ),

@@ -60,6 +60,26 @@ FROM (SELECT *, bool_or(NOT in_feed) OVER (PARTITION BY user_id) AS writes
 GROUP BY date HAVING message_users > 0 AND feed_message_users > 0"""
 
 
+def _spans(by: str = "") -> str:
+    """Users of the last 1, 7 and 30 days."""
+    own, same = (f"{by}, ", f" AND f.{by} = m.{by}") if by else ("", "")
+    keys = f"days, {by}" if by else "days"
+    return f"""
+SELECT {keys}, count(DISTINCT user_id) FILTER (in_feed) AS feed_users,
+  count(DISTINCT user_id) FILTER (NOT in_feed) AS message_users,
+  CAST(coalesce((SELECT count(DISTINCT f.user_id) FROM recent f JOIN recent m
+     ON f.in_feed AND NOT m.in_feed AND f.user_id = m.user_id AND f.days = m.days{same}
+     WHERE f.days = o.days{f" AND f.{by} = o.{by}" if by else ""}), 0) AS BIGINT) AS feed_message_users,
+  count(DISTINCT user_id) AS users
+FROM recent o GROUP BY {keys}"""
+
+
+_RECENT = f"""
+recent AS (
+  SELECT DISTINCT days, user_id, in_feed, os FROM acted, (SELECT unnest([1, 7, 30]) AS days)
+  WHERE date >= DATE '{_DAYS}' - days AND date < DATE '{_DAYS}')"""
+
+
 def _feed_report(as_of: str, days: int = 7, null_rate: bool = False) -> str:
     def rate(likes: str, views: str) -> str:
         below = f"nullif({views}, 0)" if null_rate else views
@@ -366,6 +386,19 @@ def oracles() -> dict[str, str]:
         "feed_daily_sql": _sql("", _feed_daily(_DAYS)),
         "feed_daily_month": _sql("", _feed_daily(_DAYS, 30)),
         "audience_daily": _sql("", _audience(_DAYS)),
+        "audience_from_bitmaps": _sql(_RECENT, _spans()),
+        "audience_from_bitmaps_by_os": _sql(_RECENT, _spans("os")),
+        "audience_daily_from_bitmaps": _sql("", _audience(_DAYS, 30)),
+        "audience_estimates": _sql(
+            "",
+            f"""
+SELECT date, count(*) FILTER (feed) AS feed_users, count(*) FILTER (message) AS message_users,
+  count(*) FILTER (feed AND message) AS both_users,
+  true AS feed_within, true AS message_within, true AS both_within
+FROM (SELECT date, user_id, bool_or(in_feed) AS feed, bool_or(NOT in_feed) AS message
+      FROM acted WHERE {_week(_DAYS, 30)} GROUP BY ALL)
+GROUP BY date""",
+        ),
         "audience_month": _sql("", _audience(_DAYS, 30)),
         "feed_report": _sql("", _feed_report(_DAYS)),
         "feed_report_null_ctr": _sql("", _feed_report(_DAYS, null_rate=True)),
@@ -417,6 +450,7 @@ def oracles() -> dict[str, str]:
         "dimension_metrics": _dimensions(),
         "dimension_metrics_month": _dimensions(30),
         "dimension_metrics_sink": _dimensions(),
+        "dimension_metrics_published": _dimensions(30),
         "quarter_hour_metrics": _sql(
             _quarters(_LIVE), "SELECT * EXCLUDE (ctr) FROM quarters"
         ),
@@ -450,6 +484,10 @@ def oracles() -> dict[str, str]:
         "quarter_hour_stream": _sql(
             _quarters(everything), f"SELECT * EXCLUDE (ctr) FROM quarters WHERE {_CLOSED}"
         ),
+        "quarter_hour_join_stream": _sql(
+            _quarters(everything), f"SELECT * EXCLUDE (ctr) FROM quarters WHERE {_CLOSED}"
+        ),
+        "quarter_hour_corrected_stream": _sql(_quarters(everything), "SELECT * FROM quarters"),
         "alert_stream": _sql(
             _bands(everything, ahead=0), f"SELECT {replayed} FROM replay WHERE {_CLOSED}"
         ),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseboard.functions import Moment, history, last_days, rows_in
+from pulseboard.functions import Moment, Span, history, last_days, rows_in
 from pulseboard.operators import both_products, first_seen
+from pulseboard.operators.bands import BUCKET
+from pulseboard.operators.bitmaps import size_of, union_of
+from pulseboard.operators.sketches import LG_SIZE, error_bound, estimate, merged
 
 _WORD = 63  # days kept in one bigint
 
@@ -93,3 +97,115 @@ def new_users_daily(
         .groupBy("date")
         .agg(*[F.sum(c).alias(c) for c in counts])
     )
+
+
+def _kept_days(kept: DataFrame, span: Span) -> DataFrame:
+    return kept.where(f"date BETWEEN DATE '{span.first_day}' AND DATE '{span.last_day}'")
+
+
+def active_users(
+    bitmaps: DataFrame, as_of: Moment, days: Sequence[int] = (1, 7, 30), by: Sequence[str] = ()
+) -> DataFrame:
+    """Users active in the last 1, 7, 30 days (any spans): of the feed, of the messenger, of both, of either.
+
+    From the rows of :func:`pulseboard.operators.bitmaps.audience_bitmaps`; no log is read, and the
+    days of the longest span are read once.
+    """
+    longest = last_days(as_of, max(days))
+    spans = F.array(*[F.lit(n) for n in sorted(set(days))])
+    age = F.datediff(F.lit(longest.last_day), F.col("date"))
+    rows = _kept_days(bitmaps, longest).withColumn("days", F.explode(F.filter(spans, lambda n: n > age)))
+    feed, message = F.col("is_feed"), ~F.col("is_feed")
+    # Bitmaps are made where sums of counts are wanted, one bucket at a time.
+    counts = rows.groupBy("days", *by, "bucket").agg(
+        size_of(union_of(F.col("users"), feed)).alias("feed_users"),
+        size_of(union_of(F.col("users"), message)).alias("message_users"),
+        size_of(union_of(F.col("users"))).alias("users"),
+    )
+    return counts.groupBy("days", *by).agg(
+        F.sum("feed_users").alias("feed_users"),
+        F.sum("message_users").alias("message_users"),
+        F.sum(F.col("feed_users") + F.col("message_users") - F.col("users")).alias("feed_message_users"),
+        F.sum("users").alias("users"),
+    )
+
+
+def audience_daily_kept(bitmaps: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
+    """What :func:`audience_daily` tells, from kept bitmaps instead of the logs.
+
+    Feed users of a day who sent a message on any day are counted as the feed's users plus the span's
+    senders less their union, bucket by bucket.
+    """
+    span = last_days(as_of, days)
+    rows = _kept_days(bitmaps, span)
+    senders = rows.where("NOT is_feed").groupBy("bucket").agg(union_of(F.col("users")).alias("users"))
+    each_day = F.explode(F.sequence(F.lit(span.first_day), F.lit(span.last_day))).alias("date")
+    stacked = rows.select("date", "bucket", F.when(F.col("is_feed"), "feed").otherwise("message").alias("kind"), "users").unionByName(
+        senders.select(each_day, "bucket", F.lit("sender").alias("kind"), "users")
+    )
+    users, kind = F.col("users"), F.col("kind")
+    counts = stacked.groupBy("date", "bucket").agg(
+        size_of(union_of(users, kind == "feed")).alias("feed_users"),
+        size_of(union_of(users, kind == "message")).alias("message_users"),
+        size_of(union_of(users, kind == "sender")).alias("senders"),
+        size_of(union_of(users, kind != "message")).alias("either"),
+    )
+    return (
+        counts.groupBy("date")
+        .agg(
+            F.sum("feed_users").alias("feed_users"),
+            F.sum("message_users").alias("message_users"),
+            F.sum(F.col("feed_users") + F.col("senders") - F.col("either")).alias("feed_message_users"),
+        )
+        .where("feed_message_users > 0 AND message_users > 0")
+    )
+
+
+def audience_exact(feed: DataFrame, messages: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
+    """Per day the users of the feed, of the messenger, and those who used both on that day."""
+    span = last_days(as_of, days)
+    rows = both_products(rows_in(feed, span), rows_in(messages, span), ["user_id"], day="date")
+    per_user = (
+        rows.where("user_id IS NOT NULL")
+        .groupBy("date", "user_id")
+        .agg(F.max("is_feed").alias("feed"), F.max(~F.col("is_feed")).alias("message"))
+    )
+    return per_user.groupBy("date").agg(
+        F.count_if("feed").alias("feed_users"),
+        F.count_if("message").alias("message_users"),
+        F.count_if(F.col("feed") & F.col("message")).alias("both_users"),
+    )
+
+
+def audience_estimates(sketches: DataFrame, as_of: Moment, days: int = 7, lg_size: int = LG_SIZE) -> DataFrame:
+    """Per day estimates of the feed's users, the messenger's and those who used both on that day, each with
+    the bound of its error; from rows of :func:`pulseboard.operators.sketches.audience_sketches`."""
+    span = last_days(as_of, days)
+    date = F.to_date(BUCKET).alias("date")
+    of_span = f"date BETWEEN DATE '{span.first_day}' AND DATE '{span.last_day}'"
+    users = F.col("users")
+    daily = (
+        sketches.select(date, "is_feed", "users")
+        .where(of_span)
+        .groupBy("date")
+        .agg(
+            merged(F.when(F.col("is_feed"), users), lg_size).alias("feed"),
+            merged(F.when(~F.col("is_feed"), users), lg_size).alias("message"),
+            merged(users, lg_size).alias("either"),
+        )
+    )
+    both = F.theta_intersection("feed", "message")
+    told = daily.select(
+        "date",
+        estimate(F.col("feed")).alias("feed_users"),
+        estimate(F.col("message")).alias("message_users"),
+        estimate(both).alias("both_users"),
+        estimate(F.col("either")).alias("_either"),
+    )
+    return told.select(
+        "date",
+        *[F.col(c).cast("long").alias(c) for c in ("feed_users", "message_users", "both_users")],
+        error_bound(F.col("feed_users"), lg_size).alias("feed_error"),
+        error_bound(F.col("message_users"), lg_size).alias("message_error"),
+        error_bound(F.col("_either"), lg_size).alias("both_error"),
+    )

@@ -1,5 +1,13 @@
 from pulseboard.streaming.alerts import alert_stream
-from pulseboard.streaming.metrics import quarter_hour_stream
+from pulseboard.streaming.late import BucketStore, start_corrected
+from pulseboard.streaming.metrics import quarter_hour_join_stream, quarter_hour_stream
 from pulseboard.streaming.run import start
 
-__all__ = ["alert_stream", "quarter_hour_stream", "start"]
+__all__ = [
+    "BucketStore",
+    "alert_stream",
+    "quarter_hour_join_stream",
+    "quarter_hour_stream",
+    "start",
+    "start_corrected",
+]

@@ -37,3 +37,41 @@ def quarter_hour_stream(
     if with_ctr:
         metrics = metrics.withColumn("ctr", ratio(F.col("likes"), F.col("views")))
     return metrics
+
+
+def quarter_hour_join_stream(
+    feed: DataFrame,
+    messages: DataFrame,
+    lateness: str = "30 minutes",
+    how: str = "inner",
+    minutes: int = 15,
+) -> DataFrame:
+    """The metrics of two logs that are streams of their own, joined by bucket.
+
+    Each log has its own watermark and its own two aggregations; the join then holds a product's closed
+    buckets until the other product's watermark has passed them, one row per bucket. ``how="inner"``
+    drops buckets without rows of both products; ``"full"`` has them with NULLs for the product that lacks.
+    """
+    if how not in ("inner", "full"):
+        raise ValueError(f"how must be 'inner' or 'full', not {how!r}")
+    width = f"{bucket_minutes(minutes)} minutes"
+
+    def buckets(log: DataFrame, per_user: list, per_bucket: list) -> DataFrame:
+        users = log.withWatermark("time", lateness).groupBy(F.window("time", width), "user_id").agg(*per_user)
+        return users.groupBy(F.window(F.window_time("window"), width)).agg(*per_bucket)
+
+    acted = buckets(
+        feed,
+        [F.count_if(F.col("action") == a).alias(f"{a}s") for a in ("like", "view")],
+        [F.count("user_id").alias("feed_users"), F.sum("likes").alias("likes"), F.sum("views").alias("views")],
+    )
+    wrote = buckets(
+        messages,
+        [F.count("*").alias("messages")],
+        [
+            F.count("user_id").alias("msg_users"),
+            F.expr("sum(IF(user_id IS NULL, 0L, messages))").alias("messages"),
+        ],
+    )
+    joined = acted.join(wrote, "window", how)
+    return joined.select(F.col("window.start").alias(BUCKET), *METRICS)

@@ -1,0 +1,162 @@
+"""Streams that late rows correct, and streams joined by bucket."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pulseboard.plans import alerts
+from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log
+from pulseboard.sources import events as source
+from pulseboard.streaming import BucketStore, quarter_hour_join_stream, start, start_corrected
+from tests.logs import feed_log, message_log
+from tests.test_streaming import SF_DIR, add, rows_by_bucket, sentinels, streams
+
+
+def zoned(log):
+    return log.withColumn("time", F.col("time").cast("timestamp"))
+
+
+def batch(spark, feed, messages):
+    logs = zoned(feed_log(spark, feed)), zoned(message_log(spark, messages))
+    return alerts.marks(*logs, ["time", "user_id"])
+
+
+def day(number, time, user=1):
+    """A row of both logs."""
+    at = f"2024-01-{number} {time}"
+    return [(user, at, "view")], [(user, 9, at)]
+
+
+def test_late_rows_count_and_what_is_beyond_is_kept(spark, tmp_path):
+    store = BucketStore(str(tmp_path), lateness="2 days")
+    assert store.metrics(spark).collect() == store.late(spark).collect() == []
+    store.add(batch(spark, *day(10, "10:00")), 0)
+    store.add(batch(spark, *day(12, "10:00")), 1)
+    # feed_users, msg_users, likes, views, messages
+    first = {"10 10:00": (1, 1, 0, 1, 1), "12 10:00": (1, 1, 0, 1, 1)}
+    assert rows_by_bucket(store.metrics(spark)) == first
+    store.add(batch(spark, *day(10, "10:05", user=2)), 2)  # two days late, less five minutes
+    store.add(batch(spark, *day(10, "09:50", user=3)), 3)  # beyond
+    corrected = first | {"10 10:00": (2, 2, 0, 2, 2)}
+    assert rows_by_bucket(store.metrics(spark)) == corrected
+    late = store.late(spark).collect()
+    assert [(r.user_id, r.feed_rows, r.messages, r.batch) for r in late] == [(3, 1, 1, 3)]
+    # Within a batch nothing is late, as its own rows do not count for the lateness.
+    both = [a + b for a, b in zip(day(20, "10:00"), day(12, "09:00", user=4), strict=True)]
+    store.add(batch(spark, *both), 4)
+    assert len(store.late(spark).collect()) == 1
+    assert {"20 10:00", "12 09:00"} < set(rows_by_bucket(store.metrics(spark)))
+
+
+def test_a_batch_taken_in_twice_changes_nothing(spark, tmp_path, monkeypatch):
+    store = BucketStore(str(tmp_path))
+    store.add(batch(spark, *day(10, "10:00")), 0)
+    again = batch(spark, *day(10, "10:01", user=2))
+    commit = BucketStore._commit
+
+    def fail(self, spark, number, newest):
+        raise OSError("lost")
+
+    before = rows_by_bucket(store.metrics(spark))
+    monkeypatch.setattr(BucketStore, "_commit", fail)
+    with pytest.raises(OSError):
+        store.add(again, 1)
+    assert rows_by_bucket(store.metrics(spark)) == before  # not committed, not seen
+    monkeypatch.setattr(BucketStore, "_commit", commit)
+    store.add(again, 1)
+    after = rows_by_bucket(store.metrics(spark))
+    assert after == {"10 10:00": (2, 2, 0, 2, 2)}
+    store.add(again, 1)
+    store.add(batch(spark, *day(10, "10:00")), 0)
+    assert rows_by_bucket(store.metrics(spark)) == after
+
+
+def test_one_product_waits_for_the_other(spark, tmp_path):
+    store = BucketStore(str(tmp_path))
+    store.add(batch(spark, day(10, "10:00")[0], []), 0)
+    assert store.metrics(spark).collect() == []
+    store.add(batch(spark, [(None, "2024-01-10 10:01", "like")], day(10, "10:14", 7)[1]), 1)
+    found = store.metrics(spark, with_ctr=True)
+    assert rows_by_bucket(found) == {"10 10:00": (1, 1, 1, 1, 1, 1.0)}
+    store.add(batch(spark, [], []), 2)
+    assert rows_by_bucket(store.metrics(spark, with_ctr=True)) == rows_by_bucket(found)
+
+
+def test_a_store_belongs_to_one_query(spark, tmp_path):
+    BucketStore(str(tmp_path), query="one").add(batch(spark, *day(10, "10:00")), 0)
+    with pytest.raises(ValueError, match="another query"):
+        BucketStore(str(tmp_path), query="two").add(batch(spark, *day(10, "10:00")), 1)
+
+
+def test_only_the_touched_days_are_read(spark, tmp_path, monkeypatch):
+    from pulseboard.streaming import late
+
+    store = BucketStore(str(tmp_path), lateness="30 days")
+    store.add(batch(spark, *day(10, "10:00")), 0)
+    store.add(batch(spark, *day(20, "10:00")), 1)
+    asked = []
+    read = late._read
+    monkeypatch.setattr(late, "_read", lambda *a: asked.append(a[3]) or read(*a))
+    store.add(batch(spark, *day(10, "11:00")), 2)
+    assert [[str(d) for d in days] for days in asked] == [["2024-01-10"]]
+
+
+def test_restarted_streams_equal_one_batch(spark, tmp_path):
+    """The log arrives in thirds, each with rows of two days before; a query per third."""
+    root = str(tmp_path)
+    events = source.events(spark, SF_DIR)
+    logs = source.feed_actions(events), source.message_actions(events)
+    delay = F.expr("CAST(pmod(xxhash64(user_id, time), 3) AS INT)")
+    arrival = F.dayofmonth("time") + delay
+    store = BucketStore(f"{root}/store", lateness="3 days")
+    for part in range(3):
+        add(root, *[log.where((arrival > part * 11) & (arrival <= part * 11 + 11)) for log in logs])
+        start_corrected(*streams(spark, root), store, f"{root}/checkpoint").awaitTermination()
+    found = store.metrics(spark).withColumn("quart_hour", F.col("quart_hour").cast("timestamp_ntz"))
+    expected = alerts.quarter_hour_series(*logs)
+    assert expected.count() > 1000
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+    assert store.late(spark).count() == 0
+
+
+def join_run(spark, root, name, how="inner"):
+    logs = (stream_log(spark, f"{root}/{log}", schema) for log, schema in (("feed", FEED_SCHEMA), ("messages", MESSAGE_SCHEMA)))
+    joined = quarter_hour_join_stream(*logs, how=how)
+    query = start(joined, f"{root}/{name}", f"{root}/{name}-checkpoint")
+    query.awaitTermination()
+    rows = spark.read.schema(joined.schema).parquet(f"{root}/{name}")
+    return query, rows.withColumn("quart_hour", F.col("quart_hour").cast("timestamp_ntz"))
+
+
+def test_joined_streams_hold_only_open_buckets(spark, tmp_path):
+    root = str(tmp_path)
+    events = source.events(spark, SF_DIR)
+    logs = source.feed_actions(events), source.message_actions(events)
+    middle = F.col("time") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part in ([x.where(middle) for x in logs], [x.where(~middle) for x in logs], sentinels(spark)):
+        add(root, *part)
+        query, found = join_run(spark, root, "joined")
+    expected = alerts.quarter_hour_series(*logs)
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+    # Users and buckets of the sentinels alone are still held by the aggregations, and by the
+    # join what one product closed last.
+    held = [op["numRowsTotal"] for op in query.lastProgress["stateOperators"]]
+    assert len(held) == 5 and sum(held) <= 10
+
+
+def test_joined_streams_with_one_product_missing(spark, tmp_path):
+    root = str(tmp_path)
+    add(
+        root,
+        feed_log(spark, [(1, "2024-01-30 10:00", "like"), (1, "2024-01-30 11:00", "view")]),
+        message_log(spark, [(1, 2, "2024-01-30 11:05"), (None, 2, "2024-01-30 12:00")]),
+    )
+    add(root, *sentinels(spark))
+    assert rows_by_bucket(join_run(spark, root, "inner")[1]) == {"30 11:00": (1, 1, 0, 1, 1)}
+    full = {
+        "30 11:00": (1, 1, 0, 1, 1),
+        "30 10:00": (1, None, 1, 0, None),
+        "30 12:00": (None, 0, None, None, 0),
+    }
+    assert rows_by_bucket(join_run(spark, root, "full", how="full")[1].where("quart_hour < '2024-01-31'")) == full
+    with pytest.raises(ValueError):
+        quarter_hour_join_stream(*streams(spark, root), how="left")
