@@ -42,7 +42,9 @@ CLASSES = 256
 COMMON = 1 << 18
 ROUNDS = 4
 # Different tokens that a task holds before it hands their counts on.
-HELD = 500_000
+HELD = 250_000
+# Bytes of units that a task scores at once.
+SLICE = 1 << 19
 # Parameters of one row, when they are averaged; and rows that are averaged at once in a first step.
 BLOCK = 1 << 14
 GROUPS = 64
@@ -176,31 +178,33 @@ def _coded(docs: DataFrame, shared: Broadcast, words: int, text: str) -> DataFra
         classes = np.log10(vocabulary.classes.astype(float))
         units = np.append(vocabulary.units, 0)
         for batch in batches:
-            out: list[list] = [[] for _ in new.fields]
-            for one in _texts(batch.column(batch.num_columns - 1)):
-                found = tokens(one)
-                at = np.fromiter((get(t, -1) for t in found), np.int64, len(found))
-                own, log = units[at], logs[at]
-                lacking = np.flatnonzero(at < 0)
-                rest = Counter()
-                if len(lacking):
-                    others = [found[i] for i in lacking.tolist()]
-                    own[lacking] = [words + _class_of(t) for t in others]
-                    rest = Counter(others)
-                classed = own >= words
-                spread = log[classed].sum() - classes[own[classed] - words].sum()
-                values = (
-                    len(found), len(found) - len(lacking), log.sum(), spread, own.astype("<u2").tobytes(), list(rest), list(rest.values())
-                )
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1],
-                    *(pa.array(column, kind) for column, kind in zip(out, KINDS, strict=True)),
-                ],
-                names=schema.names,
-            )
+            for piece in pieces(batch.column(batch.num_columns - 1)):
+                out: list[list] = [[] for _ in new.fields]
+                for begin, end in zip(piece.offsets[:-1], piece.offsets[1:], strict=True):
+                    found = tokens(piece.data[begin:end].tobytes())
+                    at = np.fromiter((get(t, -1) for t in found), np.int64, len(found))
+                    own, log = units[at], logs[at]
+                    lacking = np.flatnonzero(at < 0)
+                    rest = Counter()
+                    if len(lacking):
+                        others = [found[i] for i in lacking.tolist()]
+                        own[lacking] = [words + _class_of(t) for t in others]
+                        rest = Counter(others)
+                    classed = own >= words
+                    values = (
+                        len(found),
+                        len(found) - len(lacking),
+                        log.sum(),
+                        log[classed].sum() - classes[own[classed] - words].sum(),
+                        own.astype("<u2").tobytes(),
+                        list(rest),
+                        list(rest.values()),
+                    )
+                    for column, value in zip(out, values, strict=True):
+                        column.append(value)
+                columns = [pa.array(column, kind) for column, kind in zip(out, KINDS, strict=True)]
+                kept_columns = batch.slice(piece.first, len(piece)).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*kept_columns, *columns], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -208,6 +212,19 @@ def _coded(docs: DataFrame, shared: Broadcast, words: int, text: str) -> DataFra
 KINDS = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of some SLICE bytes of units, its last column; a longer row alone."""
+    sizes = [len(r.as_py()) for r in batch.column(batch.num_columns - 1)]
+    first, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > SLICE:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += size
+    if sizes:
+        yield batch.slice(first)
+
+
 def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The units of all rows, and where each row begins."""
     rows = column.to_pylist()
@@ -221,7 +238,8 @@ def _frequency(coded: DataFrame, units: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(units, np.int64)
         for batch in batches:
-            out += np.bincount(_joined(batch.column(0))[0], minlength=units)
+            for part in _slices(batch):
+                out += np.bincount(_joined(part.column(0))[0], minlength=units)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(units)), pa.array(out)], names=["unit", "n"])
 
     out = np.ones(units)
@@ -365,9 +383,11 @@ def _scored(coded: DataFrame, parameters: bilinear.Parameters) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = bilinear.Scorer(shared.value)
         for batch in batches:
-            units, offsets = _joined(batch.column(batch.num_columns - 1))
-            logs = np.append(scorer.logs(units, offsets), 0.0) / np.log(10)
-            sums = np.add.reduceat(logs, offsets[:-1]) if len(offsets) > 1 else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums)], names=schema.names)
+            for part in _slices(batch):
+                units, offsets = _joined(part.column(part.num_columns - 1))
+                logs = scorer.logs(units, offsets) / np.log(10)
+                # Every row has an end at least.
+                sums = np.add.reduceat(logs, offsets[:-1])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(sums)], names=schema.names)
 
     return coded.select(*kept, "_units").mapInArrow(run, schema)
