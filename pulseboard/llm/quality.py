@@ -14,7 +14,7 @@ model, not of the scoring. ``score`` reads every line of every text and needs no
 Defined results: a null or empty text is one empty line and gets a score like any other; rows are
 scored one by one, so repeated rows and ties get equal scores; an empty table gives an empty
 table; a column that has the name of a new one is replaced. Without any labelled document, or with
-labels of one kind only, ``fit`` raises a ValueError.
+labels of one kind only, there is nothing to learn: every score is 0.5.
 """
 
 from __future__ import annotations
@@ -29,10 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulseboard.llm.texts import Piece, pieces, rows_of, words
+from pulseboard.sources.scratch import written
 
 MAX_DOCS = 6000
 MAX_LINES = 120_000
 RUN = 64
+# Lines of a text that are taken up at once, some runs.
+LONG = 1 << 12
 STEPS = 60
 
 BINS = 10
@@ -213,14 +216,22 @@ def fit(
         for batch in batches:
             for piece in pieces(batch.column(0)):
                 bins, _, offsets = line_bins(piece)
-                rows = [bins[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+                # Texts of very many lines in parts, each of whole runs.
+                cuts = [range(a, b, LONG) for a, b in zip(offsets, offsets[1:])]
+                rows = [bins[i : min(i + LONG, b)].tobytes() for c, b in zip(cuts, offsets[1:]) for i in c]
                 own = batch.column(1).slice(piece.first, len(piece))
+                own = own.take(pa.array(np.repeat(np.arange(len(piece)), [len(c) for c in cuts])))
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), own], names=["bins", "label"])
 
-    rows = texts.mapInArrow(run, "bins binary, label double").collect()
-    rows = sorted(rows, key=lambda r: (bytes(r.bins), r.label))
+    lines = written(texts.mapInArrow(run, "bins binary, label double"), "lines")
+    size = F.octet_length("bins") / FEATURES
+    total = lines.agg(F.sum(size)).first()[0] or 0
+    if total > 2 * max_lines:
+        # Rows are those of whole texts or long ones' runs: by a hash, some twice as many lines as are needed.
+        lines = lines.where(F.pmod(F.xxhash64("bins", "label"), F.lit(1 << 20)) < int((1 << 20) * 2 * max_lines / total))
+    rows = sorted(lines.collect(), key=lambda r: (bytes(r.bins), r.label))
     if len({r.label for r in rows}) < 2:
-        raise ValueError("the labelled documents are not of two kinds")
+        return Model(np.zeros(3 * FEATURES * BINS + 1), np.zeros((2, 2)))
     runs = [
         (b[i : i + RUN], r.label)
         for r in rows

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 
 # Bytes of text that are taken up at once; a longer document is taken up alone.
 PIECE_BYTES = 1 << 22
@@ -135,3 +136,16 @@ def rows_of(offsets: np.ndarray) -> np.ndarray:
 
 def long_array(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.view(np.int64))
+
+
+# Schemes of one store: those of Hadoop's file systems, and what Arrow calls them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def opened(path: str) -> pa.NativeFile:
+    """A file that Spark listed, opened by a task to read any part of it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
+    scheme, _, rest = path.partition("://")
+    store, name = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    return store.open_input_file(name)

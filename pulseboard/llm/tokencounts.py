@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulseboard.llm import pieces
-from pulseboard.sources.scratch import opened, written
+from pulseboard.llm.texts import opened
+from pulseboard.sources.scratch import written
 
 BLOCK_TOKENS = 1 << 18
 ROWS_A_FILE = 4096

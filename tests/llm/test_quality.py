@@ -53,8 +53,8 @@ def test_odd_rows(spark):
     assert len(rows) == table.count()
     assert all(0 <= r.score <= 1 for r in rows)
     assert quality.score(docs(spark, []), model).collect() == []
-    with pytest.raises(ValueError):
-        quality.fit(table, labels.where("quality = 1"))
+    one_kind = quality.fit(table, labels.where("quality = 1"))
+    assert {r.score for r in quality.score(table, one_kind).collect()} == {0.5}
 
 
 def test_sample_is_bounded(spark):
