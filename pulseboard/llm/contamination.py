@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseboard.llm.lines import with_keys
+from pulseboard.llm.tables import checked
 from pulseboard.sources.scratch import written
 
 WINDOW = 10
@@ -101,11 +102,12 @@ def index(docs: DataFrame, terms: DataFrame, *, text: str = "text") -> DataFrame
         vocabulary = F.broadcast(vocabulary)
     words = docs.select("_id", "_row", words_of(F.col(text)).alias("_words"))
     following = F.get("_words", F.col("at") + 1)
-    at = words.select("_id", "_row", "_words", F.posexplode("_words").alias("at", "word"))
+    # Of an outer explode Spark infers no filter on the words, which would make them again.
+    at = words.select("_id", "_row", "_words", F.posexplode_outer("_words").alias("at", "word"))
     pairs = at.where(F.col("at") < F.size("_words") - 1).select("_id", "_row", "at", _pair(F.col("word"), following).alias("term"))
     postings = pairs.join(vocabulary, F.col("term") == F.col("_term")).drop("_term")
     if not terms.where("length = 1").isEmpty():
-        singles = at.select("_id", "_row", "at", _single(F.col("word")).alias("term"))
+        singles = at.where("word IS NOT NULL").select("_id", "_row", "at", _single(F.col("word")).alias("term"))
         postings = postings.union(singles.join(vocabulary, F.col("term") == F.col("_term")).drop("_term"))
     return written(postings.select("term", "_id", "_row", "at"), "postings")
 
@@ -157,10 +159,12 @@ def check(
     item_id: str = "item_id",
     item_text: str = "text",
     size: int = WINDOW,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """The table's columns and: ``n_words``, ``n_hit`` (words inside any occurrence of a window),
+    """The table's columns (the text only with ``keep_text``) and: ``n_words``, ``n_hit`` (words inside any occurrence of a window),
     ``n_items`` and ``items`` (ids as strings, sorted) with occurrences, ``contaminated``."""
     columns = [c for c in docs.columns if c.lower() not in (*NEW, "_id", "_row")]
+    kept = [c for c in columns if keep_text or c != text]
     keyed = with_keys(docs.select(*columns), doc_id, text)
     found = written(windows(items, item_id=item_id, text=item_text, size=size), "windows")
     terms = written(_terms(found), "window-terms")
@@ -179,12 +183,15 @@ def check(
         .groupBy(*doc)
         .agg(F.sort_array(F.collect_list("_item")).alias("items"))
     )
-    result = covered.join(names, doc)
+    # Few documents have hits: as long as their items are few enough to broadcast, no text is moved.
+    result = checked(covered.join(names, doc), "hit-documents", F.size("items") + 1)
+    n_words = F.coalesce(F.regexp_count(text, F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
     n_hit = F.coalesce("n_hit", F.lit(0))
     names = F.coalesce("items", F.array().cast("array<string>"))
-    return keyed.join(result, doc, "left").select(
-        *columns,
-        F.coalesce(F.regexp_count(text, F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long").alias("n_words"),
+    counted = keyed.select(*kept, "_id", "_row", n_words.alias("n_words"))
+    return counted.join(result, doc, "left").select(
+        *kept,
+        "n_words",
         n_hit.cast("long").alias("n_hit"),
         F.size(names).cast("long").alias("n_items"),
         names.alias("items"),

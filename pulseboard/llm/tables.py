@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseboard.sources.scratch import written
@@ -11,10 +11,12 @@ from pulseboard.sources.scratch import written
 BROADCAST_ROWS = 500_000
 
 
-def checked(rows: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder; to be broadcast if they are few, else shuffled."""
+def checked(rows: DataFrame, name: str, size: Column | None = None) -> DataFrame:
+    """The rows, written to the shared folder; to be broadcast if they are few, else shuffled. ``size`` says
+    for how many rows each one counts, where rows are not a few numbers each."""
     rows = written(rows, name)
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    total = rows.count() if size is None else rows.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(rows) if total <= BROADCAST_ROWS else rows
 
 
 def dropped(spark: SparkSession, path: str) -> None:

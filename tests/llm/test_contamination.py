@@ -88,3 +88,30 @@ def test_near(spark):
     ids = lambda n: sorted(r["_id"] for r in contamination.near(postings, left, right, n).collect())
     assert ids(5) == [1, 2]
     assert ids(2) == [2]
+
+
+def test_words_are_cut_once_and_no_text_is_moved(spark):
+    """In the index's plan and in the last join."""
+    table = docs(spark, [(1, "a b c d e f g h i j k l"), (2, None), (3, "x")])
+    items = spark.createDataFrame([("i", "b c d e f g h i j k"), ("j", "x")], "item_id string, text string")
+    terms = contamination._terms(contamination.windows(items))
+    keyed = contamination.with_keys(table)
+    plans = []
+    write = contamination.written
+
+    def seen(frame, name):
+        if name == "postings":
+            plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return write(frame, name)
+
+    contamination.written = seen
+    try:
+        contamination.index(keyed, terms.where("length > 1"))
+    finally:
+        contamination.written = write
+    assert len(plans) == 1 and plans[0].count("regexp_extract_all") == 1
+    found = contamination.check(table, items, keep_text=False)
+    assert "text" not in found.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found.collect()} == {1: (12, 10, ["i"]), 2: (0, 0, []), 3: (1, 1, ["j"])}
