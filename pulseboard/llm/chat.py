@@ -95,37 +95,49 @@ def segments(conversations: DataFrame, template: Template | None = None) -> Data
     ).select("conv_id", "place", "piece.part", "piece.segment", "piece.loss", "valid")
 
 
+def _role(template: Template) -> Column:
+    """The role in the piece before a turn's text."""
+    return unescaped(
+        F.substring("segment", len(template.before[0]) + 1, F.length("segment") - len("".join(template.before)))
+    )
+
+
+def _states(of_turn: Column, role: Column) -> list[Column]:
+    """The first turn that breaks the order, and the state in which the machine ends."""
+    return [
+        F.min(F.when(of_turn & ~F.col("valid"), F.col("place"))).alias("first_bad"),
+        F.max_by(F.when(of_turn, role), F.when(of_turn, F.col("place"))).alias("last"),
+    ]
+
+
+def _accepted(template: Template) -> Column:
+    return F.col("first_bad").isNull() & F.col("last").isin(*template.ends)
+
+
 def status(pieces: DataFrame, template: Template | None = None) -> DataFrame:
     """(conv_id, n_turns, valid, first_bad): whether the machine accepts each conversation."""
     template = template or Template()
-    role = unescaped(
-        F.substring("segment", len(template.before[0]) + 1, F.length("segment") - len("".join(template.before)))
-    )
-    heads = pieces.where("part = 0").withColumn("role", role)
-    return (
-        heads.groupBy("conv_id")
-        .agg(
-            F.count("*").alias("n_turns"),
-            F.min(F.when(~F.col("valid"), F.col("place"))).alias("first_bad"),
-            F.max_by("role", "place").alias("last"),
-        )
-        .select(
-            "conv_id", "n_turns", (F.col("first_bad").isNull() & F.col("last").isin(*template.ends)).alias("valid"), "first_bad"
-        )
-    )
+    heads = pieces.where("part = 0")
+    told = heads.groupBy("conv_id").agg(F.count("*").alias("n_turns"), *_states(F.lit(True), _role(template)))
+    return told.select("conv_id", "n_turns", _accepted(template).alias("valid"), "first_bad")
 
 
-def formatted(pieces: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss_text): each conversation as one text, and its learned pieces,
-    unescaped, with nothing between them."""
+def formatted(pieces: DataFrame, template: Template | None = None) -> DataFrame:
+    """(conv_id, formatted, loss_text, valid, first_bad): each conversation as one text, its learned pieces,
+    unescaped, with nothing between them, and what ``status`` says of it."""
+    template = template or Template()
+    of_turn = F.col("part") == 0
     whole = pieces.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("place", "part", "segment", "loss"))).alias("all")
+        F.sort_array(F.collect_list(F.struct("place", "part", "segment", "loss"))).alias("all"),
+        *_states(of_turn, _role(template)),
     )
     learned = F.transform(F.filter("all", lambda s: s["loss"]), lambda s: unescaped(s["segment"]))
     return whole.select(
         "conv_id",
         F.array_join("all.segment", "").alias("formatted"),
         F.array_join(learned, "").alias("loss_text"),
+        _accepted(template).alias("valid"),
+        "first_bad",
     )
 
 

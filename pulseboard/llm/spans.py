@@ -294,3 +294,24 @@ def _joined(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.
         text = even[a:b][copied[a:b]]
         texts.append(text[: len(text) - cut].tobytes().decode())
     return pa.array(texts, pa.string())
+
+
+def dedup_oracle(size: int = WINDOW) -> str:
+    """DuckDB SQL for n_words, n_removed and the kept text by doc_id, for ids that are unique and not null."""
+    return f"""
+    doc_words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, s, array_to_string(list_slice(w, s, s + {size} - 1), ' ') AS win
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size} + 2)) AS s FROM doc_words)),
+    again AS (
+        SELECT doc_id, s FROM windows JOIN (SELECT win, min(doc_id) AS least FROM windows GROUP BY win) USING (win)
+        WHERE least < doc_id),
+    removed AS (SELECT DISTINCT doc_id, unnest(range(s, s + {size})) AS place FROM again),
+    places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM doc_words),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+        FROM places ANTI JOIN removed USING (doc_id, place) GROUP BY doc_id),
+    deduped AS (
+        SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(k.n, 0) AS n_removed, coalesce(k.text, '') AS text
+        FROM doc_words d LEFT JOIN kept k USING (doc_id))"""

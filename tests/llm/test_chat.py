@@ -1,3 +1,4 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from pulseboard.llm import chat, queries
@@ -69,3 +70,32 @@ def test_query_has_the_tricky_conversation(spark):
     rows = {r.conv_id: r for r in queries.op6_chat(spark, "/root/testdata/sf0.001").collect()}
     assert rows[-7].n_turns == 2
     assert rows[-7].loss_chars == len(queries.TRICKY)
+
+
+def test_query_equals_sql_on_broken_conversations(spark, tmp_path):
+    """What the machine says, in the query and in its SQL."""
+    turns = [
+        (1, ["system", "user", "assistant"]),
+        (2, ["user", "user", "assistant"]),
+        (3, ["assistant", "user"]),
+        (4, ["user", None, "assistant"]),
+        (5, ["user", "assistant", "user"]),
+        (6, ["user", "assistant", "system"]),
+        (7, ["tool"]),
+        (8, [None, "user", "assistant"]),
+    ]
+    rows = [(c, i, role, "a <b> \\ c" if i else None) for c, roles in turns for i, role in enumerate(roles)]
+    rows += [(9, 0, "user", "x"), (9, 0, "user", "x"), (9, None, "assistant", "first")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = queries.op6_chat(spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    expected = duck.sql(queries.oracle_sql()["op6_chat"])
+    assert found.columns == expected.columns
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted(expected.fetchall())
+    told = {r[0]: r[-2:] for r in got}
+    assert told[1] == (True, 0) and told[2] == (False, 2) and told[5] == (False, 0) and told[7] == (False, 1)
+    status = chat.status(chat.segments(table)).collect()
+    assert {r.conv_id: (r.valid, r.first_bad or 0) for r in status} == {k: v for k, v in told.items() if k != -7}
