@@ -22,6 +22,7 @@ from pulseboard.operators.bitmaps import audience_bitmaps, read_bitmaps, write_b
 from pulseboard.operators.sketches import audience_sketches
 from pulseboard.plans import activity, alerts, audience, reports
 from pulseboard.sources import events as source
+from pulseboard.sources.kept import changed_first_seen, merged_first_seen, write_kept
 from pulseboard.sources.logs import (
     FEED_SCHEMA,
     MESSAGE_SCHEMA,
@@ -42,6 +43,7 @@ from pulseboard.streaming import (
     alert_stream,
     quarter_hour_join_stream,
     quarter_hour_stream,
+    silence_stream,
     start,
     start_corrected,
 )
@@ -54,7 +56,11 @@ MONTH = 30
 BACKFILL_AS_OF = "2024-01-16"
 MIDDAY = "2024-01-30 12:07:00"
 ALERT_AS_OF = "2024-01-30 12:34:00"
-STREAM_STEPS = 5
+STREAM_STEPS = 3
+# Quarter hours of a week.
+WEEK = 7 * 96
+SILENT_MINUTES = 45
+KEPT_BUCKETS = 8
 
 Logs = tuple[DataFrame, DataFrame]
 
@@ -102,6 +108,28 @@ def _new_users_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audience.new_users_daily(*since, NEW_USERS_AS_OF, seen=seen)
 
 
+def _new_users_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two times some days join a kept table in buckets, which is neither shuffled nor written again; what they
+    change is a table of its own."""
+    day, later = "2024-01-03", "2024-01-05"
+    before, since = _split(spark, sf_dir, day)
+    parts = ([rows_in(log, history(later)) for log in since], _split(spark, sf_dir, later)[1])
+    folder = new_folder(spark, "kept")
+    names = [f"kept_{folder.rsplit('-', 1)[1]}_{i}" for i in range(3)]
+    try:
+        write_kept(first_seen(*before), names[0], KEPT_BUCKETS, f"{folder}/0")
+        for i, part in enumerate(parts):
+            changed = changed_first_seen(spark.table(names[0]), first_seen(*part))
+            if i:
+                changed = merged_first_seen(spark.table(names[i]), changed)
+            write_kept(changed, names[i + 1], KEPT_BUCKETS, f"{folder}/{i + 1}")
+        seen = written(merged_first_seen(*[spark.table(n) for n in (names[0], names[-1])]), "first_seen")
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay, as their place was given
+    return audience.new_users_daily(*since, NEW_USERS_AS_OF, seen=seen)
+
+
 def _report_incremental(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
     """A report from the logs of its week and the kept table of first-seen days."""
 
@@ -203,11 +231,12 @@ def _stored(plan: Callable, *args) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    folder = new_folder(spark, name)
+def _run_stream(spark: SparkSession, stream: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    folder = folder or new_folder(spark, name)
     start(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
     rows = spark.read.schema(stream.schema).parquet(f"{folder}/rows")
-    return rows.withColumn("quart_hour", F.col("quart_hour").cast("timestamp_ntz"))
+    times = [c for c, kind in rows.dtypes if kind == "timestamp"]
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +256,29 @@ def _join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, joined, "joined")
 
 
+def _silence_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed, messages, days = _day_files(spark, sf_dir, STREAM_STEPS)
+    logs = stream_log(spark, feed, FEED_SCHEMA, days), stream_log(spark, messages, MESSAGE_SCHEMA, days)
+    return _run_stream(spark, silence_stream(*logs, SILENT_MINUTES), "silence")
+
+
+def _replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last two days that the stream has read are written again before it goes on."""
+    folder = new_folder(spark, "replayed")
+    logs = dict(zip(("feed", "messages"), _logs(spark, sf_dir), strict=True))
+    paths = {name: f"{folder}/{name}" for name in logs}
+    last = max(log.agg(F.to_date(F.max("time"))).first()[0] or date.fromisoformat(AS_OF) for log in logs.values())
+    for days in (history(last - timedelta(days=10)), last_days(last + timedelta(days=1), 13)):
+        for name, log in logs.items():
+            write_log(rows_in(log, days), paths[name], ranked=True)
+        streams = (
+            stream_log(spark, paths[name], schema, replayed_within="30 minutes")
+            for name, schema in (("feed", FEED_SCHEMA), ("messages", MESSAGE_SCHEMA))
+        )
+        rows = _run_stream(spark, quarter_hour_stream(*streams, lateness=None), "replayed", folder)
+    return rows
+
+
 def _arrivals(spark: SparkSession, sf_dir: str, steps: int) -> tuple[str, str]:
     """Both logs in the order in which rows arrive, up to two days after their time."""
     folder = new_folder(spark, "arrivals")
@@ -275,10 +327,12 @@ def _live(plan: Callable, as_of: str = AS_OF) -> Callable[[SparkSession, str], D
     )
 
 
-def _replay(by: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
+def _replay(
+    by: tuple[str, ...] = (), plan: Callable = alerts.alert_replay, **options
+) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics = alerts.quarter_hour_series(*_logs(spark, sf_dir), by=by)
-        return alerts.alert_replay(metrics, by=by)
+        return plan(metrics, by=by, **options)
 
     return run
 
@@ -304,6 +358,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "new_users_daily": _both(audience.new_users_daily, NEW_USERS_AS_OF),
         "new_users_month": _both(audience.new_users_daily, AS_OF, MONTH),
         "new_users_incremental": _new_users_incremental,
+        "new_users_bucketed": _new_users_bucketed,
         "feed_user_daily": _feed(activity.feed_user_daily, AS_OF),
         "message_user_daily": _both(activity.message_user_daily, AS_OF),
         "message_user_ever": _both(
@@ -356,6 +411,8 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alert_latest": _live(alerts.alert_latest),
         "alert_replay": _replay(),
         "alert_replay_by_os": _replay(by=("os",)),
+        "alert_replay_week": _replay(sample_size=WEEK),
+        "metric_bands_week": _replay(plan=alerts.metric_bands, sample_size=WEEK),
         "alert_messages": lambda spark, sf_dir: alerts.alert_messages(_replay()(spark, sf_dir)),
         "report_series": _both(reports.report_series, NEW_USERS_AS_OF),
         "app_report_latest": _both(reports.app_report_latest, NEW_USERS_AS_OF),
@@ -366,6 +423,8 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "quarter_hour_join_stream": _join_stream,
         "quarter_hour_corrected_stream": _corrected_stream,
+        "quarter_hour_replayed_stream": _replayed_stream,
+        "silence_stream": _silence_stream,
         "alert_stream": lambda spark, sf_dir: _run_stream(
             spark, alert_stream(_stream(spark, sf_dir)), "alerts"
         ),

@@ -5,9 +5,10 @@ many exist and are finite numbers (a rate need not be). Bounds are then averaged
 over neighbouring rows. NULL, never NaN, stands for a missing bound, because NaN
 compares greater than any number.
 
-Each series is one window partition. It holds one row per bucket, so its size
+Up to SLIDING_FROM rows, each series is one window partition. It holds one row per bucket, so its size
 follows from the calendar (35,040 quarter hours a year), not from the volume of the
-logs; more slices (``by``) add partitions, not rows to a partition.
+logs; more slices (``by``) add partitions, not rows to a partition. Longer frames go to
+:mod:`pulseboard.operators.sliding`, whose cost does not depend on the frame.
 """
 
 from __future__ import annotations
@@ -17,7 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pulseboard.operators.sliding import sliding_bands
+
 BUCKET = "quart_hour"
+# The least sample size for which sliding over sorted values is cheaper than frames of a window.
+SLIDING_FROM = 48
 
 
 def _number(series: DataFrame) -> Column:
@@ -35,6 +40,8 @@ def _order(by: Sequence[str]) -> WindowSpec:
 def _bands(
     series: DataFrame, a: float, sample_size: int, by: Sequence[str], smooth_ahead: int
 ) -> DataFrame:
+    if sample_size >= SLIDING_FROM:
+        return sliding_bands(series, BUCKET, float(a), sample_size, by, smooth_ahead)
     order = _order(by)
     previous = order.rowsBetween(-sample_size, -1)
     around = order.rowsBetween(-(sample_size // 2), smooth_ahead)

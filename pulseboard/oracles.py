@@ -211,8 +211,8 @@ quarters AS (
   FROM acted WHERE {where} GROUP BY ALL HAVING feed_users > 0 AND msg_users > 0)"""
 
 
-def _bands(where: str, ahead: int, by: str = "") -> str:
-    """CTE bands over quarters, smoothed over ``ahead`` rows after each row."""
+def _bands(where: str, ahead: int, by: str = "", size: int = 6) -> str:
+    """CTE bands over quarters from ``size`` rows before, smoothed over ``ahead`` rows after each row."""
     also = f", {by}" if by else ""
     return f"""{_quarters(where, by)},
 series AS (
@@ -221,20 +221,20 @@ series AS (
      ON feed_users, msg_users, likes, views, messages INTO NAME metric VALUE value)),
 raw AS (
   SELECT *, lag(value) OVER all_rows AS prev_value,
-    CASE WHEN count(*) OVER six = 6
-      THEN quantile_cont(CAST(value AS DOUBLE), 0.25) OVER six END AS q25,
-    CASE WHEN count(*) OVER six = 6
-      THEN quantile_cont(CAST(value AS DOUBLE), 0.75) OVER six END AS q75
+    CASE WHEN count(*) OVER sample = {size}
+      THEN quantile_cont(CAST(value AS DOUBLE), 0.25) OVER sample END AS q25,
+    CASE WHEN count(*) OVER sample = {size}
+      THEN quantile_cont(CAST(value AS DOUBLE), 0.75) OVER sample END AS q75
   FROM series
   WINDOW all_rows AS (PARTITION BY metric{also} ORDER BY quart_hour),
-    six AS (PARTITION BY metric{also} ORDER BY quart_hour
-            ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)),
+    sample AS (PARTITION BY metric{also} ORDER BY quart_hour
+               ROWS BETWEEN {size} PRECEDING AND 1 PRECEDING)),
 bands AS (
   SELECT *, q75 - q25 AS iqr, avg(q75 + 4 * (q75 - q25)) OVER around AS up,
     avg(q25 - 4 * (q75 - q25)) OVER around AS low
   FROM raw
   WINDOW around AS (PARTITION BY metric{also} ORDER BY quart_hour
-                    ROWS BETWEEN 3 PRECEDING AND {f'{ahead} FOLLOWING' if ahead else 'CURRENT ROW'})),
+                    ROWS BETWEEN {size // 2} PRECEDING AND {f'{ahead} FOLLOWING' if ahead else 'CURRENT ROW'})),
 replay AS (
   SELECT metric{also}, quart_hour, value, prev_value, low, up,
     CASE WHEN prev_value <> 0
@@ -408,6 +408,7 @@ GROUP BY date""",
         "new_users_daily": _sql("", _new_users(_NEW)),
         "new_users_month": _sql("", _new_users(_DAYS, 30)),
         "new_users_incremental": _sql("", _new_users(_NEW)),
+        "new_users_bucketed": _sql("", _new_users(_NEW)),
         "feed_user_daily": _sql(_activity(), "SELECT * FROM feed_user"),
         "message_user_daily": _sql(_activity(), "SELECT * FROM message_user"),
         "message_user_ever": _sql(
@@ -459,6 +460,13 @@ GROUP BY date""",
             _bands(_LIVE, ahead=2),
             "SELECT quart_hour, metric, value, q25, q75, iqr, up, low FROM bands",
         ),
+        "metric_bands_week": _sql(
+            _bands(everything, ahead=335, size=672),
+            "SELECT quart_hour, metric, value, q25, q75, iqr, up, low FROM bands",
+        ),
+        "alert_replay_week": _sql(
+            _bands(everything, ahead=0, size=672), f"SELECT {replayed} FROM replay"
+        ),
         "alert_latest": _sql(
             _bands(_LIVE, ahead=0),
             f"SELECT {replayed} FROM replay WHERE quart_hour = (SELECT max(quart_hour) FROM quarters)",
@@ -487,6 +495,21 @@ GROUP BY date""",
         "quarter_hour_join_stream": _sql(
             _quarters(everything), f"SELECT * EXCLUDE (ctr) FROM quarters WHERE {_CLOSED}"
         ),
+        "quarter_hour_replayed_stream": _sql(
+            _quarters(everything), f"SELECT * EXCLUDE (ctr) FROM quarters WHERE {_CLOSED}"
+        ),
+        "silence_stream": _sql(
+            """
+heard AS (
+  SELECT DISTINCT CASE WHEN in_feed THEN 'feed' ELSE 'messages' END AS product,
+    time_bucket(INTERVAL 15 MINUTE, time) AS quart_hour FROM acted),
+gaps AS (
+  SELECT product, quart_hour AS last_bucket, quart_hour + INTERVAL 45 MINUTE AS silent_from,
+    lead(quart_hour) OVER (PARTITION BY product ORDER BY quart_hour) AS next FROM heard)""",
+            "SELECT product, last_bucket, silent_from FROM gaps "
+            "WHERE coalesce(next > silent_from, true) AND "
+            + _CLOSED.replace("quart_hour + INTERVAL 15 MINUTE", "silent_from + INTERVAL 15 MINUTE"),
+        ),
         "quarter_hour_corrected_stream": _sql(_quarters(everything), "SELECT * FROM quarters"),
         "alert_stream": _sql(
             _bands(everything, ahead=0), f"SELECT {replayed} FROM replay WHERE {_CLOSED}"

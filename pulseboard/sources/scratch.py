@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -14,12 +13,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach.
 
-    ``spark.checkpoint.dir`` names it; without that it lies in the session's warehouse,
-    which executors reach as well. It is never a temp folder of one machine.
+    ``spark.checkpoint.dir`` names it. Without that it lies in the session's warehouse if executors reach
+    this as well: in a session of one machine, or where the warehouse is in a store. A folder of
+    the driver's machine is refused on a cluster.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        one_machine = re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master)
+        if not one_machine and warehouse.split(":")[0] in ("file", warehouse):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors reach")
+        folder = f"{warehouse}/_scratch"
     return folder.rstrip("/")
 
 
@@ -34,11 +38,3 @@ def written(table: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     table.write.parquet(path)
     return spark.read.schema(table.schema).parquet(path)
-
-
-def opened(path: str) -> pa.NativeFile:
-    """A file that Spark listed, opened by a task to read any part of it."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
-    store, name = fs.FileSystem.from_uri(path)
-    return store.open_input_file(name)

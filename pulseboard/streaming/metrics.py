@@ -13,7 +13,7 @@ from pulseboard.plans.alerts import METRICS, bucket_counts, marks, user_sums
 def quarter_hour_stream(
     feed: DataFrame,
     messages: DataFrame,
-    lateness: str = "30 minutes",
+    lateness: str | None = "30 minutes",
     with_ctr: bool = False,
     minutes: int = 15,
 ) -> DataFrame:
@@ -23,13 +23,12 @@ def quarter_hour_stream(
     windowed aggregations: per bucket and user, then per bucket. Both logs go
     through them together; a bucket without rows of both products is dropped, which
     is the join of the two series. Whether the slower or the faster log closes a bucket is
-    chosen where the stream is started, see :func:`pulseboard.streaming.run.start`.
+    chosen where the stream is started, see :func:`pulseboard.streaming.run.start`. ``lateness=None``
+    is for logs that have watermarks already.
     """
-    rows = marks(
-        feed.withWatermark("time", lateness),
-        messages.withWatermark("time", lateness),
-        ["time", "user_id"],
-    )
+    if lateness is not None:
+        feed, messages = (log.withWatermark("time", lateness) for log in (feed, messages))
+    rows = marks(feed, messages, ["time", "user_id"])
     width = f"{bucket_minutes(minutes)} minutes"
     per_user = rows.groupBy(F.window("time", width), "user_id").agg(*user_sums())
     per_bucket = bucket_counts(per_user.groupBy(F.window(F.window_time("window"), width)))

@@ -1,4 +1,4 @@
-"""The bands of a metric as streaming state.
+"""The bands of a metric, and when a product was last seen, as streaming state.
 
 Nothing here uses the rest of the package at run time, so the code travels to the
 workers with the query and the package need not be installed there.
@@ -68,3 +68,57 @@ class BandState(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class SilenceState(StatefulProcessor):
+    """Keeps when a key was last seen, and tells each gap of more than ``silent`` milliseconds once."""
+
+    def __init__(self, silent: int, width: int, forget: int):
+        self._silent, self._width, self._forget = silent, width, max(forget, silent)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        schema = T.StructType([T.StructField("at", T.LongType()), T.StructField("told", T.BooleanType())])
+        self._last = handle.getValueState("last", schema)
+
+    def _told(self, key, gaps: list[int]) -> pd.DataFrame:
+        return pd.DataFrame({"product": [key[0]] * len(gaps), "at": np.array(gaps, "int64")})
+
+    def _wake(self, at: int, after: int) -> None:
+        """A timer for when all buckets until ``after`` the last one are closed, in place of earlier ones."""
+        for timer in list(self._handle.listTimers()):
+            self._handle.deleteTimer(timer)
+        self._handle.registerTimer(at + after + self._width)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        # Closed buckets come in the watermark's order from batch to batch, in any order within one.
+        new = sorted({int(at) for frame in rows for at in frame["at"]})
+        last, told = self._last.get() if self._last.exists() else (None, False)
+        gaps = []
+        for at in new:
+            if last is not None and at <= last:
+                continue
+            if last is not None and at - last > self._silent and not told:
+                gaps.append(last)
+            last, told = at, False
+        if last is not None:
+            self._last.update((last, told))
+            self._wake(last, self._forget if told else self._silent)
+        if gaps:
+            yield self._told(key, gaps)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        gaps = []
+        if self._last.exists():
+            last, told = self._last.get()
+            if told:
+                self._last.clear()
+            else:
+                gaps.append(last)
+                self._last.update((last, True))
+                self._wake(last, self._forget)
+        if gaps:
+            yield self._told(key, gaps)
+
+    def close(self) -> None:
+        pass

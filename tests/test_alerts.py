@@ -1,11 +1,15 @@
 from datetime import timedelta
 
+import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from pulseboard.operators import causal_bands, chart_bands
+from pulseboard.operators import bands, causal_bands, chart_bands, sliding
 from pulseboard.plans import alerts
+from pulseboard.sources import events as source
 from pulseboard.streaming.state import trailing_bands
 from tests.logs import at, feed_log, message_log
 
@@ -158,3 +162,66 @@ def test_alert_messages(spark):
         "Метрика likes:\nтекущее значение: 6\nотклонение от предыдущего значения: 20.0%\n"
         "дашборд: https://example.org/d\n"
     ]
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 100])
+def test_sliding_quartiles_and_means_equal_frames(size):
+    rng = np.random.default_rng(size)
+    values = rng.integers(-5, 50, 400).astype(float)
+    values[rng.random(400) < 0.02] = np.nan
+    found = sliding.quartiles(values, size)
+    around = sliding.means(values, size // 2, 3)
+    for i in range(400):
+        frame = values[max(0, i - size) : i]
+        if len(frame) == size and not np.isnan(frame).any():
+            assert found[i].tolist() == np.quantile(frame, [0.25, 0.75]).tolist()
+        else:
+            assert np.isnan(found[i]).all()
+        near = values[max(0, i - size // 2) : i + 4]
+        near = near[~np.isnan(near)]
+        assert around[i] == pytest.approx(near.mean()) if len(near) else np.isnan(around[i])
+
+
+def test_three_weeks_of_rows_in_more_tasks_than_series(spark, monkeypatch):
+    """Frames of 2,016 rows over a year of quarter hours, with gaps, in chunks."""
+    monkeypatch.setattr(sliding, "CHUNK_ROWS", 500)
+    monkeypatch.setattr(sliding, "CHUNK_FRAMES", 1)
+    series = spark.range(9000).where("id % 17 <> 3").selectExpr(
+        "'m' || (id % 2) AS metric",
+        "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 15 * (id div 2)) AS quart_hour",
+        "pmod(xxhash64(id), 1000) AS value",
+    )
+    found = chart_bands(series, sample_size=2016)
+    assert "Window" not in found.select("up").groupBy().count()._jdf.queryExecution().toString().split("FlatMapGroupsInArrow")[0]
+    got = {(r.metric, r.quart_hour): tuple(r)[2:] for r in found.collect()}
+    duck = duckdb.connect()
+    duck.register("series", pa.Table.from_pandas(series.toPandas()))
+    expected = duck.sql("""
+        SELECT *, avg(q75 + 4 * (q75 - q25)) OVER around AS up, avg(q25 - 4 * (q75 - q25)) OVER around AS low
+        FROM (SELECT metric, quart_hour, value,
+                CASE WHEN count(*) OVER w = 2016 THEN quantile_cont(CAST(value AS DOUBLE), 0.25) OVER w END AS q25,
+                CASE WHEN count(*) OVER w = 2016 THEN quantile_cont(CAST(value AS DOUBLE), 0.75) OVER w END AS q75
+              FROM series WINDOW w AS (PARTITION BY metric ORDER BY quart_hour ROWS BETWEEN 2016 PRECEDING AND 1 PRECEDING))
+        WINDOW around AS (PARTITION BY metric ORDER BY quart_hour ROWS BETWEEN 1008 PRECEDING AND 1007 FOLLOWING)
+    """).fetchall()
+    assert len(expected) == len(got) > 8000
+    for metric, at, value, q25, q75, up, low in expected:
+        iqr = None if q25 is None else q75 - q25
+        assert got[metric, at] == (value, q25, q75, iqr, pytest.approx(up), pytest.approx(low))
+    chunks = sliding._chunks(series.withColumn("day", F.to_date("quart_hour")), ["metric"], 3024, 1007)
+    assert chunks.select("metric", "chunk").distinct().count() > 2
+
+
+def test_long_samples_equal_short_ones_where_both_run(spark, monkeypatch):
+    events = source.events(spark, "/root/testdata/sf0.01")
+    series = alerts.long_series(alerts.quarter_hour_series(source.feed_actions(events), source.message_actions(events), with_ctr=True), (*alerts.METRICS, "ctr"))
+    expected = {tuple(r)[:2]: tuple(r)[2:] for r in causal_bands(series, sample_size=20).collect()}
+    monkeypatch.setattr(bands, "SLIDING_FROM", 1)
+    found = {tuple(r)[:2]: tuple(r)[2:] for r in causal_bands(series, sample_size=20).collect()}
+    assert found.keys() == expected.keys()
+
+    def plain(row):
+        return [pytest.approx(v, nan_ok=True) if isinstance(v, float) else v for v in row]
+
+    for key, row in expected.items():
+        assert list(found[key]) == plain(row)

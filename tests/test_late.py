@@ -4,9 +4,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseboard.plans import alerts
-from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log
+from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log, write_log
 from pulseboard.sources import events as source
-from pulseboard.streaming import BucketStore, quarter_hour_join_stream, start, start_corrected
+from pulseboard.sources import logs as logs_module
+from pulseboard.streaming import (
+    BucketStore,
+    quarter_hour_join_stream,
+    quarter_hour_stream,
+    silence_stream,
+    start,
+    start_corrected,
+)
 from tests.logs import feed_log, message_log
 from tests.test_streaming import SF_DIR, add, rows_by_bucket, sentinels, streams
 
@@ -160,3 +168,73 @@ def test_joined_streams_with_one_product_missing(spark, tmp_path):
     assert rows_by_bucket(join_run(spark, root, "full", how="full")[1].where("quart_hour < '2024-01-31'")) == full
     with pytest.raises(ValueError):
         quarter_hour_join_stream(*streams(spark, root), how="left")
+
+
+def test_rewritten_days_count_once(spark, tmp_path):
+    """A day is written again with more rows while the stream goes on; equal rows are rows of their own."""
+    root = str(tmp_path)
+    logs = {"feed": FEED_SCHEMA, "messages": MESSAGE_SCHEMA}
+
+    def rows(times):
+        return (
+            feed_log(spark, [(u, f"2024-01-30 {t}", "view") for t in times for u in (1, 1, 2)]),
+            message_log(spark, [(1, 5, f"2024-01-30 {t}") for t in times for _ in range(2)]),
+        )
+
+    def step(*frames):
+        for frame, name in zip(frames, logs, strict=True):
+            write_log(frame, f"{root}/{name}", ranked=True)
+        streams = (stream_log(spark, f"{root}/{n}", s, replayed_within="30 minutes") for n, s in logs.items())
+        metrics = quarter_hour_stream(*streams, lateness=None)
+        start(metrics, f"{root}/metrics", f"{root}/checkpoint").awaitTermination()
+        found = spark.read.schema(metrics.schema).parquet(f"{root}/metrics")
+        return rows_by_bucket(found.withColumn("quart_hour", F.col("quart_hour").cast("timestamp_ntz")))
+
+    assert step(*rows(["10:00", "10:20"])) == {}
+    again = {"30 10:00": (2, 1, 0, 3, 2)}
+    assert step(*rows(["10:00", "10:20", "10:50"])) == again  # the day is written again, as a whole
+    assert step(*rows(["10:00", "10:20", "10:50"])) == again
+    closed = step(*sentinels(spark))
+    assert closed == again | {"30 10:15": (2, 1, 0, 3, 2), "30 10:45": (2, 1, 0, 3, 2)}
+
+
+def test_ranks_tell_equal_rows_apart_without_gathering_them(spark):
+    log = feed_log(spark, [(1, "2024-01-30 10:00", "view")] * 5 + [(2, "2024-01-30 10:00", "like"), (None, "2024-01-30 10:00", None)])
+    ranked = logs_module._ranked(log)
+    assert sorted((str(r.user_id), r[logs_module.ROW_RANK]) for r in ranked.collect()) == [("1", 1), ("1", 2), ("1", 3), ("1", 4), ("1", 5), ("2", 1), ("None", 1)]
+    assert "partial_count" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
+def silence_run(spark, root, minutes, forget=10_000):
+    told = silence_stream(*streams(spark, root), minutes, forget_minutes=forget)
+    query = start(told, f"{root}/silence", f"{root}/silence-checkpoint", close_by="faster")
+    query.awaitTermination()
+    rows = spark.read.schema(told.schema).parquet(f"{root}/silence").collect()
+    return query, sorted((r.product, f"{r.last_bucket:%d %H:%M}", f"{r.silent_from:%d %H:%M}") for r in rows)
+
+
+def test_each_silence_is_told_once(spark, tmp_path):
+    root = str(tmp_path)
+
+    def feed(*times):
+        return feed_log(spark, [(1, f"2024-01-{t}", "view") for t in times])
+
+    def mail(*times):
+        return message_log(spark, [(1, 2, f"2024-01-{t}") for t in times])
+
+    add(root, feed("10 10:00", "10 11:00", "10 13:20"), mail("10 10:05"))
+    # The messenger's silence is told by its timer, the feed's by the bucket that ends it.
+    _, told = silence_run(spark, root, 120)
+    assert told == [("messages", "10 10:00", "10 12:00")]
+    add(root, feed("10 15:00", "10 16:00"), mail("10 15:30"))
+    _, told = silence_run(spark, root, 120)
+    assert told == [("feed", "10 11:00", "10 13:00"), ("messages", "10 10:00", "10 12:00")]
+    # Both fall silent for days; a third log would have to go on for the timers to go off.
+    add(root, feed("15 10:00", "15 12:00"), mail("15 10:00"))
+    query, told = silence_run(spark, root, 120, forget=24 * 60)
+    assert told == [
+        ("feed", "10 11:00", "10 13:00"),
+        ("feed", "10 16:00", "10 18:00"),
+        ("messages", "10 10:00", "10 12:00"),
+        ("messages", "10 15:30", "10 17:30"),
+    ]

@@ -13,7 +13,7 @@ from pulseboard.sources.logs import read_log
 SF_DIR = "/root/testdata/sf0.001"
 # An unpivot is an Expand over the few rows of a series; elsewhere an Expand is a distinct count.
 UNPIVOTS = ("metric_bands", "alert_latest", "alert_latest_midday", "alert_replay", "alert_replay_by_os")
-UNPIVOTS += ("alert_messages", "alert_messages_latest")
+UNPIVOTS += ("alert_messages", "alert_messages_latest", "metric_bands_week", "alert_replay_week")
 
 
 def plan_of(frame, final=False):

@@ -91,9 +91,9 @@ def test_shared_folder_is_the_sessions(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
-def session_without_the_setting(checkpoint=None):
-    settings = {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}
-    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint)
+def session_without_the_setting(checkpoint=None, warehouse="hdfs:///warehouse/", master="yarn"):
+    settings = {"spark.sql.warehouse.dir": warehouse}
+    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint, master=master)
     get = lambda key, *default: settings[key] if key in settings else default[0]
     return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=context)
 
@@ -101,6 +101,12 @@ def session_without_the_setting(checkpoint=None):
 def test_no_folder_of_one_machine():
     assert shared_folder(session_without_the_setting("hdfs:///c/")) == "hdfs:///c"
     assert shared_folder(session_without_the_setting()) == "hdfs:///warehouse/_scratch"
+    for master in ("local", "local[*]", "local[8]"):
+        assert shared_folder(session_without_the_setting(None, "/data/w", master)) == "/data/w/_scratch"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        for warehouse in ("/data/w", "file:/data/w", "file:///data/w"):
+            with pytest.raises(RuntimeError):
+                shared_folder(session_without_the_setting(None, warehouse, master))
 
 
 def test_an_empty_rewrite_clears_its_days_and_only_these(spark, table):
