@@ -64,6 +64,11 @@ def op2_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = f"""
+    WITH {spans.dedup_oracle()}
+    SELECT doc_id, n_words, n_removed, sha256(text) AS kept_sha256 FROM deduped"""
+
+
 def op3_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as flat files of ids, and the token counts found in these."""
     path = new_folder(spark, "flat")
@@ -77,10 +82,15 @@ def op3_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return setjoin.groups(docs, shingle=3, percent=90).select(
-        F.col("_id").alias("doc_id"), "n_shingles", "component_id", "n_links"
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id"
     )
 
 
+OP4_SQL = f"""
+    WITH RECURSIVE {setjoin.groups_oracle(3, 90)}
+    SELECT doc_id, n_shingles, component_id FROM grouped"""
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _held_out(4, 2)
@@ -112,6 +122,8 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        F.coalesce(F.col("first_bad"), F.lit(0)).cast("long").alias("first_bad"),
     )
 
 
@@ -119,16 +131,25 @@ def _escaped_sql(column: str) -> str:
     return f"replace(replace(replace({column}, chr(92), chr(92) || chr(92)), '<', chr(92) || 'l'), '>', chr(92) || 'g')"
 
 
+_IN_ORDER = "turn NULLS FIRST, role, text"
 OP6_SQL = f"""
-    WITH rows AS (
+    WITH given AS (
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-        UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}')
+        UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'),
+    placed AS (
+        SELECT *, row_number() OVER own AS place, lag(role) OVER own AS before, lead(role) OVER own IS NULL AS is_last
+        FROM given WINDOW own AS (PARTITION BY conv_id ORDER BY {_IN_ORDER})),
+    checked AS (
+        SELECT *, CASE WHEN place = 1 THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+                       WHEN before = 'user' THEN role = 'assistant' ELSE false END AS allowed FROM placed)
     SELECT conv_id, count(*) AS n_turns,
-           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-           CAST(sum(length('<turn:></turn>') + length({_escaped_sql("role")}) + length({_escaped_sql("text")})) AS BIGINT) AS formatted_chars
-    FROM rows GROUP BY conv_id"""
+           sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length('<turn:></turn>') + length({_escaped_sql("role")}) + length({_escaped_sql("text")})) AS BIGINT) AS formatted_chars,
+           bool_and(allowed) AND bool_or(is_last AND role = 'assistant') AS valid,
+           coalesce(min(place) FILTER (NOT allowed), 0) AS first_bad
+    FROM checked GROUP BY conv_id"""
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +159,7 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"))
+    checked = contamination.check(docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
     return checked.select(
         "doc_id",
         "n_words",
@@ -239,6 +260,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_spans": OP2_SQL,
+        "op4_setjoin": OP4_SQL,
         "op6_chat": OP6_SQL,
         "op9_contamination": OP9_SQL,
         "op10_lines": OP10_SQL,

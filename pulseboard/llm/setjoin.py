@@ -21,13 +21,21 @@ than BLOCK members are scanned in pairs of blocks, by as many tasks. A pair that
 is taken on the first of them: each row knows the first FIRST_LISTS lists of its set. What is left is
 compared element by element. A frequent passage puts no documents on one list unless they agree in a whole part.
 
+``links`` gives all links between classes, of which a group of near copies has as many as the square of
+its size. ``groups`` doesn't need them all. It first compares each class with one other of its longest
+list, then with one other of each of its lists, a different one per list, and each time only where the
+two are not in one group yet. What a group of near copies costs so grows with its size. Then all lists whose
+members are still of several groups are scanned in full, for pairs of different groups only, so that no
+link that joins groups is missed.
+
 Groups are connected components over classes. In each round every class joins the neighbour (or
 itself) that a hash of the round puts first, and links between joined classes are one; rounds shrink
 the links geometrically, and each is written to the shared folder.
 
 Defined results: sets are told apart by 128 bits of hash, shingles by 64. A text without words,
-null included, has an empty set, links with nothing and is its own group. Rows without an id have
-no group (null) and link with nothing. Repeated rows are copies and link with each other.
+null included, has an empty set, links with nothing and is its own group. Rows without an id take part:
+they may join groups, and a group of such rows alone has a null id. Repeated rows are copies and link with
+each other.
 """
 
 from __future__ import annotations
@@ -51,6 +59,8 @@ BLOCK = 1024
 FIRST_LISTS = 32
 NO_LIST = np.iinfo(np.int64).max
 MOST_SMALL = 40
+# Rounds of which labels are derived in one plan.
+ROUNDS_A_PLAN = 6
 # A row of a list costs so many rows of a subset: it may be looked up, sketched and scanned.
 LIST_COST = 3
 
@@ -238,8 +248,8 @@ def sets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle
     return source.mapInArrow(run, "_id long, _row long, n long, h1 long, h2 long, sketch binary")
 
 
-def _memberships(docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """(list, h1) of all rows with an id; copies in one batch come once."""
+def _memberships(docs: DataFrame, rule: Rule, text: str, shingle: int) -> DataFrame:
+    """(list, h1) of all rows; copies in one batch come once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,7 +267,7 @@ def _memberships(docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: i
                     [long_array(keys), long_array(one[first][rows])], names=["list", "h1"]
                 )
 
-    return docs.where(F.col(doc_id).isNotNull()).select(text).mapInArrow(run, "list long, h1 long")
+    return docs.select(text).mapInArrow(run, "list long, h1 long")
 
 
 def _scan(rule: Rule) -> callable:
@@ -265,11 +275,12 @@ def _scan(rule: Rule) -> callable:
 
     def fitting(cols: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The pairs of rows that can link and for which the list is the first that they share."""
-        list_, h1, n, sketch, first = cols[0], cols[3], cols[4], cols[5], cols[7]
+        list_, h1, n, sketch, first, group = cols[0], cols[3], cols[4], cols[5], cols[7], cols[8]
         found = []
         for i in range(0, len(a), 1 << 15):
             x, y = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
             keep = 100 * np.minimum(n[x], n[y]) >= rule.percent * np.maximum(n[x], n[y])
+            keep &= group[x] != group[y]
             x, y = x[keep], y[keep]
             apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
             keep = apart * (100 + rule.percent) <= (100 - rule.percent) * (n[x] + n[y])
@@ -318,7 +329,7 @@ def _scan(rule: Rule) -> callable:
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(sizes)), sizes)
             first[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-            cols.append(first)
+            cols += [first, batch.column(8).to_numpy(zero_copy_only=False)]
             if rest is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(rest, cols)]
             if not len(cols[0]):
@@ -331,8 +342,8 @@ def _scan(rule: Rule) -> callable:
     return run
 
 
-def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of classes, a below b, that share a list and whose sketches allow a link."""
+def shared_lists(members: DataFrame) -> DataFrame:
+    """(list, h1, count) of lists with several members; lists of equal members are one."""
     per_list = Window.partitionBy("list")
     lists = (
         members.withColumns({"least": F.min("h1").over(per_list), "most": F.max("h1").over(per_list)})
@@ -342,11 +353,57 @@ def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         .withColumns(
             {"all": F.bit_xor(F.xxhash64("h1")).over(per_list), "first": F.min("h1").over(per_list), "count": F.count("*").over(per_list)}
         )
-        # Lists with equal members are one.
         .select(F.xxhash64("all", "first", "count").alias("list"), "h1", "count")
         .distinct()
     )
-    lists = written(lists, "lists")
+    return written(lists, "lists")
+
+
+def open_lists(lists: DataFrame, group: DataFrame | None) -> DataFrame:
+    """(list, h1, count, group) of lists whose members are not all of one group; without groups each class
+    is one."""
+    if group is None:
+        return lists.withColumn("group", F.col("h1"))
+    told = lists.join(group.withColumnRenamed("v", "h1"), "h1", "left").withColumn("group", F.coalesce("component", "h1"))
+    several = told.groupBy("list").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most")
+    return written(told.join(several.select("list"), "list", "left_semi").select("list", "h1", "count", "group"), "open")
+
+
+def _with_hubs(lists: DataFrame, classes: DataFrame, rule: Rule, longest: bool) -> DataFrame:
+    """Pairs (a, b) of classes of different groups: each class and the hub, one member, of its longest list,
+    or of each list. Their sketches allow a link."""
+    mark = F.xxhash64("list", "h1")
+    hubs = lists.groupBy("list").agg(F.min(F.struct(mark.alias("mark"), "h1", "group")).alias("hub"))
+    own = lists
+    if longest:
+        own = lists.groupBy("h1", "group").agg(F.max(F.struct("count", "list")).getField("list").alias("list"))
+    pairs = (
+        own.join(hubs.select("list", F.col("hub.h1").alias("to"), F.col("hub.group").alias("of")), "list")
+        .where("group <> of")
+        .select(F.least("h1", "to").alias("a"), F.greatest("h1", "to").alias("b"))
+        .distinct()
+    )
+    side = lambda end: classes.select(
+        F.col("h1").alias(end), F.col("n").alias(f"{end}_n"), F.col("sketch").alias(f"{end}_sketch")
+    )
+    sized = pairs.join(side("a"), "a").join(side("b"), "b")
+    sized = sized.where(100 * F.least("a_n", "b_n") >= rule.percent * F.greatest("a_n", "b_n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), U64).reshape(-1, SKETCH // 64) for i in (3, 5)
+            )
+            size = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            keep = apart * (100 + rule.percent) <= (100 - rule.percent) * size
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return sized.select("a", "b", "a_n", "a_sketch", "b_n", "b_sketch").mapInArrow(run, "a long, b long")
+
+
+def candidates(lists: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of classes of different groups, a below b, that share a list and whose sketches allow a link."""
     first = lists.groupBy("h1").agg(F.slice(F.sort_array(F.collect_list("list")), 1, FIRST_LISTS).alias("lists"))
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
     known = classes.select("h1", "n", "sketch").join(first, "h1")
@@ -366,74 +423,68 @@ def candidates(members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         "sketch",
         side.cast("long").alias("side"),
         "lists",
+        "group",
     )
     ordered = keyed.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
     return ordered.mapInArrow(_scan(rule), "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """The pairs that link, compared element by element in the texts of the classes' first rows:
-    (a, b, a_copies, b_copies)."""
+    """The pairs (a, b) that link, compared element by element in the texts of the classes' first rows."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    first = classes.join(asked, "h1").select("h1", "copies", F.col("doc").alias("_doc"), F.col("row").alias("_at"))
+    first = classes.join(asked, "h1").select("h1", F.col("doc").alias("_doc"), F.col("row").alias("_at"))
     first = checked(first, "asked")
-    texts = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.xxhash64(doc_id, text).alias("_at"), text)
-    source = texts.join(first, ["_doc", "_at"]).dropDuplicates(["h1"]).select("h1", "copies", text)
+    texts = docs.select(F.col(doc_id).cast("long").alias("_of"), F.xxhash64(doc_id, text).alias("_is"), F.col(text).alias("text"))
+    source = texts.join(first, F.expr("_is = _at AND _of <=> _doc")).select("h1", "text")
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.column(2)):
+            for piece in pieces(batch.column(1)):
                 hashes, offsets = shingle_sets(piece, shingle)
                 rows = [hashes[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-                own = batch.slice(piece.first, len(piece)).columns[:2]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(rows, pa.binary())], names=["h1", "copies", "elements"])
+                own = batch.slice(piece.first, len(piece)).columns[:1]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(rows, pa.binary())], names=["h1", "elements"])
 
-    each = written(source.mapInArrow(elements, "h1 long, copies long, elements binary"), "elements")
-    side = lambda end: each.select(
-        F.col("h1").alias(end), F.col("copies").alias(f"{end}_copies"), F.col("elements").alias(f"{end}_elements")
-    )
-    both = (
-        pairs.join(side("b"), "b")
-        .join(side("a"), "a")
-        .select("a", "b", "a_copies", "b_copies", "a_elements", "b_elements")
-    )
+    each = written(source.mapInArrow(elements, "h1 long, elements binary").dropDuplicates(["h1"]), "elements")
+    side = lambda end: each.select(F.col("h1").alias(end), F.col("elements").alias(f"{end}_elements"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_elements", "b_elements")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
                 x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
                 both = np.sort(np.concatenate([x, y]))
                 common = int((both[1:] == both[:-1]).sum())
                 if 100 * common >= rule.percent * (len(x) + len(y) - common):
                     keep.append(i)
-            yield batch.select([0, 1, 2, 3]).take(pa.array(keep, pa.int64()))
+            yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+
+    return both.mapInArrow(compare, "a long, b long")
+
+
+def _nearest(edges: DataFrame, turn: int) -> DataFrame:
+    """(v, to): each end of an edge and that of its neighbours and itself which a hash of the turn puts first."""
+    ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a"))
+    rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("to"))
+    near = ends.groupBy("v").agg(F.min(rank("u")).alias("near"))
+    return near.select("v", F.least(F.col("near"), rank("v")).getField("to").alias("to"))
+
 
-    return both.mapInArrow(compare, "a long, b long, a_copies long, b_copies long")
+def _relabelled(labels: DataFrame, step: DataFrame) -> DataFrame:
+    """Labels (v, component) after a step (v, to) of some of the components."""
+    step = step.select(F.col("v").alias("component"), "to")
+    return labels.join(step, "component", "left").select("v", F.coalesce("to", "component").alias("component"))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(v, component) of every end of a link; the component is one of its ends."""
-    edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    edges = written(edges, "links")
+    edges = written(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b"), "links")
     labels, turn = None, 0
     while not edges.isEmpty():
         turn += 1
-        ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("to"))
-        joined = written(
-            ends.groupBy("v")
-            .agg(F.min(rank("u")).alias("near"))
-            .select("v", F.least(F.col("near"), rank("v")).getField("to").alias("to")),
-            "joined",
-        )
-        if labels is None:
-            labels = joined.withColumnRenamed("to", "component")
-        else:
-            step = joined.select(F.col("v").alias("component"), "to")
-            labels = written(
-                labels.join(step, "component", "left").select("v", F.coalesce("to", "component").alias("component")), "labels"
-            )
+        joined = written(_nearest(edges, turn), "joined")
+        labels = joined.withColumnRenamed("to", "component") if labels is None else _relabelled(labels, joined)
         edges = written(
             edges.join(joined.select(F.col("v").alias("a"), F.col("to").alias("x")), "a")
             .join(joined.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
@@ -442,78 +493,147 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct(),
             "links",
         )
+        if turn % ROUNDS_A_PLAN == 0:
+            labels = written(labels, "labels")
     if labels is None:
         return edges.select(F.col("a").alias("v"), F.col("b").alias("component"))
-    return labels
-
+    return written(labels, "labels")
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """(v, component) of the ends of links: the least class within two steps, which for a hub and those that
+    link with it is the same. Some that are connected may still be apart."""
+    ends = links.select(F.col("a").alias("v"), F.col("b").alias("u")).union(links.select("b", "a"))
+    near = ends.groupBy("v").agg(F.least("v", F.min("u")).alias("least"))
+    further = ends.join(near.select(F.col("v").alias("u"), F.col("least").alias("of")), "u")
+    further = further.groupBy("v").agg(F.min("of").alias("of"))
+    return written(near.join(further, "v").select("v", F.least("least", "of").alias("component")), "stars")
+
+
+def _merged(group: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Groups (v, component) after further links."""
+    if group is None:
+        return components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    own = written(
+        ends.join(group, "v", "left").select("v", F.coalesce("component", "v").alias("component")), "ends"
+    )
+    side = lambda end: own.select(F.col("v").alias(end), F.col("component").alias(f"{end}_of"))
+    between = links.join(side("a"), "a").join(side("b"), "b").select(F.col("a_of").alias("a"), F.col("b_of").alias("b"))
+    step = components(between.distinct()).withColumnRenamed("component", "to")
+    every = group.unionByName(own.join(group, "v", "left_anti"))
+    return written(_relabelled(every, step), "groups")
 
-def groups(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80
-) -> DataFrame:
-    """One row for each row of the table: (_id, _row, n_shingles, component_id, n_links).
 
-    ``component_id`` is the smallest id that links lead to, the row's own included; ``n_links``
-    counts the rows that the row links with.
-    """
+def _prepared(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, Rule, DataFrame]:
+    """The rows' sets, the classes of equal sets, the rule and the lists."""
     each = written(sets(docs, doc_id=doc_id, text=text, shingle=shingle), "sets")
+    in_order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     classes = written(
-        each.where("_id IS NOT NULL AND n > 0")
+        each.where("n > 0")
         .groupBy("h1", "h2", "n")
-        .agg(F.min(F.struct("_id", "_row")).alias("first"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
+        .agg(F.min(in_order).alias("first"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
         .select("h1", "h2", "n", F.col("first._id").alias("doc"), F.col("first._row").alias("row"), "copies", "sketch"),
         "classes",
     )
     sizes = classes.where(F.col("n") <= MOST_SMALL).groupBy("n").count().collect()
     rule = Rule(percent, boundary(percent, {r["n"]: r["count"] for r in sizes}))
-    members = _memberships(docs, rule, doc_id, text, shingle)
-    pairs = written(candidates(members, classes, rule), "pairs")
-    links = written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
-    group = components(links)
-    smallest = (
-        classes.join(group.withColumnRenamed("v", "h1"), "h1")
-        .groupBy("component")
-        .agg(F.min("doc").alias("smallest"))
-    )
-    others = (
-        links.groupBy(F.col("a").alias("h1"))
-        .agg(F.sum("b_copies").alias("others"))
-        .union(links.groupBy("b").agg(F.sum("a_copies")))
-        .groupBy("h1")
-        .agg(F.sum("others").alias("others"))
-    )
-    known = (
-        classes.join(group.withColumnRenamed("v", "h1"), "h1", "left")
-        .join(smallest, "component", "left")
-        .join(others, "h1", "left")
-        .select(
-            "h1",
-            "h2",
-            F.least("doc", F.coalesce("smallest", "doc")).alias("component_id"),
-            (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-        )
-    )
-    linked = F.col("_id").isNotNull() & (F.col("n") > 0)
-    return each.join(known, ["h1", "h2"], "left").select(
-        "_id",
-        "_row",
-        F.col("n").alias("n_shingles"),
-        F.when(linked, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
-        F.when(linked, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
-    )
+    return each, classes, rule, shared_lists(_memberships(docs, rule, text, shingle))
+
+
+def links(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80
+) -> tuple[DataFrame, DataFrame]:
+    """All links (a, b) between different sets, and which rows have these: (_id, _row, set, copies).
+
+    Rows of one set link with each other, and with all rows of a set that theirs links with.
+    """
+    each, classes, rule, lists = _prepared(docs, doc_id, text, shingle, percent)
+    pairs = written(candidates(open_lists(lists, None), classes, rule), "pairs")
+    found = written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
+    of = classes.select("h1", "h2", "copies")
+    return found, each.where("n > 0").join(of, ["h1", "h2"]).select("_id", "_row", F.col("h1").alias("set"), "copies")
+
+
+def groups(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80
+) -> DataFrame:
+    """One row for each row of the table: (_id, _row, n_shingles, component_id, _group).
+
+    ``component_id`` is the smallest id that links lead to, the row's own included; ``_group`` is equal for
+    rows of one group and null for those of empty sets.
+    """
+    each, classes, rule, lists = _prepared(docs, doc_id, text, shingle, percent)
+    group, first = None, None
+    for step in ("longest", "each", "all"):
+        open_ = open_lists(lists, group)
+        pairs = candidates(open_, classes, rule) if step == "all" else _with_hubs(open_, classes, rule, step == "longest")
+        pairs = written(pairs, "pairs")
+        if pairs.isEmpty():
+            continue
+        new = written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
+        if step == "longest":
+            # Not yet whole groups: what is still apart is found again with the links of the next step.
+            group, first = _stars(new), new
+        elif first is not None:
+            group, first = components(first.union(new)), None
+        else:
+            group = _merged(group, new)
+    if first is not None:
+        group = components(first)
+    known = classes.select("h1", "h2", F.col("h1").alias("_group"), F.col("doc").alias("component_id"))
+    if group is not None:
+        linked = classes.select("h1", "h2", "doc").join(group.withColumnRenamed("v", "h1"), "h1")
+        smallest = checked(linked.groupBy("component").agg(F.min("doc").alias("component_id")), "smallest")
+        linked = linked.join(smallest, "component").select("h1", "h2", F.col("component").alias("_group"), "component_id")
+        known = known.join(group.select(F.col("v").alias("h1")), "h1", "left_anti").unionByName(linked)
+    empty = each.where("n = 0").select("_id", "_row", "n", F.lit(None).cast("long").alias("_group"), F.col("_id").alias("component_id"))
+    some = each.where("n > 0").join(known, ["h1", "h2"]).select("_id", "_row", "n", "_group", "component_id")
+    return some.unionByName(empty).select("_id", "_row", F.col("n").alias("n_shingles"), "component_id", "_group")
 
 
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The table without near duplicates: of each group, the document of the smallest id stays.
+    """The table without near duplicates: of each group one row stays, that of the smallest id.
 
-    Rows without an id stay. Of repeated rows one stays.
+    Of rows of one id, and of groups of rows without an id, the row that stays is chosen by a hash of the text.
+    All rows without words stay, but of those that are repeated one.
     """
-    stay = (
-        groups(docs, doc_id=doc_id, text=text, shingle=shingle, percent=percent)
-        .where("_id = component_id")
-        .select("_id", "_row")
-        .distinct()
-    )
-    stay = checked(stay, "stay")
-    keyed = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_row": F.xxhash64(doc_id, text)})
-    kept = keyed.where("_id IS NOT NULL").join(stay, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"])
-    return kept.unionByName(keyed.where("_id IS NULL")).select(*docs.columns)
+    grouped = groups(docs, doc_id=doc_id, text=text, shingle=shingle, percent=percent)
+    grouped = written(grouped.select("_id", "_row", "_group"), "grouped")
+    in_order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
+    chosen = grouped.where("_group IS NOT NULL").groupBy("_group").agg(F.min(in_order).alias("first"))
+    stay = chosen.select("first._id", "first._row").unionByName(grouped.where("_group IS NULL").select("_id", "_row")).distinct()
+    times = grouped.groupBy("_id", "_row").agg(F.count("*").alias("times"))
+    stay = stay.alias("s").join(times.alias("t"), F.expr("s._row = t._row AND s._id <=> t._id"))
+    stay = checked(stay.select("s._id", "s._row", "times"), "stay")
+    keyed = docs.withColumns({"_of": F.col(doc_id).cast("long"), "_at": F.xxhash64(doc_id, text)})
+    kept = keyed.join(stay, F.expr("_at = _row AND _of <=> _id")).drop("_id", "_row")
+    # Only rows that are repeated are compared with each other.
+    single, repeated = kept.where("times = 1"), kept.where("times > 1").dropDuplicates(["_of", "_at"])
+    return single.unionByName(repeated).select(*docs.columns)
+
+
+def groups_oracle(shingle: int, percent: int) -> str:
+    """DuckDB SQL for n_shingles and component_id by doc_id, for ids that are unique and not null."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    doc_words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + {shingle} - 1), ' ') AS shingle
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {shingle}, 0) + 2)) AS s FROM doc_words WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+    reached AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+    grouped AS (
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, g.component_id
+        FROM documents d LEFT JOIN sizes s USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) g USING (doc_id))"""

@@ -37,7 +37,15 @@ def brute(rows, size, percent):
 
 def found(table, **rule):
     rows = setjoin.groups(table, **rule).collect()
-    return {r["_id"]: (r.n_shingles, r.component_id, r.n_links) for r in rows}
+    links, of = setjoin.links(table, **rule)
+    sets = {r["_id"]: (r["set"], r.copies) for r in of.collect()}
+    copies = dict(sets.values())
+    n_links = {s: copies[s] - 1 for s in copies}
+    for a, b in links.collect():
+        n_links[a] += copies[b]
+        n_links[b] += copies[a]
+    assert len(rows) == len({r["_id"] for r in rows})
+    return {r["_id"]: (r.n_shingles, r.component_id, n_links[sets[r["_id"]][0]] if r["_id"] in sets else 0) for r in rows}
 
 
 def edited(seed):
@@ -85,15 +93,48 @@ def test_odd_rows(spark):
     text = "a b c d e f g h i j k l m n"
     rows = [(4, text), (4, text), (2, text.upper()), (None, text), (None, None), (7, None), (8, "")]
     got = sorted(
-        (r["_id"] or -1, r.n_shingles, -1 if r.component_id is None else r.component_id, r.n_links)
+        (r["_id"] or -1, r.n_shingles, -1 if r.component_id is None else r.component_id)
         for r in setjoin.groups(docs(spark, rows), shingle=3, percent=90).collect()
     )
-    assert got == [(-1, 0, -1, 0), (-1, 12, -1, 0), (2, 12, 2, 2), (4, 12, 2, 2), (4, 12, 2, 2), (7, 0, 7, 0), (8, 0, 8, 0)]
+    assert got == [(-1, 0, -1), (-1, 12, 2), (2, 12, 2), (4, 12, 2), (4, 12, 2), (7, 0, 7), (8, 0, 8)]
     kept = setjoin.keep_first(docs(spark, rows), shingle=3, percent=90)
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, -1, 2, 7, 8]
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 7, 8]
     assert kept.columns == docs(spark, rows).columns
 
 
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base), (1, base + " x"), (2, "y " + base), (None, other), (None, other), (None, other + " z"), (9, "alone")]
+    kept = setjoin.keep_first(docs(spark, rows)).collect()
+    assert sorted((r.doc_id or -1) for r in kept) == [-1, 1, 9]
+    groups = setjoin.groups(docs(spark, rows)).collect()
+    assert sorted(str(r.component_id) for r in groups) == ["1", "1", "1", "9", "None", "None", "None"]
+
+
+def test_groups_of_near_copies_take_few_comparisons(spark, monkeypatch):
+    """What is compared grows with a group's size, not with its square."""
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(200)]
+    asked = []
+    verified = setjoin.verified
+
+    def counted(pairs, *args):
+        asked.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(setjoin, "verified", counted)
+    for size in (100, 400):
+        rows = []
+        for i in range(size):
+            own = list(base)
+            own[rng.randrange(200)] = f"e{i}"
+            rows.append((i, " ".join(own)))
+        asked.clear()
+        assert {r.component_id for r in setjoin.groups(docs(spark, rows)).collect()} == {0}
+        assert sum(asked) < 12 * size
+
+
 def test_empty_table(spark):
     assert setjoin.groups(docs(spark, [])).collect() == []
 
