@@ -23,10 +23,10 @@ compared element by element. A frequent passage puts no documents on one list un
 
 ``links`` gives all links between classes, of which a group of near copies has as many as the square of
 its size. ``groups`` doesn't need them all. It first compares each class with one other of its longest
-list, then with one other of each of its lists, a different one per list, and each time only where the
-two are not in one group yet. What a group of near copies costs so grows with its size. Then all lists whose
-members are still of several groups are scanned in full, for pairs of different groups only, so that no
-link that joins groups is missed.
+list. Then each class meets one other of each of its lists, a different one per list, and of these pairs
+the likeliest few of each group are compared. What a group of near copies costs so grows with its size. Then all
+lists whose members are still of several groups are scanned in full, for pairs of different groups only; the likeliest
+are compared first, and then all that are still of different groups, so that no link that joins groups is missed.
 
 Groups are connected components over classes. In each round every class joins the neighbour (or
 itself) that a hash of the round puts first, and links between joined classes are one; rounds shrink
@@ -59,6 +59,10 @@ BLOCK = 1024
 FIRST_LISTS = 32
 NO_LIST = np.iinfo(np.int64).max
 MOST_SMALL = 40
+PAIR = "a long, b long, a_of long, b_of long, apart double"
+PARTS_APART = 1 << 20
+# Pairs that are compared for each group before its others are.
+PARTNERS = 3
 # Rounds of which labels are derived in one plan.
 ROUNDS_A_PLAN = 6
 # A row of a list costs so many rows of a subset: it may be looked up, sketched and scanned.
@@ -290,8 +294,9 @@ def _scan(rule: Rule) -> callable:
                 earlier = np.where(first[u] < list_[u][:, None], first[u], NO_LIST)
                 shared = (earlier[:, :, None] == first[v][:, None, :]) & (earlier != NO_LIST)[:, :, None]
                 u, v = (z[~shared.any((1, 2))] for z in (u, v))
-                found.append(np.stack([np.minimum(h1[u], h1[v]), np.maximum(h1[u], h1[v])], 1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+                near = np.bitwise_count(sketch[u] ^ sketch[v]).sum(1, dtype=np.int64) * PARTS_APART // (n[u] + n[v])
+                found.append(np.stack([np.minimum(h1[u], h1[v]), np.maximum(h1[u], h1[v]), near], 1))
+        return np.concatenate(found) if found else np.zeros((0, 3), np.int64)
 
     def group(cols: list[np.ndarray], start: int, end: int) -> np.ndarray:
         side = cols[6][start:end]
@@ -317,7 +322,8 @@ def _scan(rule: Rule) -> callable:
             found += [group(cols, starts[i], ends[i]) for i in np.flatnonzero(size > 2).tolist()]
             left = None if last else [c[starts[-1] :] for c in cols]
             both = np.unique(np.concatenate(found), axis=0)
-            return [pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])], left
+            told = [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(both[:, 2] / PARTS_APART)]
+            return [pa.RecordBatch.from_arrays(told, names=["a", "b", "apart"])], left
 
         for batch in batches:
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 4)]
@@ -377,12 +383,14 @@ def _with_hubs(lists: DataFrame, classes: DataFrame, rule: Rule, longest: bool)
     own = lists
     if longest:
         own = lists.groupBy("h1", "group").agg(F.max(F.struct("count", "list")).getField("list").alias("list"))
-    pairs = (
-        own.join(hubs.select("list", F.col("hub.h1").alias("to"), F.col("hub.group").alias("of")), "list")
-        .where("group <> of")
-        .select(F.least("h1", "to").alias("a"), F.greatest("h1", "to").alias("b"))
-        .distinct()
-    )
+    met = own.join(hubs.select("list", F.col("hub.h1").alias("to"), F.col("hub.group").alias("of")), "list").where("group <> of")
+    first = F.col("h1") < F.col("to")
+    pairs = met.select(
+        F.least("h1", "to").alias("a"),
+        F.greatest("h1", "to").alias("b"),
+        F.when(first, F.col("group")).otherwise(F.col("of")).alias("a_of"),
+        F.when(first, F.col("of")).otherwise(F.col("group")).alias("b_of"),
+    ).distinct()
     side = lambda end: classes.select(
         F.col("h1").alias(end), F.col("n").alias(f"{end}_n"), F.col("sketch").alias(f"{end}_sketch")
     )
@@ -392,18 +400,31 @@ def _with_hubs(lists: DataFrame, classes: DataFrame, rule: Rule, longest: bool)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), U64).reshape(-1, SKETCH // 64) for i in (3, 5)
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), U64).reshape(-1, SKETCH // 64) for i in (5, 7)
             )
-            size = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+            size = batch.column(4).to_numpy() + batch.column(6).to_numpy()
             apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-            keep = apart * (100 + rule.percent) <= (100 - rule.percent) * size
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            keep = pa.array(apart * (100 + rule.percent) <= (100 - rule.percent) * size)
+            told = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(apart / size)], names=["a", "b", "a_of", "b_of", "apart"])
+            yield told.filter(keep)
+
+    columns = ("a", "b", "a_of", "b_of", "a_n", "a_sketch", "b_n", "b_sketch")
+    return sized.select(*columns).mapInArrow(run, PAIR)
 
-    return sized.select("a", "b", "a_n", "a_sketch", "b_n", "b_sketch").mapInArrow(run, "a long, b long")
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of pairs between groups few for each group, those whose sketches are nearest: one link is enough to
+    make two groups one, and pairs that are left out are looked at again."""
+    ends = pairs.select("*", F.explode(F.array(F.struct(F.col("a_of").alias("of"), F.col("b_of").alias("to")), F.struct(F.col("b_of").alias("of"), F.col("a_of").alias("to")))).alias("end"))
+    kept = ends.groupBy("end.of", F.pmod(F.xxhash64("end.to"), F.lit(PARTNERS)).alias("part")).agg(
+        F.min(F.struct("apart", "a", "b")).alias("best")
+    )
+    return kept.select("best.a", "best.b").distinct()
 
 
 def candidates(lists: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of classes of different groups, a below b, that share a list and whose sketches allow a link."""
+    """Pairs (a, b, apart) of classes of different groups, a below b, that share a list and whose sketches allow a
+    link; ``apart`` is how far these are from each other."""
     first = lists.groupBy("h1").agg(F.slice(F.sort_array(F.collect_list("list")), 1, FIRST_LISTS).alias("lists"))
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
     known = classes.select("h1", "n", "sketch").join(first, "h1")
@@ -426,7 +447,8 @@ def candidates(lists: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         "group",
     )
     ordered = keyed.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
-    return ordered.mapInArrow(_scan(rule), "a long, b long").distinct()
+    found = ordered.mapInArrow(_scan(rule), "a long, b long, apart double")
+    return found.groupBy("a", "b").agg(F.min("apart").alias("apart"))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, doc_id: str, text: str, shingle: int) -> DataFrame:
@@ -525,6 +547,14 @@ def _merged(group: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(_relabelled(every, step), "groups")
 
 
+def _between(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    """The pairs of classes of different groups, with these."""
+    side = lambda end: group.select(F.col("v").alias(end), F.col("component").alias(f"{end}_in"))
+    told = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    told = told.withColumns({f"{end}_of": F.coalesce(f"{end}_in", end) for end in ("a", "b")})
+    return told.where("a_of <> b_of").select("a", "b", "a_of", "b_of", "apart")
+
+
 def _prepared(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, Rule, DataFrame]:
     """The rows' sets, the classes of equal sets, the rule and the lists."""
     each = written(sets(docs, doc_id=doc_id, text=text, shingle=shingle), "sets")
@@ -549,7 +579,7 @@ def links(
     Rows of one set link with each other, and with all rows of a set that theirs links with.
     """
     each, classes, rule, lists = _prepared(docs, doc_id, text, shingle, percent)
-    pairs = written(candidates(open_lists(lists, None), classes, rule), "pairs")
+    pairs = written(candidates(open_lists(lists, None), classes, rule).select("a", "b"), "pairs")
     found = written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
     of = classes.select("h1", "h2", "copies")
     return found, each.where("n > 0").join(of, ["h1", "h2"]).select("_id", "_row", F.col("h1").alias("set"), "copies")
@@ -564,25 +594,21 @@ def groups(
     rows of one group and null for those of empty sets.
     """
     each, classes, rule, lists = _prepared(docs, doc_id, text, shingle, percent)
-    group, first = None, None
-    for step in ("longest", "each", "all"):
-        open_ = open_lists(lists, group)
-        pairs = candidates(open_, classes, rule) if step == "all" else _with_hubs(open_, classes, rule, step == "longest")
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        new = written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
-        if step == "longest":
-            # Not yet whole groups: what is still apart is found again with the links of the next step.
-            group, first = _stars(new), new
-        elif first is not None:
-            group, first = components(first.union(new)), None
-        else:
-            group = _merged(group, new)
-    if first is not None:
-        group = components(first)
+    check = lambda pairs: written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
+    # Each class and the hub of its longest list; what is connected but still apart is found with the next links.
+    first = check(written(_with_hubs(open_lists(lists, None), classes, rule, True).select("a", "b"), "pairs"))
+    group = _stars(first)
+    pairs = written(_likeliest(written(_with_hubs(open_lists(lists, group), classes, rule, False), "hubs")), "pairs")
+    group = components(first.union(check(pairs)))
+    # All pairs of classes that are still of different groups: the likeliest first, then those for which that was not enough.
+    rest = written(candidates(open_lists(lists, group), classes, rule), "rest")
+    if not rest.isEmpty():
+        group = _merged(group, check(written(_likeliest(_between(rest, group)), "pairs")))
+        pairs = written(_between(rest, group).select("a", "b"), "pairs")
+        if not pairs.isEmpty():
+            group = _merged(group, check(pairs))
     known = classes.select("h1", "h2", F.col("h1").alias("_group"), F.col("doc").alias("component_id"))
-    if group is not None:
+    if not group.isEmpty():
         linked = classes.select("h1", "h2", "doc").join(group.withColumnRenamed("v", "h1"), "h1")
         smallest = checked(linked.groupBy("component").agg(F.min("doc").alias("component_id")), "smallest")
         linked = linked.join(smallest, "component").select("h1", "h2", F.col("component").alias("_group"), "component_id")
