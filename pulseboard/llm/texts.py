@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyarrow import fs
 
 # Bytes of text that are taken up at once; a longer document is taken up alone.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 21
 # Words are hashed over at most so many bytes at once.
 HASH_BYTES = 1 << 20
 
