@@ -18,8 +18,9 @@ of very different size cannot link; a level says how many parts there are.
 Lists with the same members are scanned once. A scan compares 512-bit parity sketches, whose
 distance is never more than the number of differing elements, so that no link is lost; lists of more
 than BLOCK members are scanned in pairs of blocks, by as many tasks. A pair that shares several lists
-is taken on the first of them: each row knows the first FIRST_LISTS lists of its set. What is left is
-compared element by element. A frequent passage puts no documents on one list unless they agree in a whole part.
+is taken on the first of them: each row knows the first FIRST_LISTS lists of its set. In sets of more than SKETCH
+elements such sketches are full, so pairs of these are compared by longer ones as well, of at least a bit
+per element. What is left is compared element by element. A frequent passage puts no documents on one list unless they agree in a whole part.
 
 ``links`` gives all links between classes, of which a group of near copies has as many as the square of
 its size. ``groups`` doesn't need them all. It first compares each class with one other of its longest
@@ -178,6 +179,26 @@ def _sketches(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def _long_sketches(hashes: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
+    """For each row of more than SKETCH elements the same parities in as many cells, a power of two, as it has elements
+    at least. The cells of half as many are the sums of two of these."""
+    out: list[bytes | None] = [None] * (len(offsets) - 1)
+    for i in np.flatnonzero(np.diff(offsets) > SKETCH).tolist():
+        own = hashes[offsets[i] : offsets[i + 1]]
+        size = 1 << (len(own) - 1).bit_length()
+        cells = (mix(own ^ U64(3)) % U64(size)).astype(np.int64)
+        out[i] = np.packbits((np.bincount(cells, minlength=size) & 1).astype(bool)).tobytes()
+    return out
+
+
+def _parities_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many cells two sketches differ, of the size of the shorter."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def _list_keys(rule: Rule, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all lists that each row is on, and the rows."""
     sizes = np.diff(offsets)
@@ -227,7 +248,7 @@ def _list_keys(rule: Rule, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.
 
 
 def sets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """Each row's set: (_id, _row, n, h1, h2, sketch), with ``_row`` a hash of the id and the text."""
+    """Each row's set: (_id, _row, n, h1, h2, sketch, longer), with ``_row`` a hash of the id and the text."""
     source = docs.select(F.col(doc_id).cast("long"), F.xxhash64(doc_id, text), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,11 +266,12 @@ def sets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle
                         long_array(one),
                         long_array(two),
                         pa.array([s.tobytes() for s in sketch], pa.binary()),
+                        pa.array(_long_sketches(hashes, offsets), pa.binary()),
                     ],
-                    names=["_id", "_row", "n", "h1", "h2", "sketch"],
+                    names=["_id", "_row", "n", "h1", "h2", "sketch", "longer"],
                 )
 
-    return source.mapInArrow(run, "_id long, _row long, n long, h1 long, h2 long, sketch binary")
+    return source.mapInArrow(run, "_id long, _row long, n long, h1 long, h2 long, sketch binary, longer binary")
 
 
 def _memberships(docs: DataFrame, rule: Rule, text: str, shingle: int) -> DataFrame:
@@ -412,6 +434,32 @@ def _with_hubs(lists: DataFrame, classes: DataFrame, rule: Rule, longest: bool)
     return sized.select(*columns).mapInArrow(run, PAIR)
 
 
+def _fitting(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs for which longer sketches, where both classes have these, allow a link as well; ``apart`` is by them."""
+    side = lambda end: classes.where("longer IS NOT NULL").select(
+        F.col("h1").alias(end), F.col("n").alias(f"{end}_n"), F.col("longer").alias(f"{end}_longer")
+    )
+    sized = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    names = pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = dict(zip(batch.schema.names, batch.columns))
+            apart = own["apart"].to_numpy().copy()
+            both = own["a_longer"].is_valid().to_numpy(zero_copy_only=False) & own["b_longer"].is_valid().to_numpy(zero_copy_only=False)
+            keep = np.ones(len(apart), bool)
+            for i in np.flatnonzero(both).tolist():
+                x, y = (np.frombuffer(own[c][i].as_buffer(), U64) for c in ("a_longer", "b_longer"))
+                size = own["a_n"][i].as_py() + own["b_n"][i].as_py()
+                differ = _parities_apart(x, y)
+                keep[i] = differ * (100 + rule.percent) <= (100 - rule.percent) * size
+                apart[i] = differ / size
+            own["apart"] = pa.array(apart)
+            yield pa.RecordBatch.from_arrays([own[c] for c in names], names=names).filter(pa.array(keep))
+
+    return sized.select(*names, "a_n", "b_n", "a_longer", "b_longer").mapInArrow(run, pairs.schema)
+
+
 def _likeliest(pairs: DataFrame) -> DataFrame:
     """Of pairs between groups few for each group, those whose sketches are nearest: one link is enough to
     make two groups one, and pairs that are left out are looked at again."""
@@ -467,7 +515,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule,
                 own = batch.slice(piece.first, len(piece)).columns[:1]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(rows, pa.binary())], names=["h1", "elements"])
 
-    each = written(source.mapInArrow(elements, "h1 long, elements binary").dropDuplicates(["h1"]), "elements")
+    # Elements are moved once: both joins read what is dealt out here by class.
+    each = source.mapInArrow(elements, "h1 long, elements binary").dropDuplicates(["h1"])
     side = lambda end: each.select(F.col("h1").alias(end), F.col("elements").alias(f"{end}_elements"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_elements", "b_elements")
 
@@ -562,8 +611,8 @@ def _prepared(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: in
     classes = written(
         each.where("n > 0")
         .groupBy("h1", "h2", "n")
-        .agg(F.min(in_order).alias("first"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
-        .select("h1", "h2", "n", F.col("first._id").alias("doc"), F.col("first._row").alias("row"), "copies", "sketch"),
+        .agg(F.min(in_order).alias("first"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("sketch", "longer")])
+        .select("h1", "h2", "n", F.col("first._id").alias("doc"), F.col("first._row").alias("row"), "copies", "sketch", "longer"),
         "classes",
     )
     sizes = classes.where(F.col("n") <= MOST_SMALL).groupBy("n").count().collect()
@@ -579,7 +628,7 @@ def links(
     Rows of one set link with each other, and with all rows of a set that theirs links with.
     """
     each, classes, rule, lists = _prepared(docs, doc_id, text, shingle, percent)
-    pairs = written(candidates(open_lists(lists, None), classes, rule).select("a", "b"), "pairs")
+    pairs = written(_fitting(candidates(open_lists(lists, None), classes, rule), classes, rule).select("a", "b"), "pairs")
     found = written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
     of = classes.select("h1", "h2", "copies")
     return found, each.where("n > 0").join(of, ["h1", "h2"]).select("_id", "_row", F.col("h1").alias("set"), "copies")
@@ -596,12 +645,13 @@ def groups(
     each, classes, rule, lists = _prepared(docs, doc_id, text, shingle, percent)
     check = lambda pairs: written(verified(pairs, classes, docs, rule, doc_id, text, shingle), "links")
     # Each class and the hub of its longest list; what is connected but still apart is found with the next links.
-    first = check(written(_with_hubs(open_lists(lists, None), classes, rule, True).select("a", "b"), "pairs"))
+    hubs = lambda group, longest: _fitting(_with_hubs(open_lists(lists, group), classes, rule, longest), classes, rule)
+    first = check(written(hubs(None, True).select("a", "b"), "pairs"))
     group = _stars(first)
-    pairs = written(_likeliest(written(_with_hubs(open_lists(lists, group), classes, rule, False), "hubs")), "pairs")
+    pairs = written(_likeliest(written(hubs(group, False), "hubs")), "pairs")
     group = components(first.union(check(pairs)))
     # All pairs of classes that are still of different groups: the likeliest first, then those for which that was not enough.
-    rest = written(candidates(open_lists(lists, group), classes, rule), "rest")
+    rest = written(_fitting(candidates(open_lists(lists, group), classes, rule), classes, rule), "rest")
     if not rest.isEmpty():
         group = _merged(group, check(written(_likeliest(_between(rest, group)), "pairs")))
         pairs = written(_between(rest, group).select("a", "b"), "pairs")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from pulseboard.llm import setjoin
@@ -145,3 +146,29 @@ def test_long_chain_of_links(spark):
     assert len(rows) == 203
     assert len({r.component for r in rows if r.v <= 200}) == 1
     assert len({r.component for r in rows}) == 2
+
+
+def test_large_sets_are_compared_only_if_long_sketches_allow_it(spark, monkeypatch):
+    """Half of each text is in all texts, so that large sets share lists; few of them link."""
+    rng = random.Random(11)
+    half = [f"h{rng.randrange(10**6)}" for _ in range(1500)]
+    rows = [(i, " ".join(half + [f"o{rng.randrange(10**9)}" for _ in range(1500)])) for i in range(12)]
+    rows += [(20, rows[3][1] + " end"), (21, rows[7][1].replace(" h", " changed h", 40))]
+    pairs = []
+    verified = setjoin.verified
+    monkeypatch.setattr(setjoin, "verified", lambda p, *rest: pairs.append(p.count()) or verified(p, *rest))
+    assert found(docs(spark, rows), shingle=5, percent=80) == brute(rows, 5, 80)
+    assert sum(pairs) <= 8
+
+
+@pytest.mark.parametrize("n, m, common", [(600, 700, 500), (1024, 1025, 1000), (3000, 2500, 2400), (513, 5000, 0)])
+def test_long_sketches_never_tell_more_than_the_difference(n, m, common):
+    rng = np.random.default_rng(n)
+    values = np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64))
+    rng.shuffle(values)
+    a, b = values[:n], np.concatenate([values[:common], values[n : n + m - common]])
+    sketches = setjoin._long_sketches(np.concatenate([a, b]), np.array([0, n, n + m]))
+    x, y = (np.frombuffer(s, np.uint64) for s in sketches)
+    apart = setjoin._parities_apart(x, y)
+    assert apart <= n + m - 2 * common and (apart - n - m) % 2 == 0
+    assert setjoin._long_sketches(a[:512], np.array([0, 512])) == [None]
