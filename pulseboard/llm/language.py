@@ -12,8 +12,9 @@ sequences each file has; tasks read the files that their texts need, and keep up
 them. Scoring looks up the different sequences of some texts: where a language lacks one, the next
 shorter counts, with the weight that the language gives to it. The language of the lowest
 cross-entropy per symbol wins; of equals, the first by name. Sharpness of the scores, and the cross-entropy
-per language beyond which a text is rejected as none of the languages, are calibrated on at most ``sample``
-labelled documents, chosen by a hash.
+per language beyond which a text is rejected as none of the languages, are calibrated on all different labelled
+texts: tasks score them, and Spark adds up their losses and finds the exact quantile, of which only the
+values of one or two narrow bins per language are put in order.
 
 Defined results: null texts and texts without a letter get ``und`` with score 0; otherwise the
 score, from 0 to 1, is the winner's share. Rows without a language are not learned from. Rows are
@@ -24,6 +25,7 @@ language: every text is ``und``, with score 0.
 
 from __future__ import annotations
 
+import math
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -33,7 +35,7 @@ from urllib.parse import unquote
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,13 +43,15 @@ from pulseboard.llm.texts import U64, Piece, opened, pieces
 from pulseboard.sources.scratch import new_folder, written
 
 ORDER = 4
-SAMPLE = 2000
 # Counts that a task holds before it adds up equal ones.
 HELD = 2_000_000
 # Rows of a file of the stored model, and the bytes of such files that a task keeps.
 ROWS_A_FILE = 1 << 18
 CACHE_BYTES = 256 << 20
 REJECTED = 0.999
+# What the sharpness is chosen from, and how many bins a unit of cross-entropy has.
+SHARPNESS = [2.0**p for p in range(-1, 9)]
+BINS = 1000
 UNKNOWN = "und"
 NEW = ("lang_pred", "score", "entropy", "rejected")
 
@@ -149,7 +153,7 @@ def counts(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFr
     return source.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
     """Learn from all rows with a language."""
     levels = [written(counts(docs, text=text, lang=lang), "sequences")]
     for length in range(ORDER - 1, 0, -1):
@@ -183,7 +187,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int
         "lang string, at int, symbols double, unseen double, discounts array<double>",
     )
     files = _files(_stored(levels, F.broadcast(known)))
-    return _calibrated(Model(tuple(languages), files, np.log(unseen)), docs, text, lang, sample)
+    return _calibrated(Model(tuple(languages), files, np.log(unseen)), docs, text, lang)
 
 
 def _discount(once: int, twice: int) -> float:
@@ -321,42 +325,52 @@ def entropies(model: Model, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     return -out / np.maximum(size, 1)[:, None], size > 0
 
 
-def _calibrated(model: Model, docs: DataFrame, text: str, lang: str, sample: int) -> Model:
-    """The sharpness that makes the sample's languages likeliest, and the limits of rejection. The sample has
-    different texts only."""
+def _calibrated(model: Model, docs: DataFrame, text: str, lang: str) -> Model:
+    """The sharpness that makes the languages of all different labelled texts likeliest, and the limits of rejection."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    # Only hashes are put in order; texts stay where they are, and those chosen are scored by the tasks that read them.
-    mark = F.xxhash64(text, lang)
-    last = known.select(mark.alias("h")).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    few = known.where(mark <= last).select(F.lower(text).alias("t"), F.col(lang).alias("l"), mark.alias("h"))
+    source = known.select(F.lower(text), F.col(lang), F.xxhash64(text, lang))
+    index = {x: i for i, x in enumerate(model.languages)}
+    losses = [f"loss{i}" for i in range(len(SHARPNESS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.column(0)):
+            for piece in pieces(batch.column(0), 1 << 20):
                 found, letters = entropies(model, piece)
-                own = [batch.column(i).slice(piece.first, len(piece)) for i in (1, 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array(list(found), pa.list_(pa.float64())), pa.array(letters)], names=["l", "h", "e", "ok"]
-                )
-
-    rows = few.mapInArrow(run, "l string, h long, e array<double>, ok boolean").where("ok")
-    rows = sorted(rows.dropDuplicates(["h"]).collect(), key=lambda r: r.h)
-    index = {x: i for i, x in enumerate(model.languages)}
-    table = np.array([r.e for r in rows]).reshape(-1, len(index))
-    right = np.array([index[r.l] for r in rows], np.int64)
-    best, sharpness = np.inf, 1.0
-    for k in [2.0**p for p in range(-1, 9)]:
-        z = -k * table
-        z -= z.max(1, keepdims=True)
-        loss = (np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), right]).mean() if len(z) else 0.0
-        if loss < best:
-            best, sharpness = loss, k
+                own = batch.slice(piece.first, len(piece))
+                # A text with letters is in a language that is known.
+                right = np.array([index.get(x, 0) for x in own.column(1).to_pylist()], np.int32)
+                row = np.arange(len(found))
+                beyond = found - found.min(1, keepdims=True)
+                each = [np.log(np.exp(-k * beyond).sum(1)) + k * beyond[row, right] for k in SHARPNESS]
+                columns = [pa.array(right), own.column(2), pa.array(found[row, right]), pa.array(found.argmin(1) == right)]
+                told = pa.RecordBatch.from_arrays([*columns, *map(pa.array, each)], names=["at", "h", "own", "won", *losses])
+                yield told.filter(pa.array(letters))
+
+    schema = ", ".join(["at int, h long, own double, won boolean", *[f"{c} double" for c in losses]])
+    each = written(source.mapInArrow(run, schema).dropDuplicates(["h"]), "calibration")
+    mean = each.agg(*[F.avg(c) for c in losses]).first()
     limits = np.full(len(index), np.inf)
-    for i in range(len(index)):
-        own = table[(right == i) & (table.argmin(1) == i), i] if len(table) else []
-        if len(own):
-            limits[i] = np.quantile(own, REJECTED) + own.std()
-    return replace(model, sharpness=sharpness, limits=limits)
+    for r in _tails(each.where("won").select("at", "own")).collect():
+        limits[r["at"]] = r.lower + (r.upper - r.lower) * (r.place - math.floor(r.place)) + r.spread
+    return replace(model, sharpness=SHARPNESS[int(np.argmin(mean))] if mean[0] is not None else SHARPNESS[0], limits=limits)
+
+
+def _tails(own: DataFrame) -> DataFrame:
+    """(at, place, spread, lower, upper) of values ``own`` by ``at``: their standard deviation, and those in order
+    right below and above the place of the quantile REJECTED."""
+    binned = own.withColumn("bin", F.floor(F.col("own") * BINS))
+    whole = own.groupBy("at").agg(((F.count("*") - 1) * F.lit(REJECTED)).alias("place"), F.stddev_pop("own").alias("spread"))
+    bins = binned.groupBy("at", "bin").agg(F.count("*").alias("times"))
+    bins = bins.withColumn("through", F.sum("times").over(Window.partitionBy("at").orderBy("bin"))).join(F.broadcast(whole), "at")
+    bins = bins.where("through > floor(place) AND through - times <= ceil(place)")
+    near = binned.join(F.broadcast(bins.select("at", "bin", "place", "spread", (F.col("through") - F.col("times")).alias("before"))), ["at", "bin"])
+    near = near.groupBy("at", "bin", "place", "spread", "before", "own").agg(F.count("*").alias("times"))
+    in_bin = F.sum("times").over(Window.partitionBy("at", "bin").orderBy("own"))
+    near = near.withColumn("through", F.col("before") + in_bin)
+    return near.groupBy("at", "place", "spread").agg(
+        F.min(F.expr("IF(through > floor(place), own, NULL)")).alias("lower"),
+        F.min(F.expr("IF(through > ceil(place), own, NULL)")).alias("upper"),
+    )
 
 
 def predict(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bool = True) -> DataFrame:

@@ -117,3 +117,25 @@ def test_odd_rows(spark):
     assert language.predict(docs(spark, []), model).collect() == []
     nothing = language.fit(docs(spark, [(1, "12"), (2, None)]))
     assert {(r.lang_pred, r.score) for r in language.predict(odd, nothing).collect()} == {("und", 0.0)}
+
+
+def test_calibrated_on_all_labelled_texts(spark):
+    """More different texts than any fixed sample so far; copies count once."""
+    rng = np.random.default_rng(5)
+    known = {"aa": "abcdefgh", "bb": "efghijkl"}
+    rows = []
+    for i in range(3000):
+        lang = "aa" if i % 3 else "bb"
+        letters = known[lang] if i % 50 else "mnopqrst"
+        rows.append((" ".join("".join(rng.choice(list(letters), 4)) for _ in range(rng.integers(1, 9))), lang))
+    table = [*rows, *rows[:500], (None, "aa"), ("abc", None), ("12", "bb")]
+    model = language.fit(spark.createDataFrame([(i, t, x, "s", 0) for i, (t, x) in enumerate(table)], DOCS))
+    different = sorted(set(rows))
+    assert len(different) > 2500
+    found = np.concatenate([language.entropies(model, p)[0] for p in pieces(pa.array([t for t, _ in different]))])
+    right = np.array([model.languages.index(x) for _, x in different])
+    loss = [np.mean(np.log(np.exp(-k * (found - found.min(1, keepdims=True))).sum(1)) + k * (found[np.arange(len(found)), right] - found.min(1))) for k in language.SHARPNESS]
+    assert model.sharpness == language.SHARPNESS[int(np.argmin(loss))]
+    for i in range(2):
+        own = found[(right == i) & (found.argmin(1) == i), i]
+        assert model.limits[i] == pytest.approx(np.quantile(own, language.REJECTED) + own.std(), rel=1e-9)
