@@ -64,6 +64,8 @@ PAIR = "a long, b long, a_of long, b_of long, apart double"
 PARTS_APART = 1 << 20
 # Pairs that are compared for each group before its others are.
 PARTNERS = 3
+# Hubs that a class is compared with when those of all its lists are asked.
+HUBS = 4
 # Rounds of which labels are derived in one plan.
 ROUNDS_A_PLAN = 6
 # A row of a list costs so many rows of a subset: it may be looked up, sketched and scanned.
@@ -399,13 +401,21 @@ def open_lists(lists: DataFrame, group: DataFrame | None) -> DataFrame:
 
 def _with_hubs(lists: DataFrame, classes: DataFrame, rule: Rule, longest: bool) -> DataFrame:
     """Pairs (a, b) of classes of different groups: each class and the hub, one member, of its longest list,
-    or of each list. Their sketches allow a link."""
-    mark = F.xxhash64("list", "h1")
-    hubs = lists.groupBy("list").agg(F.min(F.struct(mark.alias("mark"), "h1", "group")).alias("hub"))
-    own = lists
+    that which shares lists with most others, or HUBS at most of the hubs of all its lists, members chosen by a hash.
+    Their sketches allow a link."""
+    mark = F.xxhash64("list", "h1").alias("mark")
+    own, order, members = lists, [mark], lists
     if longest:
         own = lists.groupBy("h1", "group").agg(F.max(F.struct("count", "list")).getField("list").alias("list"))
+        # Of near copies of one text, that with the fewest changes meets most others, and is nearest to them.
+        met_by = lists.groupBy("h1").agg(F.sum("count").alias("met_by"))
+        members, order = lists.join(met_by, "h1"), [(-F.col("met_by")).alias("fewest"), mark]
+    hubs = members.groupBy("list").agg(F.min(F.struct(*order, "h1", "group")).alias("hub"))
     met = own.join(hubs.select("list", F.col("hub.h1").alias("to"), F.col("hub.group").alias("of")), "list").where("group <> of")
+    if not longest:
+        # Sets on many lists meet many hubs, and what is not asked here is scanned later.
+        some = met.groupBy("h1", "group", F.pmod(F.xxhash64("to"), F.lit(HUBS)).alias("part"))
+        met = some.agg(F.min(F.struct(mark, "to", "of")).alias("met")).select("h1", "group", "met.to", "met.of")
     first = F.col("h1") < F.col("to")
     pairs = met.select(
         F.least("h1", "to").alias("a"),

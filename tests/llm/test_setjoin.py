@@ -172,3 +172,23 @@ def test_long_sketches_never_tell_more_than_the_difference(n, m, common):
     apart = setjoin._parities_apart(x, y)
     assert apart <= n + m - 2 * common and (apart - n - m) % 2 == 0
     assert setjoin._long_sketches(a[:512], np.array([0, 512])) == [None]
+
+
+def test_a_set_on_many_lists_is_compared_with_few_hubs(spark):
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        own[rng.randrange(200)] = f"e{i}"
+        rows.append((i, " ".join(own)))
+    _, classes, rule, lists = setjoin._prepared(docs(spark, rows), "doc_id", "text", 5, 80)
+    assert lists.count() > 600
+    lists = setjoin.open_lists(lists, None)
+    assert 60 < setjoin._with_hubs(lists, classes, rule, False).count() <= 4 * 60
+    # The text that all were made of is on most lists, and all are compared with it.
+    rows.append((99, " ".join(base)))
+    _, classes, rule, lists = setjoin._prepared(docs(spark, rows), "doc_id", "text", 5, 80)
+    pairs = setjoin._with_hubs(setjoin.open_lists(lists, None), classes, rule, True).collect()
+    middle = classes.where("doc = 99").first().h1
+    assert len(pairs) == 60 and all(middle in (p.a, p.b) for p in pairs)
