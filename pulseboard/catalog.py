@@ -41,6 +41,7 @@ from pulseboard.sources.tables import (
 from pulseboard.streaming import (
     BucketStore,
     alert_stream,
+    few_partitions,
     quarter_hour_join_stream,
     quarter_hour_stream,
     silence_stream,
@@ -233,7 +234,8 @@ def _stored(plan: Callable, *args) -> Callable[[SparkSession, str], DataFrame]:
 
 def _run_stream(spark: SparkSession, stream: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     folder = folder or new_folder(spark, name)
-    start(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    partitions = few_partitions(spark)
+    start(stream, f"{folder}/rows", f"{folder}/checkpoint", partitions=partitions).awaitTermination()
     rows = spark.read.schema(stream.schema).parquet(f"{folder}/rows")
     times = [c for c, kind in rows.dtypes if kind == "timestamp"]
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})

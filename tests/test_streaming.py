@@ -1,10 +1,12 @@
 from pyspark.sql import functions as F
 
+from pulseboard import catalog
 from pulseboard.functions import last_days, rows_in
 from pulseboard.plans import alerts
+from pulseboard.session import settings
 from pulseboard.sources import FEED_SCHEMA, MESSAGE_SCHEMA, stream_log, write_log
 from pulseboard.sources import events as source
-from pulseboard.streaming import alert_stream, quarter_hour_stream, start
+from pulseboard.streaming import alert_stream, few_partitions, quarter_hour_stream, start
 from tests.logs import feed_log, message_log
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -216,3 +218,16 @@ def test_stream_queries_read_days_beyond_january(spark, tmp_path):
     assert closed.count() > 100
     assert closed.exceptAll(found).count() == 0
     assert found.exceptAll(whole).count() == 0
+
+
+def test_stores_follow_the_cores_not_the_shuffle_partitions(spark, tmp_path):
+    root, cores = str(tmp_path), spark.sparkContext.defaultParallelism
+    add(root, *sentinels(spark))
+    with settings(spark, {"spark.sql.shuffle.partitions": "40"}):
+        catalog._run_stream(spark, quarter_hour_stream(*streams(spark, root)), "metrics", root)
+        assert few_partitions(spark) == min(40, 2 * cores)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    stores = [p.name for p in (tmp_path / "checkpoint/state/0").iterdir() if p.name.isdigit()]
+    assert len(stores) == min(40, 2 * cores)
+    with settings(spark, {"spark.sql.shuffle.partitions": "3"}):
+        assert few_partitions(spark) == 3
