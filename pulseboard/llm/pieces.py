@@ -253,9 +253,13 @@ def encode(
     decoded: str | None = None,
     add_begin: bool = True,
     add_end: bool = True,
+    keep_text: bool = True,
+    width: int = 4,
 ) -> DataFrame:
     """All columns of the table, and the ids of each text as little-endian unsigned 32-bit
     integers in one binary value; with ``decoded``, also the text that these ids decode to.
+    ``width`` gives integers of two bytes instead, for vocabularies that these can number;
+    ``keep_text=False`` leaves the text out.
 
     The vocabulary goes to the executors once (its size is the model file's, whatever the
     tables are); each task encodes its own rows, without a shuffle.
@@ -265,11 +269,15 @@ def encode(
     if text.lower() in new:
         raise ValueError("the results need names other than the text's")
     docs = docs.select(*[c for c in docs.columns if c.lower() not in new])
-    vocabulary = spark.sparkContext.broadcast(read_vocabulary(model_path))
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType(), False)])
+    read = read_vocabulary(model_path)
+    if width not in (2, 4) or len(read.pieces) > 1 << 8 * width:
+        raise ValueError(f"ids do not fit integers of {width} bytes")
+    vocabulary = spark.sparkContext.broadcast(read)
+    at = docs.columns.index(text)
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
+    schema = T.StructType([*[docs.schema.fields[i] for i in kept], T.StructField(ids, T.BinaryType(), False)])
     if decoded:
         schema = schema.add(decoded, T.StringType(), False)
-    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary.value)
@@ -279,9 +287,12 @@ def encode(
             for i in range(0, whole.num_rows, 1000):
                 batch = whole.slice(i, 1000)
                 rows = [begin + encoder.encode(t or "") + end for t in batch.column(at).to_pylist()]
-                columns = [*batch.columns, pa.array(rows, pa.binary())]
+                back = [encoder.decode(np.frombuffer(r, "<u4")) for r in rows] if decoded else None
+                if width < 4:
+                    rows = [np.frombuffer(r, "<u4").astype(f"<u{width}").tobytes() for r in rows]
+                columns = [*[batch.column(k) for k in kept], pa.array(rows, pa.binary())]
                 if decoded:
-                    columns.append(pa.array([encoder.decode(np.frombuffer(r, "<u4")) for r in rows]))
+                    columns.append(pa.array(back, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -28,36 +28,36 @@ from pyspark.sql import functions as F
 
 from pulseboard.llm import pieces
 from pulseboard.llm.texts import opened
+from pulseboard.session import settings
 from pulseboard.sources.scratch import written
 
 BLOCK_TOKENS = 1 << 18
 ROWS_A_FILE = 4096
 # Bytes that a task reads, about.
 TASK_BYTES = 32 << 20
+# Bytes of text that go to a Python worker at once, about.
+BATCH_BYTES = 8 << 20
 
 
 def write_flat(docs: DataFrame, path: str, model_path: str, *, text: str = "text") -> tuple[int, int]:
     """Write the texts' ids as flat files; returns the bytes of a token and the separator.
 
-    Spark's text writer puts out each row's bytes and then the separator in place of a line feed.
+    Spark's text writer puts out each row's bytes and then the separator in place of a line feed. A task has
+    one Python step, as each such step of a task has a worker of its own, and workers keep their encoder.
     """
     vocabulary = pieces.read_vocabulary(model_path)
     width = 2 if len(vocabulary.pieces) <= 1 << 16 else 4
     end = vocabulary.end
     if end >= 128:
         raise ValueError("the separator's id must be below 128")
-    coded = pieces.encode(docs.select(text), model_path, text=text, add_begin=False, add_end=False).select("ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [np.frombuffer(r, "<u4").astype(f"<u{width}").tobytes() for r in batch.column(0).to_pylist()]
-            # Seen as a string without a look at its bytes, which the writer copies as they are.
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()).view(pa.string())], names=["value"])
-
+    coded = pieces.encode(
+        docs.select(text), model_path, text=text, add_begin=False, add_end=False, keep_text=False, width=width
+    )
     separator = chr(end) + "\0" * (width - 1)
-    coded.mapInArrow(run, "value string").write.option("lineSep", separator).option(
-        "maxRecordsPerFile", ROWS_A_FILE
-    ).text(path)
+    # The bytes seen as a string, without a look at them; the writer copies them as they are.
+    rows = coded.select(F.col("ids").cast("string").alias("value"))
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        rows.write.option("lineSep", separator).option("maxRecordsPerFile", ROWS_A_FILE).text(path)
     return width, end
 
 

@@ -64,6 +64,19 @@ def test_table_of_texts(spark, library):
     assert {r.doc_id: r.text for r in again.collect()} == {r.doc_id: r.back for r in coded.collect()}
 
 
+def test_narrow_ids_without_texts(spark, library):
+    table = docs(spark, enumerate(odd_texts()))
+    coded = pieces.encode(table, MODEL, decoded="back", keep_text=False, width=2)
+    assert coded.columns == ["doc_id", "lang", "source", "n_chars", "ids", "back"]
+    given = dict(enumerate(odd_texts()))
+    for r in coded.collect():
+        ids = library.encode(given[r.doc_id] or "", add_bos=True, add_eos=True)
+        assert np.frombuffer(r.ids, "<u2").tolist() == ids
+        assert r.back == library.decode(ids)
+    with pytest.raises(ValueError, match="do not fit"):
+        pieces.encode(table, MODEL, width=1)
+
+
 def test_whole_table(spark, library):
     rows = pieces.encode(documents(spark), MODEL).collect()
     assert all(np.frombuffer(r.ids, "<u4").tolist() == library.encode(r.text, add_bos=True, add_eos=True) for r in rows)

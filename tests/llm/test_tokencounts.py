@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from pulseboard.llm import queries, tokencounts
@@ -71,6 +72,25 @@ def test_texts_as_flat_files(spark, tmp_path):
     assert found == Counter(len(library.encode(t or "")) for t in texts)
 
 
+def test_one_python_step(spark, tmp_path, monkeypatch):
+    """Each Python step of a task has a worker of its own; texts go there in batches of bounded bytes."""
+    plans, batches = [], []
+    text = DataFrameWriter.text
+
+    def kept(self, path):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        batches.append(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
+        text(self, path)
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    monkeypatch.setattr(DataFrameWriter, "text", kept)
+    tokencounts.write_flat(docs(spark, enumerate(odd_texts())), str(tmp_path / "flat"), MODEL)
+    (plan,) = plans
+    assert plan.count("MapInArrow") == 1
+    assert batches == [str(tokencounts.BATCH_BYTES)]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_query(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = queries.op3_tokencounts(spark, SF_DIR).collect()
