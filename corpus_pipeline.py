@@ -13,10 +13,18 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_QUALITY = 0.3
 SHINGLE, PERCENT = 5, 80
 MODEL = "piece_bpe_32k.model"
+# Bytes of rows that go to a Python worker at once, about.
+BATCH_BYTES = 8 << 20
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """A setting for the session, which stays: a stage's rows are made when they are written, after it has returned."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
+    in_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
     return quality.score(docs, model).where(F.col("score") >= LEAST_QUALITY).select(COLUMNS)
@@ -31,6 +39,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document of the smallest id."""
+    in_small_batches(spark)
     return setjoin.keep_first(docs, shingle=SHINGLE, percent=PERCENT).select(COLUMNS)
 
 
@@ -43,6 +52,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of whole texts with begin and end (little-endian unsigned 32-bit integers), and whether
     they decode to the text."""
+    in_small_batches(spark)
     coded = pieces.encode(docs, public_tokenizers.path(MODEL), decoded="decoded")
     return coded.select(
         "doc_id",

@@ -253,17 +253,19 @@ def score(
     new = [T.StructField(output, T.DoubleType(), False), T.StructField("bad_lines", T.LongType(), False)]
     names = {f.name.lower() for f in new}
     kept = [c for c in docs.columns if c.lower() not in names and (keep_text or c != text)]
-    source = docs.select(*kept, F.col(text).alias("_scored"))
+    # A text that stays goes to the workers once.
+    source = docs.select(*kept) if text in kept else docs.select(*kept, F.col(text).alias("_scored"))
+    at = source.columns.index(text if text in kept else "_scored")
     schema = T.StructType([*docs.select(*kept).schema.fields, *new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.column(batch.num_columns - 1)):
+            for piece in pieces(batch.column(at)):
                 bins, chars, offsets = line_bins(piece)
                 good, size = marginals(model, bins, offsets), chars + 1
                 scores = np.add.reduceat(good * size, offsets[:-1]) / np.add.reduceat(size, offsets[:-1])
                 bad = np.add.reduceat((good < 0.5).astype(np.int64), offsets[:-1])
-                own = batch.slice(piece.first, len(piece)).columns[:-1]
+                own = batch.slice(piece.first, len(piece)).columns[: len(kept)]
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array(np.clip(scores, 0, 1)), pa.array(bad)], names=schema.names
                 )

@@ -66,3 +66,20 @@ def test_odd_documents(spark, tmp_path):
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert len(found) == len({(r.doc_id, r.ids) for r in found if r.doc_id is not None}) + sum(r.doc_id is None for r in found)
     assert all(r.decodes for r in found)
+
+
+def test_texts_go_to_workers_once_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    stages = dict(corpus_pipeline.STAGES)
+    docs = documents(spark).limit(100)
+    try:
+        for name in ("quality", "near_duplicates", "tokens"):
+            spark.conf.unset(key)
+            found = stages[name](spark, docs, SF_DIR)
+            assert spark.conf.get(key) == str(corpus_pipeline.BATCH_BYTES)
+            if name == "quality":
+                plan = found._jdf.queryExecution().optimizedPlan().toString()
+                assert "MapInArrow" in plan and "_scored" not in plan
+    finally:
+        spark.conf.set(key, before)
