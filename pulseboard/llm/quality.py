@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulseboard.llm.texts import Piece, pieces, rows_of, words
-from pulseboard.sources.scratch import written
 
 MAX_DOCS = 6000
 MAX_LINES = 120_000
@@ -223,9 +222,10 @@ def fit(
                 own = own.take(pa.array(np.repeat(np.arange(len(piece)), [len(c) for c in cuts])))
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), own], names=["bins", "label"])
 
-    lines = written(texts.mapInArrow(run, "bins binary, label double"), "lines")
-    size = F.octet_length("bins") / FEATURES
-    total = lines.agg(F.sum(size)).first()[0] or 0
+    lines = texts.mapInArrow(run, "bins binary, label double")
+    # Counted in the texts, so that no table is written on the side, of a file or two for each task.
+    breaks = F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n")))
+    total = texts.agg(F.sum(F.coalesce(breaks, F.lit(0)) + 1)).first()[0] or 0
     if total > 2 * max_lines:
         # Rows are those of whole texts or long ones' runs: by a hash, some twice as many lines as are needed.
         lines = lines.where(F.pmod(F.xxhash64("bins", "label"), F.lit(1 << 20)) < int((1 << 20) * 2 * max_lines / total))

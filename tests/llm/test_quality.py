@@ -1,8 +1,11 @@
+import os
+
 import numpy as np
 import pytest
 
 from pulseboard.llm import quality, queries
 from pulseboard.llm.texts import pieces
+from pulseboard.sources.scratch import shared_folder
 from tests.llm.tables import docs, odd_texts
 
 import pyarrow as pa
@@ -63,3 +66,17 @@ def test_sample_is_bounded(spark):
     model = quality.fit(table, labels, max_docs=20, max_lines=300)
     rows = {r.doc_id: r.score for r in quality.score(table, model).collect()}
     assert all((rows[i] > 0.5) == bool(i % 2) for i in rows)
+
+
+def test_fit_counts_lines_without_a_side_table(spark):
+    texts = ["a\nb\n", "", None, "\n\n\n", "é\r\nx", "one line"]
+    table = docs(spark, [*enumerate(texts * 20)]).repartition(9)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    folder = shared_folder(spark).removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    # 240 lines in all: no sample of rows, but of runs for the smaller limit
+    model, whole = (quality.fit(table, labels, max_lines=n) for n in (120, 240))
+    assert set(os.listdir(folder)) == before
+    again = quality.fit(table.repartition(2), labels, max_lines=120)
+    assert np.array_equal(model.weights, again.weights) and not np.array_equal(model.weights, whole.weights)
