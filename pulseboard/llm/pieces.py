@@ -8,7 +8,7 @@ compatible is the one that the merges make, so the result is exact.
 
 Text is first cut where no piece of the vocabulary can reach across: before a space that
 follows another character, and around characters that occur in no longer piece. Equal cuts
-have equal ids, which each Python worker remembers in a bounded table.
+have equal ids, which a task remembers in a bounded table.
 
 Defined results: a null text counts as empty and has only the begin and end ids; characters
 outside the vocabulary become their bytes; decoding ids that are no valid UTF-8 gives U+FFFD
@@ -229,6 +229,10 @@ class Encoder:
             self.table, self.before = {}, table
         return ids
 
+    def forget(self) -> None:
+        """Empties the tables that grow with the texts."""
+        self.table, self.before, self.compatible = {}, {}, {}
+
     def decode(self, ids: np.ndarray) -> str:
         data = b"".join(map(self.texts.__getitem__, ids.tolist()))
         if self.vocabulary.dummy_prefix and data[:1] == b" ":
@@ -240,7 +244,7 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def _encoder(vocabulary: Vocabulary) -> Encoder:
-    """A worker's encoder, kept from task to task."""
+    """A worker's encoder, kept from task to task; its tables are a task's own, as the worker may go on to other stages."""
     return Encoder(vocabulary)
 
 
@@ -283,17 +287,20 @@ def encode(
         encoder = _encoder(vocabulary.value)
         begin = vocabulary.value.begin.to_bytes(4, "little") if add_begin else b""
         end = vocabulary.value.end.to_bytes(4, "little") if add_end else b""
-        for whole in batches:
-            for i in range(0, whole.num_rows, 1000):
-                batch = whole.slice(i, 1000)
-                rows = [begin + encoder.encode(t or "") + end for t in batch.column(at).to_pylist()]
-                back = [encoder.decode(np.frombuffer(r, "<u4")) for r in rows] if decoded else None
-                if width < 4:
-                    rows = [np.frombuffer(r, "<u4").astype(f"<u{width}").tobytes() for r in rows]
-                columns = [*[batch.column(k) for k in kept], pa.array(rows, pa.binary())]
-                if decoded:
-                    columns.append(pa.array(back, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        try:
+            for whole in batches:
+                for i in range(0, whole.num_rows, 1000):
+                    batch = whole.slice(i, 1000)
+                    rows = [begin + encoder.encode(t or "") + end for t in batch.column(at).to_pylist()]
+                    back = [encoder.decode(np.frombuffer(r, "<u4")) for r in rows] if decoded else None
+                    if width < 4:
+                        rows = [np.frombuffer(r, "<u4").astype(f"<u{width}").tobytes() for r in rows]
+                    columns = [*[batch.column(k) for k in kept], pa.array(rows, pa.binary())]
+                    if decoded:
+                        columns.append(pa.array(back, pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        finally:
+            encoder.forget()
 
     return docs.mapInArrow(run, schema)
 

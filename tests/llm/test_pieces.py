@@ -84,3 +84,23 @@ def test_whole_table(spark, library):
 
 def test_empty_table(spark):
     assert pieces.encode(docs(spark, []), MODEL).collect() == []
+
+
+def test_workers_keep_no_tables_after_a_task(spark):
+    table = docs(spark, [(i, f"word{i} and more text {i * i}") for i in range(2000)]).repartition(8)
+    assert pieces.encode(table, MODEL).count() == 2000
+    pieces.encode(table, MODEL).write.format("noop").mode("overwrite").save()
+
+    def left(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        held = [len(o.table) + len(o.before) + len(o.compatible) for o in gc.get_objects() if isinstance(o, pieces.Encoder)]
+        yield pa.RecordBatch.from_arrays([pa.array([sum(held)]), pa.array([len(held)])], names=["entries", "encoders"])
+
+    rows = spark.range(64).repartition(8).mapInArrow(left, "entries long, encoders long").collect()
+    assert sum(r.encoders for r in rows) > 0
+    assert {r.entries for r in rows} == {0}
